@@ -51,6 +51,7 @@ def fold_stream(spark: SparkSession, staged_path: str, schema, checkpoint: str,
     s.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     s.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
     s.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "200")
+    s.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")  # else each partition's store reserves megabytes
     s.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     state = (
         s.readStream.schema(schema)
