@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import contamination
 from .exact_dedup import exact_duplicates
+from .toxicity import toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,8 +17,18 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents")).drop("locator")
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op8_decontaminate": op8_decontaminate,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES = {
@@ -30,5 +42,33 @@ with t as (
   from t
 )
 select doc_id, keep_id, group_size, rank = 1 as kept, text_sha256 from w
+""",
+    "op8_decontaminate": r"""
+with dw as (
+  select doc_id, row_number() over () as r,
+    list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
+  from documents
+), bw as (
+  select item_id,
+    list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
+  from benchmark
+), win as (
+  select distinct item_id, least(13, len(w)) as n, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') as g
+  from (select item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) as i from bw where len(w) > 0)
+), lens as (
+  select distinct n from win
+), grams as (
+  select r, i, n, array_to_string(w[i:i + n - 1], ' ') as g
+  from (select r, w, n, unnest(range(1, len(w) - n + 2)) as i from dw, lens where len(w) >= n)
+), hits as (
+  select grams.r, grams.i, grams.n, win.item_id from grams join win using (g, n)
+), places as (
+  select r, count(distinct p) as n_hit from (select r, unnest(range(i, i + n)) as p from hits) group by r
+), items as (
+  select r, count(distinct item_id) as n_items, string_agg(distinct cast(item_id as varchar), ',' order by cast(item_id as varchar)) as listed from hits group by r
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(listed, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from dw left join places using (r) left join items using (r)
 """,
 }
