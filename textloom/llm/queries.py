@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import contamination
 from .exact_dedup import exact_duplicates
+from .sentencepiece_codec import encode
 from .simhash import near_duplicates
 from .toxicity import toxicity
 
@@ -14,6 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents")).drop("locator")
 
@@ -31,6 +36,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_exact_dedup": op2_exact_dedup,
     "op5_simhash": op5_simhash,
     "op8_decontaminate": op8_decontaminate,
