@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import contamination
 from .exact_dedup import exact_duplicates
+from .lm_score import lm_scores
 from .sentencepiece_codec import encode
 from .simhash import near_duplicates
 from .toxicity import toxicity
@@ -23,6 +24,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents")).drop("locator")
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -38,6 +43,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_lm_score": op3_lm_score,
     "op5_simhash": op5_simhash,
     "op8_decontaminate": op8_decontaminate,
     "op10_toxicity": op10_toxicity,
