@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import contamination
 from .exact_dedup import exact_duplicates
+from . import licenses
 from .lm_score import lm_scores
 from .sentencepiece_codec import encode
 from .simhash import near_duplicates
@@ -36,6 +37,10 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -46,6 +51,7 @@ QUERIES = {
     "op3_lm_score": op3_lm_score,
     "op5_simhash": op5_simhash,
     "op8_decontaminate": op8_decontaminate,
+    "op9_licenses": op9_licenses,
     "op10_toxicity": op10_toxicity,
 }
 
@@ -89,4 +95,5 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, c
   sha256(coalesce(listed, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
 from dw left join places using (r) left join items using (r)
 """,
+    "op9_licenses": licenses.oracle(),
 }
