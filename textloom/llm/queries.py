@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import contamination
 from .exact_dedup import exact_duplicates
-from . import licenses
+from . import licenses, secrets
 from .lm_score import lm_scores
 from .sentencepiece_codec import encode
 from .simhash import near_duplicates
@@ -33,6 +33,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_lm_score": op3_lm_score,
     "op5_simhash": op5_simhash,
+    "op7_secrets": op7_secrets,
     "op8_decontaminate": op8_decontaminate,
     "op9_licenses": op9_licenses,
     "op10_toxicity": op10_toxicity,
