@@ -11,6 +11,7 @@ from .lm_score import lm_scores
 from .sentencepiece_codec import encode
 from .simhash import near_duplicates
 from .toxicity import toxicity
+from .warc import through_archives
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +34,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return through_archives(table(spark, sf_dir, "pages"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -54,6 +59,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_lm_score": op3_lm_score,
     "op5_simhash": op5_simhash,
+    "op6_warc": op6_warc,
     "op7_secrets": op7_secrets,
     "op8_decontaminate": op8_decontaminate,
     "op9_licenses": op9_licenses,
@@ -101,4 +107,17 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, c
 from dw left join places using (r) left join items using (r)
 """,
     "op9_licenses": licenses.oracle(),
+    "op6_warc": r"""
+with p as (
+  select page_id, encode(coalesce(html, '')) as body, sha1(encode(coalesce(html, ''))) as h from pages
+), f as (
+  select *, min(page_id) over (partition by h) as first_id from p
+)
+select page_id, octet_length(body)::bigint as payload_bytes,
+  array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, (5 * (i // 4) + 1)::int, 5))::bigint >> (15 - 5 * (i % 4))::int) & 31)::int + 1, 1)), '') as payload_digest,
+  case when first_id is null or page_id = first_id then 'response' else 'revisit' end as record_type,
+  case when first_id is null or page_id = first_id then null else first_id end as refers_to, true as intact
+from f
+""",
 }
