@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontaminate import contamination
 from .exact_dedup import exact_duplicates
 from . import licenses, secrets
+from .html_text import extract
 from .lm_score import lm_scores
 from .sentencepiece_codec import encode
 from .simhash import near_duplicates
@@ -30,6 +31,10 @@ def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -58,6 +63,7 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_lm_score": op3_lm_score,
+    "op4_html_text": op4_html_text,
     "op5_simhash": op5_simhash,
     "op6_warc": op6_warc,
     "op7_secrets": op7_secrets,
