@@ -22,10 +22,13 @@ from pyspark.sql import functions as F
 MARK = "▁"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+#: Finer words, for vocabularies without a piece in which Latin letters, digits and other characters meet.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+PART = re.compile(f"{MARK}*[{LETTERS}]+|{MARK}*[0-9]+|{MARK}*[^{LETTERS}0-9{MARK}]+|{MARK}+")
 #: Words whose pieces a worker keeps; the store is emptied when full. Longer words than LONG characters aren't kept.
-KEPT, LONG = 500_000, 64
+KEPT, LONG = 400_000, 64
 #: Pieces that were tried side by side, kept likewise.
-PAIRS = 1_000_000
+PAIRS = 500_000
 
 
 class Codec:
@@ -56,6 +59,7 @@ class Codec:
         self.bpe = self._is_bpe(blob)
         self.apart: dict[tuple[str, str], bool] = {}
         self.words: dict[str, tuple[int, ...]] = {}
+        self.cut = PART if all(len(PART.findall(p)) == 1 for p in self.score) else WORD
 
     @staticmethod
     def _is_bpe(blob: bytes) -> bool:
@@ -87,26 +91,34 @@ class Codec:
             got = self.apart[(left, right)] = self.merged(left + right) == ([left, right] if left else [right])
         return got
 
-    def step(self, word: str, end: int, last: list[str], best: list[float]) -> None:
-        """Append the forward state of word[:end]; those of all shorter prefixes are there."""
-        score = self.score
-        lengths = self.tails.get(word[end - 3 : end], ()) if end > 2 else ()
-        if self.bpe:
-            for n in (*lengths, 2):
+    def by_merges(self, word: str, same: int, last: list[str]) -> None:
+        """Append the forward states of word's prefixes of over `same` characters; those of the shorter ones are there."""
+        score, tails, apart = self.score, self.tails, self.apart
+        for end in range(same + 1, len(word) + 1):
+            for n in tails.get(word[end - 3 : end], ()) if end > 2 else ():
                 if n <= end:
                     piece = word[end - n : end]
-                    if piece in score and self.fits(last[end - n], piece):
-                        last.append(piece)
-                        return
-            last.append(word[end - 1])
-            return
-        top, chosen = best[end - 1] + score.get(word[end - 1], self.unknown_score), word[end - 1]
-        for n in (*lengths, 2):
-            s = score.get(word[end - n : end]) if n <= end else None
-            if s is not None and best[end - n] + s > top:
-                top, chosen = best[end - n] + s, word[end - n : end]
-        last.append(chosen)
-        best.append(top)
+                    if piece in score:
+                        left = last[end - n]
+                        fits = apart.get((left, piece))
+                        if fits or fits is None and self.fits(left, piece):
+                            last.append(piece)
+                            break
+            else:
+                two = word[end - 2 : end] if end > 1 else ""
+                last.append(two if two in score and self.fits(last[end - 2], two) else word[end - 1])
+
+    def by_scores(self, word: str, same: int, last: list[str], best: list[float]) -> None:
+        """The same for the best path of summed scores, with the sums beside."""
+        score = self.score
+        for end in range(same + 1, len(word) + 1):
+            top, chosen = best[end - 1] + score.get(word[end - 1], self.unknown_score), word[end - 1]
+            for n in (*self.tails.get(word[end - 3 : end], ()), 2) if end > 2 else (2,):
+                s = score.get(word[end - n : end]) if n <= end else None
+                if s is not None and best[end - n] + s > top:
+                    top, chosen = best[end - n] + s, word[end - n : end]
+            last.append(chosen)
+            best.append(top)
 
     @property
     def unknown_score(self) -> float:
@@ -133,8 +145,10 @@ class Codec:
             while same < most and before[same] == word[same]:
                 same += 1
             del last[same + 1 :], best[same + 1 :]
-            for end in range(same + 1, len(word) + 1):
-                self.step(word, end, last, best)
+            if self.bpe:
+                self.by_merges(word, same, last)
+            else:
+                self.by_scores(word, same, last, best)
             before = word
             pieces, at = [], len(word)
             while at:
@@ -145,7 +159,7 @@ class Codec:
 
     def encode_batch(self, texts: list[str]) -> list[list[int]]:
         """The model's piece ids of each text."""
-        cut = [WORD.findall(self.sp.normalize(t)) if t else [] for t in texts]
+        cut = [self.cut.findall(self.sp.normalize(t)) if t else [] for t in texts]
         kept = self.words
         new: set[str] = set()
         for words in cut:
