@@ -60,6 +60,15 @@ _FOLD = _fold_tables({"Mn", "Mc", "Me"})
 _FOLD_MN = _fold_tables({"Mn"})
 
 
+#: Length for slices to the end: slice() takes no more than what start + length can hold.
+REST = 1_000_000_000
+
+
+def let(value: Column, f) -> Column:
+    """f(value), with value evaluated once however often f uses it, inside lambdas too."""
+    return F.transform(F.array(value), f)[0]
+
+
 def fold(c: Column) -> Column:
     """Lower case without marks or ligatures: marks are dropped, then ligatures replaced, then case lowered."""
     c = F.translate(c, *_FOLD)
@@ -115,20 +124,22 @@ def words(c: Column) -> Column:
 def tokens(c: Column) -> Column:
     """array<struct<stem, written, start>>: start tells whether a word begins a sentence (text start, or . ! ? or a break before it)."""
     parts = F.split(F.regexp_replace(strip_codes(c), f"({WORD})", "\u0001$1\u0002"), "\u0001")
+
     # Each part is "word \u0002 gap"; the part before the first word has no mark.
-    cells = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda p: F.split(p, "\u0002"))
-    spread = F.transform(
-        cells,
-        lambda x, i: F.transform(
-            pieces(x[0]),
-            lambda s, k: F.struct(
-                s.alias("stem"),
-                x[0].alias("written"),
-                ((k == 0) & ((i == 0) | F.coalesce(F.get(cells, i - 1)[1].rlike("[.!?\n]"), F.lit(False)))).alias("start"),
+    def spread(cells: Column) -> Column:
+        return F.transform(
+            cells,
+            lambda x, i: F.transform(
+                pieces(x[0]),
+                lambda s, k: F.struct(
+                    s.alias("stem"),
+                    x[0].alias("written"),
+                    ((k == 0) & ((i == 0) | F.coalesce(F.get(cells, i - 1)[1].rlike("[.!?\n]"), F.lit(False)))).alias("start"),
+                ),
             ),
-        ),
-    )
-    return F.flatten(spread)
+        )
+
+    return F.flatten(let(F.transform(F.slice(parts, 2, REST), lambda p: F.split(p, "\u0002")), spread))
 
 
 def contains_words(text_words: Column, name_words: Column) -> Column:
@@ -156,8 +167,11 @@ def codes(c: Column, grammar: str = CODES_FULL) -> Column:
 def multiset_minus(a: Column, b: Column) -> Column:
     """The sorted elements of a beyond those of b, repeats counted."""
     count = lambda xs, x: F.size(F.filter(xs, lambda y: y == x))
-    return F.flatten(
-        F.transform(F.array_sort(F.array_distinct(a)), lambda x: F.array_repeat(x, F.greatest(F.lit(0), count(a, x) - count(b, x))))
+    return let(
+        a,
+        lambda xs: let(
+            b, lambda ys: F.flatten(F.transform(F.array_sort(F.array_distinct(xs)), lambda x: F.array_repeat(x, F.greatest(F.lit(0), count(xs, x) - count(ys, x)))))
+        ),
     )
 
 
@@ -169,8 +183,8 @@ def structure(c: Column) -> Column:
 
 def first_difference(a: Column, b: Column) -> Column:
     """Rank, from 1, of the first element in which two arrays differ; null if they are equal."""
-    same = F.zip_with(a, b, lambda x, y: ~x.eqNullSafe(y))
-    return F.when(a != b, F.array_position(same, F.lit(True)).cast("int"))
+    apart = F.array_position(F.zip_with(a, b, lambda x, y: ~x.eqNullSafe(y)), F.lit(True))
+    return F.when(apart > 0, apart.cast("int"))
 
 
 # --- measures --------------------------------------------------------------------------------------------------------------
@@ -257,14 +271,16 @@ def numbers_fr(c: Column) -> Column:
 
 def is_subsequence(short: Column, long: Column) -> Column:
     """Whether short's elements stand in long in their order, gaps allowed."""
-    left = F.aggregate(long, short, lambda rest, x: F.when((F.size(rest) > 0) & (F.get(rest, F.lit(0)) == x), F.slice(rest, 2, 2**31 - 1)).otherwise(rest))
+    left = F.aggregate(long, short, lambda rest, x: F.when((F.size(rest) > 0) & (F.get(rest, F.lit(0)) == x), F.slice(rest, 2, REST)).otherwise(rest))
     return F.size(left) == 0
 
 
 def number_gap(en: Column, fr: Column) -> Column:
     """Empty if the French text keeps the English numbers in order; else what is wrong."""
-    a, b, text = numbers_en(en), numbers_fr(fr), shown(fr)
-    a = F.filter(a, lambda n: ~n.contains(",") | ~F.contains(text, n))
+    return let(shown(fr), lambda text: let(F.filter(numbers_en(en), lambda n: ~n.contains(",") | ~F.contains(text, n)), lambda a: let(numbers_fr(fr), lambda b: _gap(a, b, text))))
+
+
+def _gap(a: Column, b: Column, text: Column) -> Column:
     lost = multiset_minus(a, b)
     english = F.regexp_extract_all(text, F.lit(r"(?<![0-9,])([0-9]{1,3}(?:,[0-9]{3})+)(?![0-9,])"), 1)
     english = F.filter(english, lambda n: F.array_contains(lost, F.replace(n, F.lit(","), F.lit(""))))
@@ -358,13 +374,17 @@ def accent_fault(word: Column, right: Column) -> Column:
 
 def spread_match(text_words: Column, name_words: Column) -> Column:
     """Whether the name's stems stand in order within its length and three more; contiguous names match anyway."""
+    return let(text_words, lambda t: let(name_words, lambda n: _spread(t, n)))
+
+
+def _spread(text_words: Column, name_words: Column) -> Column:
     found = F.aggregate(
         name_words,
         F.struct(F.lit(0).alias("at"), F.lit(0).alias("first"), F.lit(True).alias("ok")),
         lambda a, x: F.struct(
-            (a["at"] + F.array_position(F.slice(text_words, a["at"] + 1, 2**31 - 1), x)).cast("int").alias("at"),
-            F.when(a["first"] == 0, (a["at"] + F.array_position(F.slice(text_words, a["at"] + 1, 2**31 - 1), x)).cast("int")).otherwise(a["first"]).alias("first"),
-            (a["ok"] & (F.array_position(F.slice(text_words, a["at"] + 1, 2**31 - 1), x) > 0)).alias("ok"),
+            (a["at"] + F.array_position(F.slice(text_words, a["at"] + 1, REST), x)).cast("int").alias("at"),
+            F.when(a["first"] == 0, (a["at"] + F.array_position(F.slice(text_words, a["at"] + 1, REST), x)).cast("int")).otherwise(a["first"]).alias("first"),
+            (a["ok"] & (F.array_position(F.slice(text_words, a["at"] + 1, REST), x) > 0)).alias("ok"),
         ),
     )
     return contains_words(text_words, name_words) | (
@@ -378,14 +398,13 @@ def spread_match(text_words: Column, name_words: Column) -> Column:
 def ngrams(ws: Column, most: int = 3, stop: list[str] | None = None) -> Column:
     """Space-joined runs of 1 to `most` words that neither start nor end with a stop word."""
     stops = F.array(*(F.lit(s) for s in stop or [""]))
-    grams = [
-        F.transform(
-            F.when(F.size(ws) >= n, F.sequence(F.lit(1), F.size(ws) - n + 1)).otherwise(F.array().cast("array<int>")),
-            lambda i, n=n: F.slice(ws, i, n),
-        )
-        for n in range(1, most + 1)
-    ]
-    kept = F.filter(F.flatten(F.array(*grams)), lambda g: ~F.array_contains(stops, g[0]) & ~F.array_contains(stops, F.element_at(g, -1)))
+
+    def runs(w: Column, n: int) -> Column:
+        starts = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - n + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.slice(w, i, n))
+
+    grams = let(ws, lambda w: F.flatten(F.array(*(runs(w, n) for n in range(1, most + 1)))))
+    kept = F.filter(grams, lambda g: ~F.array_contains(stops, g[0]) & ~F.array_contains(stops, F.element_at(g, -1)))
     return F.transform(kept, lambda g: F.array_join(g, " "))
 
 

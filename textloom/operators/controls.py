@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.lineage import cut
 from .matching import citations
 from .model import OBJECT_KEY, is_name, object_id, project_texts, visible
 
@@ -396,7 +397,7 @@ def family_members(keys: DataFrame, families: DataFrame) -> DataFrame:
     return first.select("key", "x.*")
 
 
-def family_names(members: DataFrame, said: DataFrame, agreements: DataFrame, rounds: int = 8) -> DataFrame:
+def family_names(members: DataFrame, said: DataFrame, agreements: DataFrame, rounds: int = 20) -> DataFrame:
     """(key, family, expected, problem): each member's name by its template, chained families from their sources' expected names.
 
     Members whose source is no member are named first; each round names those whose source was named in the last. What is left
@@ -420,9 +421,13 @@ def family_names(members: DataFrame, said: DataFrame, agreements: DataFrame, rou
     name = lambda c: T.render_template(F.col("template"), c, F.col("gender"), F.col("number"), F.col("proper"), F.col("plural"))
     done = rows.filter("problem is null and not chained").select("key", "family", name(F.col("sfr")).alias("expected"))
     wait = rows.filter("problem is null and chained").select("key", "family", "template", "source").withColumns({c: F.lit(None).cast(t) for c, t in (("gender", "string"), ("number", "string"), ("proper", "boolean"), ("plural", "string"))})
-    reached, last = done, done
+    wait = cut(wait)
+    reached = last = cut(done)
     for _ in range(rounds):
         last = wait.join(last.select(F.col("key").alias("nk"), F.col("expected").alias("sfr")), F.col("source") == F.col("nk")).select("key", "family", name(F.col("sfr")).alias("expected"))
+        last = cut(last)
+        if last.isEmpty():
+            break
         reached = reached.unionByName(last)
     out = reached.select("key", "family", "expected", F.lit(None).cast("string").alias("problem"))
     failed = rows.filter("problem is not null").select("key", "family", F.lit(None).cast("string").alias("expected"), "problem")

@@ -193,15 +193,16 @@ def gram_frequencies(pairs: DataFrame) -> DataFrame:
     return pairs.select("key", sides.alias("x")).select("key", "x.side", F.explode("x.g").alias("gram"))
 
 
-def associations(pairs: DataFrame, least: int = 4, strength: float = 0.5) -> DataFrame:
-    """(term, rendering, both, n_term, n_rendering): French n-grams that stand in at least `strength` of an English term's texts.
+def associations(pairs: DataFrame, terms: DataFrame, least: int = 4, strength: float = 0.5) -> DataFrame:
+    """(term, rendering, both, n_term, n_rendering): French n-grams at least `strength` of whose texts hold the English term.
 
-    Only terms that recur are paired, and texts are joined by key, so pairs are those of single texts.
+    terms (term, as gram_frequencies writes n-grams) are few and asked for, so a text gives its terms times its n-grams, not all
+    pairs of n-grams.
     """
     grams = gram_frequencies(pairs)
     df = grams.groupBy("side", "gram").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
     kept = grams.join(df, ["side", "gram"])
-    en = kept.filter("side = 'en'").select("key", F.col("gram").alias("term"), F.col("n").alias("n_term"))
+    en = kept.filter("side = 'en'").join(F.broadcast(terms.select(F.col("term").alias("gram"))), "gram", "left_semi").select("key", F.col("gram").alias("term"), F.col("n").alias("n_term"))
     fr = kept.filter("side = 'fr'").select("key", F.col("gram").alias("rendering"), F.col("n").alias("n_rendering"))
     both = en.join(fr, "key").groupBy("term", "rendering").agg(F.count(F.lit(1)).alias("both"), F.first("n_term").alias("n_term"), F.first("n_rendering").alias("n_rendering"))
     return both.filter(F.col("both") >= strength * F.col("n_rendering")).filter(F.col("both") >= least)

@@ -5,8 +5,10 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ..functions import text as T
+from ..functions.lineage import cut
 
 MINIMUM = 5
 #: Upper bound that a zone's share of major defects has to stay below.
@@ -46,7 +48,7 @@ def draw(members: DataFrame, quota: DataFrame, seed: str) -> DataFrame:
     return ranked.filter(F.col("__n") <= F.col("quota")).select("stratum", "id")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def upper_bound(k: pd.Series, n: pd.Series) -> pd.Series:
     """One-sided 95 % Clopper-Pearson bound of k defects among n, by bisection of the exact binomial sum, over all rows at once."""
     import numpy as np
@@ -177,12 +179,14 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     Every round is cut off by a checkpoint in the shared folder.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    label = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")).withColumnRenamed("a", "node").checkpoint()
+    both = cut(both)
+    label = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")).withColumnRenamed("a", "node")
+    label = cut(label)
     for _ in range(rounds):
         near = both.join(label.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("m"))
         lower = label.join(near, "node").select("node", F.least("root", "m").alias("root"))
         jumped = lower.join(lower.select(F.col("node").alias("root"), F.col("root").alias("up")), "root", "left").select("node", F.coalesce("up", "root").alias("root"))
-        jumped = jumped.checkpoint()
+        jumped = cut(jumped)
         if jumped.join(label, ["node", "root"], "left_anti").isEmpty():
             break
         label = jumped

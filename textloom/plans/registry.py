@@ -1,13 +1,13 @@
-"""The registered queries over the driver tables, with the SQL that states each one's result."""
+"""The registered queries over the driver tables, with the SQL that states each one's result where SQL can."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
-
+from . import model_queries, review_queries, rule_queries, text_queries
 
 QUERIES: dict = {}
 ORACLES: dict = {}
+for _module in (text_queries, model_queries, rule_queries, review_queries):
+    QUERIES |= _module.QUERIES
+    ORACLES |= _module.ORACLES
+
+entry_query = QUERIES["search_folded"]
