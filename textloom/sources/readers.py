@@ -23,11 +23,11 @@ def whole_texts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parsed_map(text: Column, tolerant: bool = False) -> Column:
-    """A flat JSON object as a map; null if it can't be read. tolerant: retried without // comments at line ends."""
-    strict = F.from_json(text, "map<string,string>", {"mode": "PERMISSIVE", "allowComments": "false"})
+    """A flat JSON object as a map to variants; null if it can't be read. tolerant: retried without // comments at line ends."""
+    strict = F.from_json(text, "map<string,variant>", {"mode": "PERMISSIVE", "allowComments": "false"})
     if not tolerant:
         return strict
-    return F.coalesce(strict, F.from_json(F.regexp_replace(text, r"(?m)^\s*//[^\n]*$|(?<=[,{\"])\s*//[^\n\"]*$", ""), "map<string,string>"))
+    return F.coalesce(strict, F.from_json(F.regexp_replace(text, r"(?m)(^|[,{\"])\s*//[^\n\"]*$", "$1"), "map<string,variant>"))
 
 
 def lang_files(files: DataFrame, layer: str, tolerant: bool = False) -> DataFrame:
@@ -43,11 +43,8 @@ def lang_files(files: DataFrame, layer: str, tolerant: bool = False) -> DataFram
         F.regexp_extract("file", pattern, 2).alias("ns"),
         F.regexp_extract("file", pattern, 3).alias("locale"),
     ).filter(F.col("locale").rlike(LOCALE))
-    rows = rows.withColumn("typed", F.try_parse_json(F.col("text")))
-    rows = rows.select("*", F.posexplode(parsed_map(F.col("text"), tolerant)).alias("ord", "key", "value"))
-    # A value is a string if its JSON form is quoted.
-    text_value = F.col("typed").isNull() | F.coalesce(F.get_json_object("text", F.concat(F.lit("$['"), F.col("key"), F.lit("']"))) == F.col("value"), F.lit(True))
-    rows = rows.filter(text_value & F.col("value").isNotNull())
+    rows = rows.select("*", F.posexplode(parsed_map(F.col("text"), tolerant)).alias("ord", "key", "typed"))
+    rows = rows.filter(F.schema_of_variant("typed") == "STRING").withColumn("value", F.expr("variant_get(typed, '$', 'string')"))
     return rows.select(
         F.lit(layer).alias("layer"), F.when(F.lit(layer) == "jar", F.col("jar")).otherwise("").alias("jar"), "ns", "locale", "key", "value", "file", F.col("ord").cast("bigint").alias("ord")
     )

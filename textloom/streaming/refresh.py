@@ -19,7 +19,8 @@ def refresh(spark: SparkSession, entries_path: str, schema, store: str, checkpoi
         path = f"{store}/entries/batch={n}"
         batch.write.mode("overwrite").partitionBy("ns").parquet(path)
         touched = batch.select("ns").distinct()
-        everything = spark.read.schema(batch.schema).parquet(*[f"{store}/entries/batch={i}" for i in range(n + 1)])
+        known = [f"{store}/entries/batch={i}" for i in range(n + 1)]
+        everything = spark.read.schema(batch.schema).option("basePath", f"{store}/entries").parquet(*known).select(*batch.columns)
         fresh = key_index(everything.join(F.broadcast(touched), "ns", "left_semi"))
         if n:
             old = spark.read.parquet(f"{store}/index/version={n - 1}")
@@ -29,11 +30,7 @@ def refresh(spark: SparkSession, entries_path: str, schema, store: str, checkpoi
     stream = spark.readStream.schema(schema).parquet(entries_path)
     query = stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    done = query.lastProgress
-    last = done["batchId"] if done else None
-    names = spark.read.option("recursiveFileLookup", "false").parquet(f"{store}/index") if last is None else None
-    if names is not None:
-        last = names.agg(F.max("version")).first()[0]
+    last = spark.read.parquet(f"{store}/index").agg(F.max("version")).first()[0]
     return spark.read.parquet(f"{store}/index/version={last}")
 
 
