@@ -267,3 +267,11 @@ def template_names(spark, sf_dir):
     """Part names put into a template with elision, tested against plain Python."""
     p = table(spark, sf_dir, "part")
     return p.select("p_partkey", T.render_template(F.lit("Oeufs de {source} fumé{e}{s}"), F.col("p_name"), F.lit("f"), F.lit("p")).alias("name"))
+
+
+@query()
+def markup_render(spark, sf_dir):
+    """Every turn as HTML in the book dialect; tested against plain Python."""
+    from ..functions.markup import render
+
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", render(F.col("text"), "book").alias("html"))
