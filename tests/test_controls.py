@@ -185,3 +185,20 @@ def test_injected_faults_are_all_found(spark):
     for r in C.convention_control(texts, none, none).collect():
         rules.setdefault(r.object[0], set()).add(r.key)
     assert rules == {"apostrophe": want["apostrophe"], "ligature": want["ligature"]}
+
+
+def test_titles_sheets_and_family_nouns(spark):
+    rows = [("item.a.oak_log", "Oak Log", "Bûche de chêne"), ("item.a.birch_log", "Birch Log", "Bûche de bouleau"), ("item.a.iron_sewing_needle", "Iron Sewing Needle", "Aiguille de couture en fer"), ("item.a.gold_sewing_needle", "Gold Sewing Needle", "Aiguille de couture en or"), ("item.a.fish", "Red Fish", "Poisson rouge")]
+    rows += [("quests.q.title", "Any Log", "Un tronc"), ("quests.r.title", "Any Log", "Une bûche"), ("quests.s.d", "Bring a sewing needle", "Apporte une épingle"), ("quests.t.d", "Bring an Iron Sewing Needle", "Apporte une épingle")]
+    texts = spark.createDataFrame([(k, e, "project", f, "project", "a", None, e) for k, e, f in rows], "key string, en string, origin_en string, fr string, origin_fr string, ns_project string, en_rebuilt string, english string")
+    names = M.registry(texts).cache()
+    links = spark.createDataFrame([(k, f"a:{o}") for k in ("quests.q.title", "quests.r.title") for o in ("oak_log", "birch_log")] + [(k, "a:iron_sewing_needle") for k in ("quests.s.d", "quests.t.d")], "key string, object_id string")
+    (r,) = C.title_control(texts, names, links).collect()
+    assert (r.key, r.expected) == ("quests.q.title", "buch")
+    (r,) = C.family_noun_control(texts, names, links).collect()
+    assert (r.key, r.expected) == ("quests.s.d", "aiguille de couture")
+    books = spark.createDataFrame([("f", "x/fish.json", "/name", "Old name", "Vieux nom", ["a:fish"]), ("g", "y/fish.json", "/name", "The Red Fish", "x", ["a:fish"]), ("h", "z/other.json", "/name", "x", "y", ["a:fish"])], "key string, file string, pointer string, en string, fr string, objects array<string>")
+    (r,) = C.sheet_control(books, names).collect()
+    assert (r.key, r.expected) == ("f", "Poisson rouge")
+    extra = {tuple(r.en_tokens) for r in C.aliases(names).collect()} - {tuple(r.en_tokens) for r in names.collect()}
+    assert extra == set()  # all ids have the words of their names, but for the fish, whose one word is no alias

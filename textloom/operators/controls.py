@@ -545,3 +545,66 @@ def reference_control(texts: DataFrame, names: DataFrame, links: DataFrame, pins
             finding(unused, "references", FLAGGED, object=one("object"), detail="pin not used"),
         ]
     )
+
+
+def aliases(names: DataFrame) -> DataFrame:
+    """names with rows for the words of object ids ("iron_door" is also "iron door"), unless a real name has these words."""
+    path = F.regexp_replace(F.split("identifier", ":")[1], "[_/]", " ")
+    extra = names.filter("identifier is not null and citable").withColumn("en_tokens", T.words(path)).filter("size(en_tokens) > 1")
+    return names.unionByName(extra.join(names.select("en_tokens").distinct(), "en_tokens", "left_anti").select(*names.columns))
+
+
+EMPTY_FR = ["de", "d", "du", "des", "en", "a", "au", "al", "la", "le", "les", "l", "un", "une"]
+EMPTY_EN = ["the", "of", "from", "with", "s", "a", "an", "and", "or", "for", "in", "on", "to", "at", "by", "any"]
+
+
+def shared_words(rows: DataFrame, by: str, member: str, words: str) -> DataFrame:
+    """(by, shared, n): the words that all members of a group have. A word is shared if as many members have it as there are."""
+    n = rows.groupBy(by).agg(F.count_distinct(member).alias("n"))
+    each = rows.select(by, member, F.explode(words).alias("w")).groupBy(by, "w").agg(F.count_distinct(member).alias("m"))
+    found = each.join(n, by).filter("m = n").groupBy(by).agg(F.array_sort(F.collect_list("w")).alias("shared"))
+    return n.join(found, by, "left").select(by, F.coalesce("shared", F.array().cast("array<string>")).alias("shared"), "n")
+
+
+def title_control(texts: DataFrame, names: DataFrame, links: DataFrame) -> DataFrame:
+    """A quest's title that aims at several objects by a word they share in English uses a word that they share in French."""
+    titles = project_texts(texts).filter(F.col("key").rlike(r"^quests\..*\.(?:title|subtitle)$")).select("key", "fr", F.array_except(T.words(F.col("english")), F.array(*map(F.lit, EMPTY_EN))).alias("title"))
+    aimed = titles.join(links, "key").join(names.select(F.col("identifier").alias("object_id"), F.col("key").alias("name"), "en_tokens", "fr_tokens"), "object_id")
+    aimed = aimed.filter(F.arrays_overlap("title", "en_tokens")).dropDuplicates(["key", "name"])
+    masculine = lambda ws: F.array_distinct(F.transform(ws, T.masculine))
+    aimed = aimed.withColumn("en_shared", F.array_intersect("title", "en_tokens")).withColumn("fr_words", F.array_except(masculine("fr_tokens"), F.array(*map(F.lit, EMPTY_FR))))
+    en = shared_words(aimed, "key", "name", "en_shared").filter("n > 1 and size(shared) > 0").select("key")
+    fr = shared_words(aimed, "key", "name", "fr_words").select("key", "shared")
+    rows = titles.join(en, "key").join(fr, "key").withColumn("said", masculine(T.words(F.col("fr"))))
+    rows = rows.filter((F.size("shared") == 0) | ~F.arrays_overlap("shared", "said"))
+    why = F.when(F.size("shared") == 0, "the objects share no French word").otherwise("the objects' shared word is missing")
+    return finding(rows, "references", actual=F.col("fr"), expected=F.coalesce(F.get("shared", F.lit(0)), F.lit("")), detail=why)
+
+
+def sheet_control(books: DataFrame, names: DataFrame) -> DataFrame:
+    """The title of a document about an object names it: the object whose id has the file's name. books: key, file, pointer, en, fr, objects."""
+    stem = F.regexp_extract("file", r"([^/]+?)(?:\.[a-z]+)?$", 1)
+    heads = books.filter("pointer = '/name' and fr != ''").select("key", "en", "fr", stem.alias("stem"), F.explode("objects").alias("identifier"))
+    heads = heads.filter(F.split("identifier", ":")[1] == F.col("stem")).join(names.select("identifier", F.col("key").alias("name"), F.col("fr").alias("name_fr"), "en_tokens", "fr_tokens"), "identifier")
+    named = T.contains_words(T.words(F.col("en")), F.col("en_tokens")) | T.contains_words(T.words(F.col("fr")), F.col("fr_tokens"))
+    rows = heads.groupBy("key", "fr").agg(F.bool_or(named).alias("ok"), F.min(F.struct("name", "name_fr")).alias("x")).filter("not ok")
+    return finding(rows, "references", actual=F.col("fr"), expected=F.col("x.name_fr"), object=one("x.name"), detail="the sheet doesn't name what it is about")
+
+
+def family_noun_control(texts: DataFrame, names: DataFrame, links: DataFrame) -> DataFrame:
+    """A text linked to an object of a family that cites the family's common noun uses the words its French names begin with."""
+    from .matching import hits, name_families
+
+    families = name_families(names, EMPTY_EN, EMPTY_FR)
+    size = F.size("en_tokens")
+    members = names.filter("citable and identifier is not null and size(en_tokens) > 2").select(
+        "identifier", F.explode(F.transform(F.sequence(F.lit(2), size - 1), lambda n: F.slice("en_tokens", size - n + 1, n))).alias("ending")
+    )
+    said = project_texts(texts).select("key", "fr", T.words(F.col("english")).alias("ws"))
+    linked = links.join(members, F.col("object_id") == F.col("identifier")).select("key", "ending").distinct()
+    cited = hits(said.join(linked.select("key").distinct(), "key", "left_semi").select("key", "ws"), families.select(F.col("ending").alias("motif")))
+    whole = hits(said.select("key", "ws"), names.select(F.col("en_tokens").alias("motif"))).select("key", (F.col("pos") + F.col("len")).alias("end"), F.col("len").alias("full"))
+    cited = cited.withColumn("end", F.col("pos") + F.col("len")).join(whole, ["key", "end"], "left").groupBy("key", "motif", "pos", "len").agg(F.max("full").alias("full"))
+    cited = cited.filter("full is null or full <= len").select("key", F.col("motif").alias("ending")).distinct().join(linked, ["key", "ending"], "left_semi")
+    rows = cited.join(families, "ending").join(said.select("key", "fr"), "key").filter(~T.contains_words(T.words(F.col("fr")), F.col("prefix")))
+    return finding(rows, "references", actual=F.col("fr"), expected=F.array_join("prefix", " "), object=one(F.array_join("ending", " ")), detail="common noun of a family rendered otherwise")
