@@ -18,18 +18,18 @@ def corpus(spark):
         ("vanilla", "", "base", "en_us", "block.base.oak_planks", "Oak Planks"), ("vanilla", "", "base", "fr_fr", "block.base.oak_planks", "Planches de chêne"),
         ("jar", "a", "furniture", "en_us", "block.furniture.sofa", "Sofa"), ("jar", "a", "furniture", "fr_fr", "block.furniture.table", "Table"),
         ("jar", "b", "furniture", "en_us", "block.furniture.table", "Table"),
-        ("project", "", "society", "en_us", "item.society.red_key", " "), ("project", "", "society", "fr_fr", "item.society.red_key", "Clé rouge"),
-        ("project", "", "society", "fr_fr", "block.furniture.sofa", "Canapé"), ("project", "", "furniture", "fr_fr", "block.furniture.sofa", "Sofa"),
-        ("project", "", "society", "ko_kr", "item.society.forgotten", "x"), ("project", "", "society", "fr_fr", "_comment", "hidden"),
-        ("project", "", "society", "en_us", "dialog.hello", "Hello, take %s 5 Red Keys"), ("project", "", "society", "fr_fr", "dialog.hello", "Bonjour, prenez %s 5 clés bleues"),
-        ("project", "", "society", "en_us", "item.society.iron_door", "Iron Door"), ("project", "", "society", "fr_fr", "item.society.iron_door", "Porte en fer"),
-        ("project", "", "society", "en_us", "dialog.door", "Open the Iron Door"), ("project", "", "society", "fr_fr", "dialog.door", "Ouvre le portail"),
-        ("project", "", "society", "en_us", "dialog.lost", "Lost"), ("project", "", "society", "en_us", "dialog.nothing", ""),
-        ("project", "", "society", "en_us", "block.x.oak_slab", "Oak Slab"), ("project", "", "society", "fr_fr", "block.x.oak_slab", "Dalle de chêne"),
-        ("project", "", "society", "en_us", "block.x.rock_slab", "Rock Slab"), ("project", "", "society", "fr_fr", "block.x.rock_slab", "Dalle de roche"),
+        ("project", "", "village", "en_us", "item.village.red_key", " "), ("project", "", "village", "fr_fr", "item.village.red_key", "Clé rouge"),
+        ("project", "", "village", "fr_fr", "block.furniture.sofa", "Canapé"), ("project", "", "furniture", "fr_fr", "block.furniture.sofa", "Sofa"),
+        ("project", "", "village", "ko_kr", "item.village.forgotten", "x"), ("project", "", "village", "fr_fr", "_comment", "hidden"),
+        ("project", "", "village", "en_us", "dialog.hello", "Hello, take %s 5 Red Keys"), ("project", "", "village", "fr_fr", "dialog.hello", "Bonjour, prenez %s 5 clés bleues"),
+        ("project", "", "village", "en_us", "item.village.iron_door", "Iron Door"), ("project", "", "village", "fr_fr", "item.village.iron_door", "Porte en fer"),
+        ("project", "", "village", "en_us", "dialog.door", "Open the Iron Door"), ("project", "", "village", "fr_fr", "dialog.door", "Ouvre le portail"),
+        ("project", "", "village", "en_us", "dialog.lost", "Lost"), ("project", "", "village", "en_us", "dialog.nothing", ""),
+        ("project", "", "village", "en_us", "block.x.oak_slab", "Oak Slab"), ("project", "", "village", "fr_fr", "block.x.oak_slab", "Dalle de chêne"),
+        ("project", "", "village", "en_us", "block.x.rock_slab", "Rock Slab"), ("project", "", "village", "fr_fr", "block.x.rock_slab", "Dalle de roche"),
     ]
     entries = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], ENTRY)
-    rebuilt = spark.createDataFrame([("item.society.red_key", "Red Key")], "key string, en string")
+    rebuilt = spark.createDataFrame([("item.village.red_key", "Red Key")], "key string, en string")
     books = spark.createDataFrame([("b#/name", "Iron Door", "La porte"), ("b#/text", "Text", "")], "key string, en string, fr string")
     journal = spark.createDataFrame([("journal", "# A\n- b", "# A\n## b")], "key string, en string, fr string")
     return entries, M.effective_text(entries, rebuilt).cache(), books, journal
@@ -47,19 +47,19 @@ def test_merge(corpus):
     entries, texts, *_ = corpus
     rows = {r.key: r for r in texts.collect()}
     assert rows["block.furniture.sofa"].fr == "Canapé" and rows["block.furniture.sofa"].origin_fr == "project"
-    assert rows["item.society.red_key"].english == "Red Key" and rows["item.society.red_key"].en == " "
+    assert rows["item.village.red_key"].english == "Red Key" and rows["item.village.red_key"].en == " "
     assert rows["block.base.stone"].origin_fr == "vanilla"
     (d,) = M.duplicate_definitions(entries).collect()
-    assert d.key == "block.furniture.sofa" and d.definitions == {"furniture": "Sofa", "society": "Canapé"}
+    assert d.key == "block.furniture.sofa" and d.definitions == {"furniture": "Sofa", "village": "Canapé"}
     index = {r.id: r for r in M.key_index(entries).collect()}
-    assert index["lang:society:dialog.lost"].origin == "pack" and index["lang:furniture:block.furniture.sofa"].present_pack == ["fr_fr"]
+    assert index["lang:village:dialog.lost"].origin == "pack" and index["lang:furniture:block.furniture.sofa"].present_pack == ["fr_fr"]
 
 
 def test_coverage(corpus):
     entries, texts, books, _ = corpus
     got = details(C.coverage(texts, M.witnesses(entries), M.duplicate_definitions(entries), books))
     assert got["dialog.lost"] == "English without French"
-    assert got["item.society.forgotten"].startswith("only in witnesses: ko_kr")
+    assert got["item.village.forgotten"].startswith("only in witnesses: ko_kr")
     assert got["b#/text"] == "book field without French"
     assert got["dialog.nothing"] == "object without English"
     assert got["block.furniture.sofa"].startswith("defined in several")
@@ -76,7 +76,7 @@ def test_codes_and_numbers(corpus, spark):
 
 def test_conventions(corpus):
     _, texts, books, journal = corpus
-    got = {(r.key, r.object[0]) for r in C.convention_control(texts, books, journal).collect()}
+    got = {(r.key, r.object[0]) for r in C.convention_control(texts, books, journal, familiar="^village").collect()}
     assert ("dialog.hello", "formal address") in got
     assert ("block.x.oak_slab", "naming") in got and ("block.x.rock_slab", "naming") not in got
 
@@ -93,11 +93,11 @@ def test_references(corpus, spark):
     _, texts, _, _ = corpus
     names = M.registry(texts)
     none = spark.createDataFrame([], "key string, object_id string")
-    pins = spark.createDataFrame([("dialog.door", "item.society.none")], "key string, object string")
+    pins = spark.createDataFrame([("dialog.door", "item.village.none")], "key string, object string")
     got = {(r.key, r.detail) for r in C.reference_control(texts, names, none, pins).collect()}
     assert ("dialog.door", "displayed name not used") in got and ("dialog.door", "pin not used") in got
     assert ("dialog.hello", "displayed name not used") in got
-    assert not any(k == "item.society.iron_door" for k, _ in got)
+    assert not any(k == "item.village.iron_door" for k, _ in got)
 
 
 def test_spelling_accents_case(corpus, spark):

@@ -12,7 +12,7 @@ from textloom.functions import text as T
 
 SAMPLES = [
     "", "Hello world", "Les chevaux et les tuyaux, coraux; émaux!", "Œuf à l'ÆON ﬁn ß ẞ Đð Łł", "§aVert §lgras%s &6or &amp $(item)x$() ${v} {0} {@page} {image:a}",
-    "a\\nb\nc $(br)d$(li)e", "minecraft:stone and #tag:x :coin: http://x.y/z", "25 % de 1 000,5 pour 1.000 et 65.536 puis trois ou Quatrième, double", "ÀÉÎõü ǼǾ ｆｕｌｌ ²", "L'été: oui ? non",
+    "a\\nb\nc $(br)d$(li)e", "base:stone and #tag:x :coin: http://x.y/z", "25 % de 1 000,5 pour 1.000 et 65.536 puis trois ou Quatrième, double", "ÀÉÎõü ǼǾ ｆｕｌｌ ²", "L'été: oui ? non",
     "Prix de la pousse : 12", "<ltred>x</ltred> %1$s %.2f %% @i", "日本語 кириллица", "aux eaux baux bail corail rail",
 ]
 

@@ -270,7 +270,7 @@ def width_control(texts: DataFrame, sold: DataFrame, limits: DataFrame, mods: bo
 
 
 # 9
-def convention_control(texts: DataFrame, books: DataFrame, journal: DataFrame, base_ns: str = "base", familiar: str = "^society", percent: str | None = "space") -> DataFrame:
+def convention_control(texts: DataFrame, books: DataFrame, journal: DataFrame, base_ns: str = "base", familiar: str = "^project", percent: str | None = "space") -> DataFrame:
     """Typography and naming: one pass over the texts, the rules of each as an array of hits."""
     said = shown_texts(texts, books, journal, project=True)
     planks = r"^block\.([^.]+)\.([a-z0-9_]+)_planks$"
