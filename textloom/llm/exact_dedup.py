@@ -46,11 +46,14 @@ def fold_stream(spark: SparkSession, staged_path: str, schema, checkpoint: str,
     Call it again with the same checkpoint and out after more files came: known digests keep their state.
     """
     s = spark.newSession()
-    s.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    # A state row is a few hundred bytes, so a quarter of the partitions that texts get is plenty; each has its own store and files.
+    s.conf.set("spark.sql.shuffle.partitions", str(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)))
     s.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     s.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     s.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
-    s.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "200")
+    s.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "96")
+    s.conf.set("spark.sql.streaming.stateStore.maintenanceInterval", "10s")  # stores of a query that has ended are closed then
+    s.conf.set("spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB", "8")
     s.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")  # else each partition's store reserves megabytes
     s.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     state = (
