@@ -27,8 +27,8 @@ SPAN, STEP = 16, 8
 #: A span with fewer n-grams than this is averaged as if the rest were zero: a few characters are little evidence.
 LEAST = 120
 #: Labelled rows that training reads: of each label, and the most bytes of each (longer ones are passed over, not cut).
-TRAIN_ROWS = 2500
-TRAIN_BYTES = 20_000
+TRAIN_ROWS = 2000
+TRAIN_BYTES = 8_000
 PREDICT_AT = 0.3
 
 
@@ -40,7 +40,7 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     words = (text or "").encode("utf-8", "replace").translate(ALNUM_TABLE).split()
     words = [w for w, before in zip(words, [None, *words]) if w != before]
     if not words:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
     buf = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8)
     blank = buf == 32
     seen = np.cumsum(blank)  # marks up to and with a byte
@@ -58,11 +58,11 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
         ok = marks[np.minimum(seen[: len(h)], len(marks) - 1)] >= np.arange(n - 1, len(h) + n - 1)
         h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
-        ids.append(((h >> np.uint64(40)) % np.uint64(BUCKETS)).astype(np.int64)[ok])
-        owner.append(word_of[:-1][: len(h)][ok])
+        ids.append(((h >> np.uint64(40)) % np.uint64(BUCKETS)).astype(np.int32)[ok])
+        owner.append(word_of[:-1][: len(h)][ok].astype(np.int32))
     ids, owner = np.concatenate(ids), np.concatenate(owner)
     order = np.argsort(owner, kind="stable")
-    return ids[order], np.bincount(owner, minlength=len(words))
+    return ids[order], np.bincount(owner, minlength=len(words)).astype(np.int32)
 
 
 def spans(n_words: int) -> np.ndarray:
@@ -81,7 +81,7 @@ class Model:
 
     def slim(self) -> tuple[np.ndarray, float, float, float]:
         """What scoring needs: for two classes the softmax depends on emb @ (layer[1] - layer[0]) alone."""
-        return self.emb @ (self.layer[1] - self.layer[0]), self.bias, self.a, self.b
+        return (self.emb @ (self.layer[1] - self.layer[0])).astype(np.float64), self.bias, self.a, self.b
 
 
 def span_logits(weight: np.ndarray, bias: float, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -107,7 +107,7 @@ def train(texts: list[str], toxic: list[int], rounds: int = 8, seed: int = 7) ->
     """Fit embeddings and layer together (AdaGrad on the log loss); an empty or one-sided sample gives a model that scores near 0."""
     rng = np.random.default_rng(seed)
     y = np.array(toxic)
-    emb, layer, bias = rng.normal(0, 0.02, (BUCKETS, DIM)), np.zeros((2, DIM)), -3.0
+    emb, layer, bias = rng.normal(0, 0.02, (BUCKETS, DIM)).astype(np.float32), np.zeros((2, DIM)), -3.0
     layer[1] = rng.normal(0, 1, DIM) / np.sqrt(DIM)
     if not (y == 1).any() or not (y == 0).any():
         return Model(emb * 0, layer, -6.0)
@@ -149,7 +149,8 @@ def train(texts: list[str], toxic: list[int], rounds: int = 8, seed: int = 7) ->
             owner = np.repeat(np.arange(len(part)), lens)
             mean = np.zeros((len(part), DIM))
             if len(ids):
-                np.add.at(mean, owner, emb[ids])
+                full = lens > 0
+                mean[full] = np.add.reduceat(emb[ids], (np.cumsum(lens) - lens)[full])
             mean /= np.maximum(LEAST, lens)[:, None]
             side = layer[1] - layer[0]
             p = 1 / (1 + np.exp(-np.clip(mean @ side + bias, -30, 30)))
