@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm.common import save
+from textloom.llm.common import save, small_batches
 from textloom.llm.decontaminate import drop_contaminated
 from textloom.llm.exact_dedup import keep_first_copies
 from textloom.llm.sentencepiece_codec import encode
@@ -14,26 +14,31 @@ from textloom.llm.toxicity import drop_toxic
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model doesn't reject; it learns from the labels of sf_dir that are among docs."""
+    small_batches(spark)
     return drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts (but for blanks)."""
+    small_batches(spark)
     return keep_first_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group of near duplicates."""
+    small_batches(spark)
     return keep_one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the benchmark of sf_dir doesn't contaminate."""
+    small_batches(spark)
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_pieces, decoded, round_trip of every document."""
+    small_batches(spark)
     return encode(docs)
 
 

@@ -34,6 +34,15 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+#: Texts handed to a Python worker at once. Spark's default of 10,000 is meant for numbers; texts of that many rows fill buffers.
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Set the session's Arrow batches for texts; the queries and the pipeline's stages call it, operators leave sessions alone."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def workspace(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

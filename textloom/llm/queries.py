@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .common import small_batches
 from .decontaminate import contamination
 from .exact_dedup import exact_duplicates
 from . import licenses, secrets
@@ -16,6 +17,7 @@ from .warc import through_archives
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -132,9 +132,9 @@ def trie_join(a: np.ndarray, b: np.ndarray | None, depth: int, differ: int, foun
 
 
 def _leaves(a: np.ndarray, b: np.ndarray, nodes: np.ndarray, own: bool, found) -> None:
-    """Compare all leaves of each node pair, about a million pairs at once."""
+    """Compare all leaves of each node pair, about 250,000 pairs at once."""
     sizes = (nodes[:, 1] - nodes[:, 0]) * (nodes[:, 3] - nodes[:, 2])
-    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // 1_000_000)) + 1
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // 250_000)) + 1
     for part in np.split(nodes, cuts):
         la, ha, lb, hb, _ = part.T
         wide = hb - lb
