@@ -42,6 +42,7 @@ class Codec:
         special = [sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) for i in range(n)]
         self.score = {sp.id_to_piece(i): sp.get_score(i) for i in range(n) if not special[i]}
         self.id = {p: sp.piece_to_id(p) for p in self.score}
+        self.own = {p: p for p in self.score}  # one string object for each piece, so that stored pairs are small
         #: By the last three characters of a piece: the lengths of the pieces that end so, longest first.
         tails: dict[str, set[int]] = {}
         for p in self.score:
@@ -93,20 +94,20 @@ class Codec:
 
     def by_merges(self, word: str, same: int, last: list[str]) -> None:
         """Append the forward states of word's prefixes of over `same` characters; those of the shorter ones are there."""
-        score, tails, apart = self.score, self.tails, self.apart
+        own, tails, apart = self.own, self.tails, self.apart
         for end in range(same + 1, len(word) + 1):
             for n in tails.get(word[end - 3 : end], ()) if end > 2 else ():
                 if n <= end:
-                    piece = word[end - n : end]
-                    if piece in score:
+                    piece = own.get(word[end - n : end])
+                    if piece is not None:
                         left = last[end - n]
                         fits = apart.get((left, piece))
                         if fits or fits is None and self.fits(left, piece):
                             last.append(piece)
                             break
             else:
-                two = word[end - 2 : end] if end > 1 else ""
-                last.append(two if two in score and self.fits(last[end - 2], two) else word[end - 1])
+                two = own.get(word[end - 2 : end]) if end > 1 else None
+                last.append(two if two is not None and self.fits(last[end - 2], two) else own.get(word[end - 1], word[end - 1]))
 
     def by_scores(self, word: str, same: int, last: list[str], best: list[float]) -> None:
         """The same for the best path of summed scores, with the sums beside."""
@@ -222,7 +223,7 @@ _LOADED: dict[int, Codec] = {}
 
 
 def codec(blob: bytes) -> Codec:
-    """One codec per worker process and model, so that its words and pairs last from task to task."""
+    """One codec per worker process and model, so that the pairs that were tried last from task to task."""
     key = hash(blob)
     if key not in _LOADED:
         _LOADED.clear()
@@ -257,6 +258,7 @@ def encode(docs: DataFrame, model: str = DEFAULT_MODEL, id_col: str = "doc_id",
                     [ids.slice(at, rows), pa.array(coded, pa.list_(pa.int32())), pa.array(list(map(len, coded)), pa.int64()), pa.array(back, pa.string()), pa.array(same)],
                     ["doc_id", "ids", "n_pieces", "decoded", "round_trip"],
                 )
+        c.words.clear()  # a worker that goes on to other stages keeps the pairs alone
 
     schema = "doc_id bigint, ids array<int>, n_pieces bigint, decoded string, round_trip boolean"
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
