@@ -9,7 +9,7 @@ from .decontaminate import contamination
 from .exact_dedup import exact_duplicates
 from . import licenses, secrets
 from .html_text import extract
-from .lm_score import lm_scores
+from .lm_score import ORDER, lm_scores
 from .sentencepiece_codec import encode
 from .simhash import near_duplicates
 from .toxicity import toxicity
@@ -30,7 +30,7 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scores(table(spark, sf_dir, "documents"))
+    return lm_scores(table(spark, sf_dir, "documents"), ORDER)
 
 
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
