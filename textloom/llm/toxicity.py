@@ -10,12 +10,15 @@ labelled rows; each text is then scored whole, in one pass without a shuffle.
 
 from __future__ import annotations
 
+import warnings
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM_TABLE
+from .common import ALNUM_TABLE, save
 
 GRAMS = (3, 4, 5, 6)
 BUCKETS = 1 << 18
@@ -26,19 +29,27 @@ G0 = 3e-4
 SPAN, STEP = 16, 8
 #: A span with fewer n-grams than this is averaged as if the rest were zero: a few characters are little evidence.
 LEAST = 120
-#: Labelled rows that training reads: of each label, and the most bytes of each (longer ones are passed over, not cut).
+#: Labelled rows of each label that training reads, whole.
 TRAIN_ROWS = 2000
-TRAIN_BYTES = 8_000
 PREDICT_AT = 0.3
 
 
+def words_of(text: str | None) -> list[bytes]:
+    """The words; one that repeats itself directly counts once."""
+    words = (text or "").encode("utf-8", "replace").translate(ALNUM_TABLE).split()
+    return [w for w, before in zip(words, [None, *words]) if w != before]
+
+
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """(bucket of each n-gram, by word; number of n-grams of each word). n-grams reach over no boundary but a word's own two marks.
 
     A word that repeats itself directly counts once.
     """
-    words = (text or "").encode("utf-8", "replace").translate(ALNUM_TABLE).split()
-    words = [w for w, before in zip(words, [None, *words]) if w != before]
+    return grams(words_of(text))
+
+
+def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """features() of words."""
     if not words:
         return np.zeros(0, np.int32), np.zeros(0, np.int32)
     buf = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8)
@@ -103,50 +114,80 @@ def score_one(slim: tuple, text: str | None) -> float:
     return float(1 / (1 + np.exp(-np.clip(a * top + b, -30, 30))))
 
 
-def train(texts: list[str], toxic: list[int], rounds: int = 8, seed: int = 7) -> Model:
+class Sample:
+    """Labelled texts as numbers of words. Each distinct word's n-grams are held once, so a text takes less room than its characters."""
+
+    def __init__(self):
+        self.number: dict[bytes, int] = {}
+        self.docs: list[np.ndarray] = []
+        self.toxic: list[int] = []
+
+    def add(self, words: list[bytes], toxic: int) -> None:
+        self.docs.append(np.array([self.number.setdefault(w, len(self.number)) for w in words], np.int32))
+        self.toxic.append(toxic)
+
+
+def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... (size of them), for each start and size."""
+    return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
+def train(sample: Sample, rounds: int = 8, seed: int = 7) -> Model:
     """Fit embeddings and layer together (AdaGrad on the log loss); an empty or one-sided sample gives a model that scores near 0."""
     rng = np.random.default_rng(seed)
-    y = np.array(toxic)
+    y, docs = np.array(sample.toxic), sample.docs
     emb, layer, bias = rng.normal(0, 0.02, (BUCKETS, DIM)).astype(np.float32), np.zeros((2, DIM)), -3.0
     layer[1] = rng.normal(0, 1, DIM) / np.sqrt(DIM)
     if not (y == 1).any() or not (y == 0).any():
+        if len(y):
+            warnings.warn(f"toxicity: all {len(y)} labelled training texts are {'toxic' if y[0] else 'clean'}, so nothing can be learned and nothing is rejected", stacklevel=2)
         return Model(emb * 0, layer, -6.0)
-    docs = [features(t) for t in texts]
-    docs_spans = []
-    for ids, counts in docs:
-        c = np.concatenate([[0], np.cumsum(counts)])
-        first = spans(len(counts)) if len(counts) else np.zeros(1, np.int64)
-        docs_spans.append((c[first], c[np.minimum(first + SPAN, len(counts))]))
+    buckets, sizes = grams(list(sample.number))
+    ends = np.cumsum(sizes, dtype=np.int64)
+    starts = ends - sizes
+
+    def logits(weight: np.ndarray, bias: float, wanted):
+        """span_logits() of each wanted document."""
+        by_word = np.diff(np.concatenate([[0.0], np.cumsum(weight[buckets], dtype=np.float64)])[np.concatenate([[0], ends])])
+        for d in wanted:
+            if not len(docs[d]):
+                yield d, np.array([bias])
+                continue
+            first = spans(len(docs[d]))
+            last = np.minimum(first + SPAN, len(docs[d]))
+            s, c = (np.concatenate([[0], np.cumsum(x[docs[d]])]) for x in (by_word, sizes))
+            yield d, (s[last] - s[first]) / np.maximum(LEAST, c[last] - c[first]) + bias
+
     fit = rng.random(len(docs)) < 0.8  # the rest calibrates
     g2, gl2, gb2 = np.full(BUCKETS, G0), np.full((2, DIM), 1e-6), 1e-6
     for r in range(rounds):
         weight = emb @ (layer[1] - layer[0])
         items: list[tuple[int, int, int, float]] = []  # document, span, label, weight
-        for d in np.flatnonzero(fit):
-            n = len(docs_spans[d][0])
+        for d, z in logits(weight, bias, np.flatnonzero(fit)):
+            n = len(z)
             if y[d] == 0:
                 chosen = rng.permutation(n)[:12]
                 if r:  # and the spans that look worst
-                    z = span_logits(weight, bias, *docs[d])
                     chosen = np.unique(np.append(chosen, np.argsort(-z)[:6]))
                 items += [(d, s, 0, 1.0) for s in chosen]
             elif r == 0:
                 chosen = rng.permutation(n)[:12]
                 items += [(d, s, 1, 1.0) for s in chosen]
             else:
-                z = span_logits(weight, bias, *docs[d])
                 chosen = np.flatnonzero(z >= max(z.max() - 1e-9, 0.5))
                 chosen = chosen if len(chosen) else np.array([z.argmax()])
                 items += [(d, s, 1, 2.0) for s in chosen[:12]]
         order = rng.permutation(len(items))
         for at in range(0, len(items), 128):
             part = [items[i] for i in order[at : at + 128]]
-            pieces = [docs[d][0][docs_spans[d][0][s] : docs_spans[d][1][s]] for d, s, _, _ in part]
+            pieces = [docs[d][first : first + SPAN] for d, first in ((d, spans(len(docs[d]))[s]) for d, s, _, _ in part)]
+            words = np.concatenate(pieces)
+            ids = buckets[ragged(starts[words], sizes[words])]
+            owner = np.repeat(np.repeat(np.arange(len(part)), [len(p) for p in pieces]), sizes[words])
             # Some words of each span lose some n-grams, as a misspelling would take them.
-            pieces = [p[rng.random(len(p)) > 0.15] if len(p) else p for p in pieces]
-            lens = np.array([len(p) for p in pieces])
-            ids = np.concatenate(pieces) if lens.sum() else np.zeros(0, np.int64)
-            owner = np.repeat(np.arange(len(part)), lens)
+            kept = rng.random(len(ids)) > 0.15
+            ids, owner = ids[kept], owner[kept]
+            lens = np.bincount(owner, minlength=len(part))
             mean = np.zeros((len(part), DIM))
             if len(ids):
                 full = lens > 0
@@ -170,7 +211,7 @@ def train(texts: list[str], toxic: list[int], rounds: int = 8, seed: int = 7) ->
     weight = emb @ (layer[1] - layer[0])
     rest = np.flatnonzero(~fit)
     if len(set(y[rest])) == 2:
-        z = np.array([span_logits(weight, bias, *docs[d]).max() for d in rest])
+        z = np.array([x.max() for _, x in logits(weight, bias, rest)])
         model.a, model.b = calibrated(z, y[rest])
     return model
 
@@ -191,32 +232,38 @@ def calibrated(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return (float(a), float(b)) if a > 0 else (1.0, 0.0)
 
 
-def sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, most_bytes: int = TRAIN_BYTES) -> tuple[list[str], list[int]]:
-    """At most `rows` labelled training texts of each label, in the order of a hash of their id.
+def sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Sample:
+    """At most `rows` labelled training texts of each label, in the order of a hash of their id, whatever their length.
 
-    Training ids are those whose crc32 (of the id as text) mod 4 isn't 2. Ids with both labels, or none, are no training rows.
+    Training ids are those whose crc32 (of the id as text) mod 4 isn't 2. Ids with both labels, or none, are no training rows, and
+    ids without a text take no place. Tasks hand on each picked text's words, compressed.
     """
     known = (
         labels.filter("doc_id is not null and toxic is not null and crc32(cast(doc_id as string)) % 4 != 2")
         .groupBy(F.col("doc_id").alias("__id"))
         .agg(F.min("toxic").alias("low"), F.max("toxic").alias("high"))
         .filter("low = high")
+        .join(docs.select(F.col("doc_id").alias("__id")), "__id", "left_semi")
     )
+
+    def run(batches):
+        for batch in batches:
+            packed = [zlib.compress(b" ".join(words_of(t.as_py())), 1) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary()), batch.column(2)], ["id", "words", "toxic"])
+
     picked = [
         known.filter(F.col("high") == side).select("__id", F.lit(side).alias("__toxic")).orderBy(F.xxhash64("__id"), "__id").limit(rows)
         for side in (0, 1)
     ]
     ids = F.broadcast(picked[0].unionByName(picked[1]))  # 2 * rows at most
-    found = (
-        docs.select(F.col("doc_id").alias("__doc"), F.coalesce("text", F.lit("")).alias("__text"))
-        .join(ids, F.col("__doc") == F.col("__id"))
-        .filter(F.octet_length("__text") <= most_bytes)
-        .orderBy(F.xxhash64("__doc"), "__doc", "__text")
-        .limit(2 * rows)
-        .select("__text", "__toxic")
-        .collect()
-    )
-    return [r[0] for r in found], [r[1] for r in found]
+    found = docs.select(F.col("doc_id").alias("__doc"), F.coalesce("text", F.lit("")).alias("__text")).join(ids, F.col("__doc") == F.col("__id"))
+    found = save(found.select(F.col("__id").cast("bigint").alias("id"), "__text", "__toxic").mapInArrow(run, "id bigint, words binary, toxic int"), "sample")
+    out = Sample()
+    both = [found.filter(F.col("toxic") == side).orderBy(F.xxhash64("id"), "id", "words").limit(rows).collect() for side in (0, 1)]
+    # Both labels in one order, so that neither the fitting nor the calibration rows lean to one.
+    for r in sorted((r for part in both for r in part), key=lambda r: (zlib.crc32(str(r.id).encode()), r.id, bytes(r.words))):
+        out.add(zlib.decompress(r.words).split(), r.toxic)
+    return out
 
 
 def with_toxicity(docs: DataFrame, model: Model) -> DataFrame:
@@ -246,7 +293,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Null and empty texts get the score of a text without words. Repeated rows are scored alike; a null doc_id is not held out.
     Without labels of both kinds every score is near 0. Other columns of either table are never read.
     """
-    model = train(*sample(docs.select("doc_id", "text"), labels.select("doc_id", "toxic")))
+    model = train(sample(docs.select("doc_id", "text"), labels.select("doc_id", "toxic")))
     scored = with_toxicity(docs.select("doc_id", "text"), model)
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     return scored.select("doc_id", held.alias("held_out"), F.col("__score").alias("score"), F.col("__toxic").cast("int").alias("predicted"))
@@ -254,5 +301,5 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs, in its own columns, without those that the model rejects (score of PREDICT_AT or more)."""
-    model = train(*sample(docs.select("doc_id", "text"), labels.select("doc_id", "toxic")))
+    model = train(sample(docs.select("doc_id", "text"), labels.select("doc_id", "toxic")))
     return with_toxicity(docs, model).filter(~F.col("__toxic")).drop("__score", "__toxic")
