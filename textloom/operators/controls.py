@@ -397,7 +397,7 @@ def family_members(keys: DataFrame, families: DataFrame) -> DataFrame:
     return first.select("key", "x.*")
 
 
-def family_names(members: DataFrame, said: DataFrame, agreements: DataFrame, rounds: int = 20) -> DataFrame:
+def family_names(members: DataFrame, said: DataFrame, agreements: DataFrame) -> DataFrame:
     """(key, family, expected, problem): each member's name by its template, chained families from their sources' expected names.
 
     Members whose source is no member are named first; each round names those whose source was named in the last. What is left
@@ -423,7 +423,7 @@ def family_names(members: DataFrame, said: DataFrame, agreements: DataFrame, rou
     wait = rows.filter("problem is null and chained").select("key", "family", "template", "source").withColumns({c: F.lit(None).cast(t) for c, t in (("gender", "string"), ("number", "string"), ("proper", "boolean"), ("plural", "string"))})
     wait = cut(wait)
     reached = last = cut(done)
-    for _ in range(rounds):
+    while True:
         last = wait.join(last.select(F.col("key").alias("nk"), F.col("expected").alias("sfr")), F.col("source") == F.col("nk")).select("key", "family", name(F.col("sfr")).alias("expected"))
         last = cut(last)
         if last.isEmpty():

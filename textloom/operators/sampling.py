@@ -173,24 +173,23 @@ def verdict_totals(rows: DataFrame) -> DataFrame:
 # --- zones -----------------------------------------------------------------------------------------------------------------
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node that each node of edges (a, b) is linked with, by spreading smallest labels and jumping.
 
-    Every round is cut off by a checkpoint in the shared folder.
+    Rounds end when no label has changed. Every round is cut off by a checkpoint in the shared folder.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = cut(both)
     label = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")).withColumnRenamed("a", "node")
     label = cut(label)
-    for _ in range(rounds):
+    while True:
         near = both.join(label.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("m"))
         lower = label.join(near, "node").select("node", F.least("root", "m").alias("root"))
         jumped = lower.join(lower.select(F.col("node").alias("root"), F.col("root").alias("up")), "root", "left").select("node", F.coalesce("up", "root").alias("root"))
         jumped = cut(jumped)
         if jumped.join(label, ["node", "root"], "left_anti").isEmpty():
-            break
+            return label
         label = jumped
-    return label
 
 
 def family_links(members: DataFrame) -> DataFrame:

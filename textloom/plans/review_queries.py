@@ -174,6 +174,13 @@ def connected_components(spark, sf_dir):
     return P.components(li.select((F.col("l_orderkey") * 2).alias("a"), (F.col("l_suppkey") * 2 + 1).alias("b")))
 
 
+@query()
+def all_connected_components(spark, sf_dir):
+    """Orders and suppliers that any line item links; tested against plain Python."""
+    li = table(spark, sf_dir, "lineitem")
+    return P.components(li.select((F.col("l_orderkey") * 2).alias("a"), (F.col("l_suppkey") * 2 + 1).alias("b")))
+
+
 @query("select c_nationkey as family, first_id as a, c_custkey as b from customer join (select c_nationkey, min(c_custkey) as first_id from customer group by 1) using (c_nationkey) where c_custkey <> first_id")
 def family_links(spark, sf_dir):
     m = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("family"), F.col("c_custkey").alias("key"))
