@@ -23,7 +23,10 @@ UNSEEN = re.compile(r"(?i)display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse
 
 # The element groups of the HTML standard that matter to the layout.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head title script style template noscript datalist iframe object video audio canvas svg math noframes".split())
+HIDDEN = frozenset("head title script style template noscript datalist iframe object video audio canvas noframes".split())
+#: Formulas and drawings are seen, but for these parts of them; a slash ends an element within them.
+FOREIGN, FOREIGN_HIDDEN = frozenset(("svg", "math")), frozenset("title desc defs metadata annotation annotation-xml".split())
+UNQUOTED_SLASH = re.compile(r"""=\s*[^\s"']*/\Z""")
 RAW = frozenset("script style textarea title iframe noframes xmp".split())
 IN_HEAD = frozenset("head title meta link base script style noscript template".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu blockquote pre table figure hr fieldset".split())
@@ -202,8 +205,19 @@ class Renderer:
                 return False
         return False
 
+    def foreign(self, tag: str) -> bool:
+        """Whether a start tag opens, or lies directly in, a formula or drawing."""
+        if tag in FOREIGN:
+            return True
+        if tag in BLOCKS or not (self.counts.get("svg") or self.counts.get("math")):
+            return False
+        return next(x for x, _ in reversed(self.open) if x in FOREIGN or x == "foreignobject") in FOREIGN
+
     def push(self, tag: str, attributes: str) -> None:
-        unseen = tag in HIDDEN
+        foreign = self.foreign(tag)
+        if foreign and attributes.endswith("/") and not UNQUOTED_SLASH.search(attributes):
+            return
+        unseen = tag in HIDDEN or foreign and tag in FOREIGN_HIDDEN
         known = {}
         if attributes and not attributes.isspace():
             lower = attributes.lower()
@@ -258,6 +272,8 @@ class Renderer:
 
     def enter(self, tag: str, known: dict[str, str]) -> None:
         flow = self.flows[-1]
+        if tag == "text" and self.counts.get("svg"):
+            flow.space = True  # each has a place of its own in the drawing
         if tag in ("td", "th"):
             if self.tables and not self.tables[-1].rows:
                 self.tables[-1].rows.append([])
@@ -301,6 +317,8 @@ class Renderer:
                 self.tables[-1].rows[-1].append((lines, *cell.spans))
             return
         if tag not in BLOCKS:
+            if tag == "text":
+                self.flows[-1].space = True
             return
         flow = self.flows[-1]
         nested = tag in ("ul", "ol", "menu") and len(self.lists) > 1
@@ -353,8 +371,9 @@ class Renderer:
                 self.end(tag)
                 continue
             attributes = m[3] or m[6] or ""
+            closed = attributes.endswith("/") and self.foreign(tag) and not UNQUOTED_SLASH.search(attributes)
             self.start(tag, attributes)
-            if tag in RAW:
+            if tag in RAW and not closed:
                 close = re.compile(rf"(?i)</{tag}(?=[\s/>])[^>]*>?").search(page, at)
                 stop = close.start() if close else size
                 if tag == "textarea" or tag == "xmp":
