@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -60,3 +61,54 @@ def test_automaton_keeps_a_fixed_prefix_and_merges_the_rest():
 
 def test_empty(spark):
     assert secrets.scan(docs(spark, [])).count() == 0
+
+
+def test_distributions_add_up():
+    """What a state gives to all characters and to the end is one, before and after a character that it never saw."""
+    rng = random.Random(5)
+    a = secrets.learn(["XY" + "".join(rng.choice("0123456789abcdef") for _ in range(rng.randint(8, 20))) for _ in range(300)])
+    for s in a.moves:
+        assert abs(sum(math.exp(x) for _, x in a.moves[s].values()) + math.exp(a.stops[s]) - 1) < 1e-9
+    o = secrets.Ordinary(secrets.pair_counts("some words, and more-of them: 12345 x").reshape(secrets.SYMBOLS, -1))
+    signs = " " + secrets.ALPHABET
+    for before in signs:
+        assert abs(sum(math.exp(o.log[before + c]) for c in signs) - 1) < 1e-9
+
+
+def test_runs_and_blanks():
+    text = "é key==ab+c/d== x=y token=abcdef.rest -a"
+    want = [(m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9+/_.-]+=*", text)]
+    assert secrets.runs(text) == want and secrets.runs(text, 6) == [w for w in want if w[1] - w[0] >= 6]
+    assert secrets.blanked("abcdefghij", [("x", 2, 5, ""), ("y", 3, 6, ""), ("z", 8, 9, "")]) == "ab    gh j"
+    assert secrets.blanked("abc", []) == "abc" and secrets.runs("") == []
+
+
+def test_planted_credentials(spark):
+    """Bare credentials of every length are found, and words, numbers, addresses and dates are not."""
+    rng = random.Random(6)
+    syllables = ["ta", "re", "mo", "ni", "sel", "dor", "an", "thi", "que", "st"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randint(1, 6)))
+    other = lambda: rng.choice(
+        [
+            "".join(rng.choice("0123456789") for _ in range(rng.choice([8, 12, 16, 20]))),
+            f"{rng.randint(1990, 2030)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}",
+            f"{word()}.{word()}@mail{rng.randint(1, 9)}.example.com",
+            ".".join(str(rng.randint(0, 255)) for _ in range(4)),
+            f"www.{word()}.org/{word()}/{word()}-{word()}.html",
+        ]
+    )
+    mixed = lambda n: "".join(rng.choice(secrets.ALPHABET[:62]) for _ in range(n))
+    rows, bare = [], {}
+    for k in range(600):
+        text = [word() if rng.random() < 0.9 else other() for _ in range(60)]
+        if k % 3 == 0:
+            text.insert(rng.randint(0, 59), f"api_key: {mixed(rng.choice([20, 24, 32, 40]))}")
+        elif k % 3 == 1:
+            at, secret = rng.randint(0, 59), mixed(rng.choice([12, 16, 20, 28, 48, 64]))
+            text.insert(at, secret)
+            bare[k] = len(" ".join(text[:at])) + (at > 0), len(secret)
+        rows.append((k, " ".join(text)))
+    found = {r.doc_id: [s for s in r.spans.split(",") if s.startswith("grammar")] for r in secrets.scan(docs(spark, rows)).collect()}
+    right = sum(f"grammar-assign:{s}:{s + n}" in found[k] for k, (s, n) in bare.items())
+    assert right >= 0.97 * len(bare)  # recall
+    assert right >= 0.97 * sum(map(len, found.values()))  # precision
