@@ -111,3 +111,31 @@ def test_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501), (7, 7)], "u bigint, v bigint")
     got = {r.v: r.root for r in simhash.components(edges).collect()}
     assert got == {**{i: 0 for i in range(1, 201)}, 501: 500}
+
+
+@pytest.mark.parametrize("parts", [5, 6, 7])
+def test_orders_bring_near_fingerprints_together(parts):
+    """Whichever bits differ, some order has both fingerprints in one subtree; every order keeps all bits."""
+    rng = random.Random(parts)
+    ways, depths = simhash.orders(parts), [simhash.depth_of(o) for o in simhash.orders(parts)]
+    for _ in range(300):
+        x = rng.getrandbits(64)
+        y = x
+        for k in rng.sample(range(64), 4):
+            y ^= 1 << k
+        pair = np.array([x, y], np.uint64)
+        turned = [simhash.turned(pair, w, parts) for w in range(len(ways))]
+        assert all((int(a) ^ int(b)).bit_count() == 4 for a, b in turned)
+        assert any(int(a) >> 64 - d == int(b) >> 64 - d for (a, b), d in zip(turned, depths))
+    assert [simhash.n_parts(n) for n in (1, 2**21, 2**21 + 1, 2**29 + 1, 2**36)] == [5, 5, 6, 7, 7]
+
+
+@pytest.mark.parametrize("parts", [6, 7])
+def test_links_with_more_parts(spark, monkeypatch, parts):
+    monkeypatch.setattr(simhash, "n_parts", lambda n: parts)
+    fps = clustered(11, clusters=40)
+    df = spark.createDataFrame([(np.uint64(f).astype(np.int64).item(),) for f in fps], "fp bigint")
+    found = {r.v: r.root for r in simhash.components(simhash.links(df, len(fps))).collect()}
+    signed = [np.uint64(f).astype(np.int64).item() for f in fps]
+    got, want = [found.get(s, s) for s in signed], brute_components(fps)
+    assert len(set(zip(got, want))) == len(set(got)) == len(set(want))

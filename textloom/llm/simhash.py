@@ -1,31 +1,35 @@
 """SimHash near-duplicates by a self-join of the binary trie of fingerprints.
 
-Two fingerprints that differ in at most 4 of 64 bits differ in at most 2 bits of their upper or of their lower half. So the trie is
-read twice, once with the upper and once with the lower half's bits first: node pairs are followed downwards together, their
-differing bits are summed, and a pair is dropped as soon as it has over 2 in the first half or over 4 in all. The trie is cut at a
-depth that follows the number of fingerprints; each pair of subtrees that is still within the budget there is one group of the
-join, and subtrees with many fingerprints (near copies of one text crowd into a few) are cut further into blocks, pair by pair.
-A group gives a spanning forest of its links, never all pairs, and alternating large and small stars join the forests.
+Node pairs of the trie are followed downwards together, their differing bits are summed, and a pair is dropped as soon as it has over
+4. The trie is read in several orders of its bits: cut into five parts, a fingerprint has a part in common with each one within 4
+bits, so the trie that reads this part first has both in one subtree, and only subtrees below a whole part are joined, each with
+itself. With more fingerprints there are more parts, and all but four of them come first, so that subtrees stay small: every
+fingerprint goes to 5 subtrees up to 2 million fingerprints, to 15 up to 500 million, to 35 up to 69 billion. Subtrees with many
+fingerprints (near copies of one text crowd into a few) are cut further into blocks of a fixed size, pair by pair. A group gives
+a spanning forest of its links, never all pairs, and alternating large and small stars join the forests.
 """
 
 from __future__ import annotations
 
-import math
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import attach, save, without_ids
 
-BITS, NEAR, HALF_NEAR = 64, 4, 2
+BITS, NEAR = 64, 4
 SHINGLE = 4
 SEED = 42
-#: Fingerprints that a subtree at the cut should have.
+#: Fingerprints that a group of subtrees should have; a subtree of over twice as many is cut into blocks.
 SUBTREE = 8192
+#: Fingerprints that a subtree may have if they are spread evenly; with more there is one more part.
+EVEN = 512
+#: Bits of a prefix that are counted first, to find the crowded ones.
+COARSE = 12
 #: Node pairs with at most this many leaf pairs are compared leaf by leaf; as many node pairs are expanded at once.
 LEAF_PAIRS, AT_ONCE = 64, 65_536
 
@@ -65,10 +69,39 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 # --- the trie ------------------------------------------------------------------------------------------------------------
 
 
-def turned(fp: np.ndarray, way: int) -> np.ndarray:
-    """The fingerprints with the half first that way (0 upper, 1 lower) reads first."""
+def n_parts(n: int) -> int:
+    """Parts that n fingerprints are cut into."""
+    parts = NEAR + 1
+    while n > EVEN << BITS // parts * (parts - NEAR):
+        parts += 1
+    return parts
+
+
+def cuts(parts: int) -> list[tuple[int, int]]:
+    """(bits below it, bits) of each part, from the highest bits on."""
+    edges = [BITS * i // parts for i in range(parts + 1)]
+    return [(BITS - e, e - s) for s, e in zip(edges, edges[1:])]
+
+
+def orders(parts: int) -> list[tuple[int, ...]]:
+    """Every order in which the trie is read: all but NEAR parts first. Two fingerprints within NEAR bits agree on the first parts of one."""
+    firsts = combinations(range(parts), parts - NEAR)
+    return [(*f, *(i for i in range(parts) if i not in f)) for f in firsts]
+
+
+def depth_of(order: tuple[int, ...]) -> int:
+    """Bits of the parts that come first."""
+    return sum(cuts(len(order))[i][1] for i in order[: len(order) - NEAR])
+
+
+def turned(fp: np.ndarray, way: int, parts: int = NEAR + 1) -> np.ndarray:
+    """The fingerprints with their bits in the order of that number."""
     fp = fp.view(np.uint64)
-    return fp if way == 0 else (fp << np.uint64(32)) | (fp >> np.uint64(32))
+    out = np.zeros(len(fp), np.uint64)
+    for i in orders(parts)[way]:
+        below, bits = cuts(parts)[i]
+        out = (out << np.uint64(bits)) | ((fp >> np.uint64(below)) & np.uint64((1 << bits) - 1))
+    return out
 
 
 def mixed(fp: np.ndarray) -> np.ndarray:
@@ -98,15 +131,23 @@ class Forest:
 
 
 def trie_join(a: np.ndarray, b: np.ndarray | None, depth: int, differ: int, found) -> None:
-    """Call found(i, j) with index arrays of the leaf pairs within the budget. a, b: sorted, distinct, each of one prefix of `depth` bits.
+    """Call found(i, j) with index arrays of the leaf pairs within the budget. a, b: sorted and distinct.
 
-    b None joins a with itself, each pair once. differ: bits that the two prefixes differ in.
+    b None joins a with itself, each pair once, and only within its subtrees of `depth` bits; otherwise a and b are of one prefix each
+    of that many bits. differ: bits that the two prefixes differ in.
     """
     own = b is None
     b = a if own else b
     if not len(a) or not len(b):
         return
-    stack = [(depth, np.array([[0, len(a), 0, len(b), differ]], np.int64))]
+    if own and depth:
+        prefix = a >> np.uint64(BITS - depth)
+        first = np.flatnonzero(np.concatenate([[True], prefix[1:] != prefix[:-1]]))
+        last = np.append(first[1:], len(a))
+        roots = np.stack((first, last, first, last, np.zeros(len(first), np.int64)), 1)[last - first > 1]
+    else:
+        roots = np.array([[0, len(a), 0, len(b), differ]], np.int64)
+    stack = [(depth, roots[i : i + AT_ONCE]) for i in range(0, len(roots), AT_ONCE)]
     while stack:
         level, nodes = stack.pop()
         la, ha, lb, hb, d = nodes.T
@@ -126,8 +167,7 @@ def trie_join(a: np.ndarray, b: np.ndarray | None, depth: int, differ: int, foun
         kids = [np.stack(x, 1) for x in ((la, ma, lb, mb, d), (ma, ha, mb, hb, d), (la, ma, mb, hb, d + 1))]
         kids.append(np.stack((ma, ha, lb, mb, d + 1), 1)[~twin])  # of a node with itself, the mirrored pair is the same
         kids = np.concatenate(kids)
-        most = HALF_NEAR if level + 1 <= BITS // 2 else NEAR
-        kids = kids[(kids[:, 4] <= most) & (kids[:, 1] > kids[:, 0]) & (kids[:, 3] > kids[:, 2])]
+        kids = kids[(kids[:, 4] <= NEAR) & (kids[:, 1] > kids[:, 0]) & (kids[:, 3] > kids[:, 2])]
         stack += [(level + 1, kids[i : i + AT_ONCE]) for i in range(0, len(kids), AT_ONCE)]
 
 
@@ -149,76 +189,78 @@ def _leaves(a: np.ndarray, b: np.ndarray, nodes: np.ndarray, own: bool, found) -
             found(i[ok], j[ok])
 
 
-def cut_depth(n: int) -> int:
-    """Depth of the cut for n fingerprints: it grows with the logarithm of n, and stays within the first half."""
-    return min(20, max(1, math.ceil(math.log2(max(2, n / SUBTREE)))))
+def prefix_of(order: tuple[int, ...]) -> Column:
+    """The bits of the parts that come first, of the column fp."""
+    out, sizes = F.lit(0).cast("bigint"), cuts(len(order))
+    for i in order[: len(order) - NEAR]:
+        below, bits = sizes[i]
+        out = F.shiftleft(out, bits).bitwiseOR(F.shiftrightunsigned("fp", below).bitwiseAND(F.lit((1 << bits) - 1)))
+    return out
+
+
+def crowded_subtrees(fps: DataFrame, parts: int, block: int) -> dict[tuple[int, int], int]:
+    """(way, prefix) -> number of blocks, of the subtrees with over `block` fingerprints: at most one in `block` of those dealt."""
+    ways = orders(parts)
+    dealt = fps.select(F.explode(F.array(*(F.struct(F.lit(w).alias("way"), prefix_of(o).alias("prefix"), F.lit(depth_of(o)).alias("bits")) for w, o in enumerate(ways)))).alias("x"))
+    dealt = dealt.select("x.way", "x.prefix", F.expr(f"shiftright(x.prefix, greatest(0, x.bits - {COARSE}))").alias("top"))
+    # Few prefixes of few bits are counted in the tasks; only below those with enough fingerprints are all bits.
+    tops = dealt.groupBy("way", "top").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block).select("way", "top")
+    tops = save(tops, "crowded")  # len(ways) << COARSE at most
+    if tops.isEmpty():
+        return {}
+    sizes = dealt.join(F.broadcast(tops), ["way", "top"]).groupBy("way", "prefix").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
+    return {(r.way, r.prefix): -(-r.n // block) for r in sizes.collect()}
 
 
 def links(fps: DataFrame, n: int) -> DataFrame:
     """(u, v): links whose components are those of all pairs of fingerprints within NEAR bits. fps: distinct, one column fp; n of them."""
-    depth = cut_depth(n)
-    masks = np.array([sum(1 << i for i in c) for k in range(HALF_NEAR + 1) for c in combinations(range(depth), k)], np.uint64)
-    block = max(4 * SUBTREE, n // 4096)
-    # Subtrees with over `block` fingerprints: at most n / block of them each way, 8192 in all.
-    sizes = fps.select(
-        F.explode(F.array(*(F.struct(F.lit(w).alias("way"), _prefix_column(w, depth).alias("prefix")) for w in (0, 1)))).alias("x")
-    ).select("x.*")
-    crowded = {(r.way, r.prefix): -(-r.n // block) for r in sizes.groupBy("way", "prefix").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block).collect()}
-
-    def parts_of(way: int, prefixes: np.ndarray) -> np.ndarray:
-        if not crowded:
-            return np.ones(len(prefixes), np.int64)
-        return np.array([crowded.get((way, p), 1) for p in prefixes.tolist()], np.int64)
+    parts, block = n_parts(n), 2 * SUBTREE
+    ways = orders(parts)
+    depths = [depth_of(o) for o in ways]
+    groups = max(1, n // SUBTREE)  # of each way; subtrees are dealt to them by a hash of their prefix
+    crowded = crowded_subtrees(fps, parts, block)
+
+    def prefixes(fp: np.ndarray, way: int) -> np.ndarray:
+        return turned(fp, way, parts) >> np.uint64(BITS - depths[way])
+
+    def blocks_of(way: int, prefix: np.ndarray) -> np.ndarray:
+        return np.array([crowded.get((way, p), 1) for p in prefix.tolist()], np.int64) if crowded else np.ones(len(prefix), np.int64)
 
     def deal(batches):
-        shift, width = np.uint64(BITS - depth), np.uint64(depth)
         for batch in batches:
             fp = batch.column(0).to_numpy(zero_copy_only=False)
             if not len(fp):
                 continue
-            for way in (0, 1):
-                own = turned(fp, way) >> shift
-                mine = (mixed(fp) % parts_of(way, own).astype(np.uint64)).astype(np.int64)
-                for m in masks:
-                    other = own ^ m
-                    pair = (np.uint64(way) << np.uint64(2 * depth)) | (np.minimum(own, other) << width) | np.maximum(own, other)
-                    theirs = parts_of(way, other)
-                    for j in range(int(theirs.max())):
-                        to = theirs > j
-                        if m == 0:
-                            blk = np.minimum(mine, j) << 32 | np.maximum(mine, j)
-                        else:
-                            blk = np.where(own < other, mine << 32 | j, j << 32 | mine)
-                        yield pa.RecordBatch.from_arrays([pa.array(pair[to].view(np.int64)), pa.array(blk[to]), pa.array(fp[to])], ["pair", "block", "fp"])
+            for way in range(len(ways)):
+                prefix = prefixes(fp, way)
+                n_blocks = blocks_of(way, prefix)
+                bucket = (mixed(prefix) % np.uint64(groups)).astype(np.int64)
+                # Subtrees of one block share a group with others; one of more is groups of its own (-1 - prefix), for each pair of blocks.
+                subtree = np.where(n_blocks == 1, bucket, -1 - prefix.astype(np.int64))
+                mine = (mixed(fp) % n_blocks.astype(np.uint64)).astype(np.int64)
+                for j in range(int(n_blocks.max())):
+                    to = n_blocks > j
+                    pair = np.minimum(mine[to], j) << 32 | np.maximum(mine[to], j)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(to.sum(), way)), pa.array(subtree[to]), pa.array(pair), pa.array(fp[to])], ["way", "subtree", "block", "fp"])
 
     def join(keys, group):
-        pair, blk = keys[0].as_py(), keys[1].as_py()
-        way, lo, hi = pair >> 2 * depth, pair >> depth & (1 << depth) - 1, pair & (1 << depth) - 1
+        way, subtree, pair = (k.as_py() for k in keys)
         fp = np.unique(group.column("fp").to_numpy())
-        v = turned(fp, way)
-        if lo != hi:
-            left = (v >> np.uint64(BITS - depth)) == np.uint64(lo)
-        elif blk >> 32 != blk & 0xFFFFFFFF:
-            left = (mixed(fp) % np.uint64(crowded[(way, lo)])).astype(np.int64) == blk >> 32
-        else:
-            left = np.ones(len(fp), bool)
-        order_a = np.flatnonzero(left)[np.argsort(v[left])]
-        order_b = np.flatnonzero(~left)[np.argsort(v[~left])]
+        v = turned(fp, way, parts)
         forest = Forest(len(fp))
-        if lo == hi and blk >> 32 == blk & 0xFFFFFFFF:
-            trie_join(v[order_a], None, depth, 0, lambda i, j: forest.link(order_a[i], order_a[j]))
+        if pair >> 32 == pair & 0xFFFFFFFF:
+            order = np.argsort(v)
+            trie_join(v[order], None, depths[way], 0, lambda i, j: forest.link(order[i], order[j]))
         else:
-            trie_join(v[order_a], v[order_b], depth, (lo ^ hi).bit_count(), lambda i, j: forest.link(order_a[i], order_b[j]))
+            left = (mixed(fp) % np.uint64(crowded[(way, -1 - subtree)])).astype(np.int64) == pair >> 32
+            order_a = np.flatnonzero(left)[np.argsort(v[left])]
+            order_b = np.flatnonzero(~left)[np.argsort(v[~left])]
+            trie_join(v[order_a], v[order_b], depths[way], 0, lambda i, j: forest.link(order_a[i], order_b[j]))
         linked = np.flatnonzero(forest.root != np.arange(len(fp)))
         return pa.table({"u": pa.array(fp[linked], pa.int64()), "v": pa.array(fp[forest.root[linked]], pa.int64())})
 
-    dealt = fps.select("fp").mapInArrow(deal, "pair bigint, block bigint, fp bigint")
-    return dealt.groupBy("pair", "block").applyInArrow(join, "u bigint, v bigint")
-
-
-def _prefix_column(way: int, depth: int):
-    v = F.col("fp") if way == 0 else F.shiftleft("fp", 32).bitwiseOR(F.shiftrightunsigned("fp", 32))
-    return F.shiftrightunsigned(v, BITS - depth)
+    dealt = fps.select("fp").mapInArrow(deal, "way bigint, subtree bigint, block bigint, fp bigint")
+    return dealt.groupBy("way", "subtree", "block").applyInArrow(join, "u bigint, v bigint")
 
 
 # --- components ------------------------------------------------------------------------------------------------------------
