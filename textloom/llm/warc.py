@@ -11,16 +11,18 @@ so magic inside a payload is never taken for one. A record whose payload holds m
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, save, workspace
+from .common import save, workspace
 
 MAGIC, END = "WARC/1.1\r\n", "\r\n\r\n"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 DATE = "2000-01-01T00:00:00Z"
 #: Records in an archive at most; payloads of fewer bytes are never revisits.
 RECORDS, LEAST_BYTES = 20_000, 0
+#: Repeated payloads are broadcast up to this many (a digest of 32 bytes and a number each); more are joined by a shuffle.
+FIRST_ROWS = 100_000
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
@@ -40,11 +42,11 @@ def write_archives(pages: DataFrame, path: str, records: int = RECORDS, least: i
     their payload's rows lack one.
     """
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
-    rows = rows.withColumn("key", F.sha2(F.col("html").cast("binary"), 256))
+    rows = rows.withColumn("key", F.unhex(F.sha2(F.col("html").cast("binary"), 256)))
     first = rows.filter(F.octet_length("html") >= least).groupBy("key").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
     first = save(first.filter("n > 1").select(F.col("key").alias("same"), "first"), "first-pages")
     # Only payloads that repeat are in `first`. Broadcast, they leave the pages where they are; a longer list is joined by a shuffle.
-    first = F.broadcast(first) if first.count() <= BROADCAST_ROWS else first.hint("shuffle_hash")
+    first = F.broadcast(first) if first.count() <= FIRST_ROWS else first.hint("shuffle_hash")
     rows = rows.join(first, F.col("key") == F.col("same"), "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     block = F.when(revisit, F.lit("")).otherwise(F.concat(F.lit(HTTP), "html"))
@@ -121,8 +123,6 @@ def stretches(spark: SparkSession, path: str) -> DataFrame:
 
 def placed(rows: DataFrame) -> DataFrame:
     """Adds start, the offset of the magic before each stretch (negative for a file's beginning). Sums run within one split, then over splits."""
-    from pyspark.sql import Window
-
     splits = rows.groupBy("file", "split").agg(F.sum("bytes").alias("total"))
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.select("file", "split", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
@@ -156,13 +156,17 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """
     found = save(placed(parsed(stretches(spark, path))), "candidates")
     nodes = found.filter("start >= 0 and size is not null").select("file", "start", (F.col("start") + F.col("size")).alias("next"))
-    records = found.join(reached(nodes), ["file", "start"], "left_semi").withColumn("next", F.col("start") + F.col("size"))
-    whole = records.filter("bytes = size")
-    parts = save(records.filter("bytes < size").select("file", "start", "next"), "parted")
-    if not parts.isEmpty():
-        # Payloads with magic in them: their stretches, in order, with the magic put back.
-        texts = placed(stretches(spark, path)).join(parts.select("file").distinct(), "file", "left_semi")
-        pieces = texts.select("file", F.col("start").alias("piece"), "value").join(parts, "file").filter("piece >= start and piece < next")
+    chain = reached(nodes).select("file", "start", F.lit(True).alias("reached"))
+    records = found.join(chain, ["file", "start"], "left").withColumn("next", F.when(F.col("reached"), F.col("start") + F.col("size")))
+    whole = records.filter("reached and bytes = size").drop("reached")
+    # Records with magic in their payloads: in the order of a file, every stretch belongs to the last record before it, up to its end.
+    upto = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = F.last(F.when(F.col("reached"), F.struct("start", "next", (F.col("bytes") < F.col("size")).alias("parted"))), ignorenulls=True)
+    owned = records.filter("start >= 0").select("file", F.col("start").alias("piece"), last.over(upto).alias("of"))
+    owned = save(owned.filter("of.parted and piece < of.next").select("file", "piece", "of.start", "of.next"), "parted")
+    if not owned.isEmpty():
+        texts = placed(stretches(spark, path)).join(owned.select("file").distinct(), "file", "left_semi")
+        pieces = texts.select("file", F.col("start").alias("piece"), "value").join(owned, ["file", "piece"])
         joined = pieces.groupBy("file", "start", "next").agg(F.array_sort(F.collect_list(F.struct("piece", "value"))).alias("p"))
         joined = joined.withColumn("value", F.array_join("p.value", MAGIC))
         # A last record that was cut off is shorter than it says.
