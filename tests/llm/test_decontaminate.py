@@ -48,9 +48,11 @@ def case():
     return rows + [(70, "word " * 400 + items[4][1] + " word" * 400)], items
 
 
-@pytest.mark.parametrize("block", [200_000, 7])
-def test_against_brute_force(spark, monkeypatch, block):
-    monkeypatch.setattr(decontaminate, "BLOCK", block)
+@pytest.mark.parametrize("block,spread,heavy", [(200_000, 1, 1), (7, 1_000_000, 1000), (7, 20, 5)])
+def test_against_brute_force(spark, monkeypatch, block, spread, heavy):
+    """Broadcast windows, one shuffled join, and several of them with hot tokens."""
+    for name, value in (("BLOCK", block), ("SPREAD", spread), ("HEAVY_SHARE", heavy)):
+        monkeypatch.setattr(decontaminate, name, value)
     rows, items = case()
     got = contamination(docs(spark, rows + ODD), spark.createDataFrame(items, "item_id bigint, text string"))
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows + ODD, items)

@@ -24,11 +24,16 @@ ALNUM_TABLE = bytes(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares (spark.checkpoint.dir); a temporary one is set only where the session names none, as in tests."""
+    """The folder that the cluster shares (spark.checkpoint.dir). Only on one machine a temporary one stands in where none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         have = spark.sparkContext._jsc.sc().getCheckpointDir()
-        named = have.get() if have.isDefined() else tempfile.mkdtemp(prefix="textloom-")
+        if have.isDefined():
+            named = have.get()
+        elif spark.sparkContext.master.startswith("local"):
+            named = tempfile.mkdtemp(prefix="textloom-")
+        else:
+            raise ValueError("name a folder that the cluster shares in spark.checkpoint.dir")
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
@@ -67,8 +72,17 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int)
     return hot.unionByName(cold)
 
 
+def fresh(name: str, *tables: DataFrame) -> str:
+    """A column name that none of the tables has, whatever the case of their letters."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of docs whose id isn't in ids (one column). ids is broadcast only if it has at most BROADCAST_ROWS rows."""
-    ids = save(ids.toDF("__gone"), "ids")
+    name = fresh("gone", docs)
+    ids = save(ids.toDF(name), "ids")
     gone = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids.hint("shuffle_hash")
-    return docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
+    return docs.join(gone, docs[id_col] == F.col(name), "left_anti")

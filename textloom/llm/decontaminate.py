@@ -4,23 +4,32 @@ Every item is cut into windows of consecutive words. A window's tokens are its s
 but one). Containment of a whole window needs every token, so one token is a sufficient prefix: the rarest over all documents. The
 join looks up the documents' tokens among those prefixes; the token's place in the window gives the place where the window would
 have to start; windows that would reach over either end of the document are dropped by length, and the rest is compared word for
-word. The benchmark is joined in blocks of a fixed number of windows, each block broadcast, so that no broadcast grows with it.
+word. Up to BLOCK windows are broadcast. Larger benchmarks are joined by a shuffle: only those of the documents' tokens that a bitmap of
+the prefixes lets through are sent, each with the words around it, so that the comparison needs no second look at the documents.
 """
 
 from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM_TABLE, save, without_ids
+from .common import ALNUM_TABLE, HEAVY_SHARE, fresh, save, without_ids
 
 WINDOW = 13
-#: Distinct windows in a block. A window has at most WINDOW words; words of over WORD_BYTES bytes are compared by their hash.
-BLOCK = 200_000
+#: Windows that are broadcast at most. A window has at most WINDOW words; words of over WORD_BYTES bytes are compared by their hash.
+BLOCK = 50_000
 WORD_BYTES = 64
+#: Windows in one shuffled join at most; with more, the documents are read once more for each further so many.
+SPREAD = 8_000_000
+#: Bits of a bitmap of tokens at most (16 MB): two for each token, sixteen times as many bits as tokens where that fits.
+BITMAP = 1 << 27
+#: Parts that the windows of a hot token's occurrences are dealt to.
+SALTS = 64
 
 
 def words(text: str | None) -> list[bytes]:
@@ -113,33 +122,20 @@ OUT = "row bigint, doc_id bigint, n_words bigint, starts array<int>, ends array<
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Per row of docs: a row number, doc_id, n_words, the merged hit stretches (starts, ends; by word) and the items found."""
-    spark = docs.sparkSession
+    """Per row of docs: a row number, doc_id, n_words, the hit stretches (starts, ends; by word) and the items found."""
     table = window_table(benchmark)
-    n_blocks = max(1, -(-table.count() // BLOCK))
-    parts = []
-    for k in range(n_blocks):
-        # A block's size varies by hash; a block holds BLOCK windows on average.
-        block = [(tuple(bytes(w) for w in r.words), r["items"]) for r in table.filter(F.pmod(F.xxhash64("words"), F.lit(n_blocks)) == k).collect()]
-        wanted = spark.sparkContext.broadcast({t for w, _ in block for t in tokens(w)})
-        index = spark.sparkContext.broadcast(prefix_index(block, rarity(docs, wanted) if block else {}))
-        parts.append(_scan(docs, index, first=k == 0))
-    if n_blocks == 1:
-        return parts[0]
-    hits = parts[0]
-    for p in parts[1:]:
-        hits = hits.unionByName(p)
-    merged = hits.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"),
-        F.max("n_words").alias("n_words"),
-        F.flatten(F.collect_list(F.arrays_zip("starts", "ends"))).alias("s"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-    )
-    return merged.select("row", "doc_id", "n_words", F.col("s.starts").alias("starts"), F.col("s.ends").alias("ends"), "items")
+    n = table.count()
+    if n <= BLOCK:
+        return _scan(docs, table)
+    return _joined(docs, table, n)
 
 
-def _scan(docs: DataFrame, index, first: bool) -> DataFrame:
-    """One block against all documents. Only the first block gives a row for documents without a hit."""
+def _scan(docs: DataFrame, table: DataFrame) -> DataFrame:
+    """All windows, broadcast, against all documents."""
+    spark = docs.sparkSession
+    block = [(tuple(bytes(w) for w in r.words), r["items"]) for r in table.collect()]  # BLOCK rows at most
+    wanted = spark.sparkContext.broadcast({t for w, _ in block for t in tokens(w)})
+    index = spark.sparkContext.broadcast(prefix_index(block, rarity(docs, wanted) if block else {}))
 
     def run(batches):
         found = index.value
@@ -151,8 +147,6 @@ def _scan(docs: DataFrame, index, first: bool) -> DataFrame:
                 if max(map(len, doc), default=0) > WORD_BYTES:
                     doc = [short(w) for w in doc]
                 hits = occurrences(doc, found, single)
-                if not hits and not first:
-                    continue
                 starts, ends = merge([(s, e) for s, e, _ in hits])
                 for c, v in zip(cols, (row, doc_id, len(doc), starts, ends, sorted({i for _, _, items in hits for i in items}))):
                     c.append(v)
@@ -163,6 +157,155 @@ def _scan(docs: DataFrame, index, first: bool) -> DataFrame:
     return rows.mapInArrow(run, OUT)
 
 
+# --- benchmarks too large to broadcast ---------------------------------------------------------------------------------------
+
+
+def hashed(doc: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of every two-word token, by place, and of every single word. Tokens that share one cost a comparison each."""
+    h = np.fromiter((xxhash.xxh64_intdigest(w) for w in doc), np.uint64, len(doc))
+    pair = (h[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ ((h[1:] << np.uint64(27)) | (h[1:] >> np.uint64(37)))
+    return (pair ^ (pair >> np.uint64(29))).view(np.int64), (h * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64)
+
+
+def token_hashes(window: list[bytes]) -> np.ndarray:
+    """The hashes of tokens(window)."""
+    pairs, single = hashed(window)
+    return pairs if len(window) > 1 else single
+
+
+class Bitmap:
+    """Tells of most tokens that they aren't in a table. Its size doesn't exceed BITMAP bits, whatever the table's."""
+
+    def __init__(self, table: DataFrame, n: int):
+        self.bits = min(BITMAP, max(1 << 15, 1 << (16 * n).bit_length()))
+        low = F.col("token").bitwiseAND(F.lit(self.bits - 1))
+        high = F.shiftrightunsigned("token", 32).bitwiseAND(F.lit(self.bits - 1))
+        place = table.select(F.explode(F.array(low, high)).alias("p")).select((F.col("p") + 1).alias("p"))
+        rows = place.groupBy(F.bitmap_bucket_number("p").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m")).collect()
+        data = np.zeros(self.bits // 8, np.uint8)
+        for r in rows:
+            at = (r.b - 1) * 4096
+            data[at : at + 4096] = np.frombuffer(bytes(r.m), np.uint8)[: len(data) - at]
+        self.data = data
+
+    def may_hold(self, token: np.ndarray) -> np.ndarray:
+        token, out = token.view(np.uint64), np.ones(len(token), bool)
+        for place in (token, token >> np.uint64(32)):
+            place = (place & np.uint64(self.bits - 1)).astype(np.int64)
+            out &= (self.data[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+        return out
+
+
+def _doc_words(text: str | None) -> list[bytes]:
+    return [short(w) for w in words(text)]
+
+
+def prefixes(docs: DataFrame, table: DataFrame, n: int) -> DataFrame:
+    """(token, place, words, items, n): each window under its rarest token over all documents, which stands n times in them."""
+    spark = docs.sparkSession
+
+    def expand(batches):
+        for batch in batches:
+            lists = [token_hashes(w) for w in batch.column(1).to_pylist()]
+            sizes = [len(x) for x in lists]
+            ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), sizes)
+            place = np.concatenate([np.arange(0)] + [np.arange(k) for k in sizes])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.concatenate([np.zeros(0, np.int64), *lists])), pa.array(place, pa.int32())], ["id", "token", "place"])
+
+    table = save(table.withColumn("id", F.monotonically_increasing_id()), "numbered")
+    each = save(table.select("id", "words").mapInArrow(expand, "id bigint, token bigint, place int"), "tokens")
+    wanted = spark.sparkContext.broadcast(Bitmap(each, WINDOW * n))
+
+    def count(batches):
+        for batch in batches:
+            found = [np.concatenate(hashed(_doc_words(t))) for t in batch.column(0).to_pylist()]
+            token, seen = np.unique(np.concatenate([np.zeros(0, np.int64), *found]), return_counts=True)
+            ok = wanted.value.may_hold(token)
+            yield pa.RecordBatch.from_arrays([pa.array(token[ok]), pa.array(seen[ok])], ["token", "n"])
+
+    often = docs.select("text").mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
+    # A token of many windows meets one row of its count, so the join is pre-aggregated on the side that repeats.
+    mine = each.select("token").distinct().join(often, "token", "left").select("token", F.coalesce("n", F.lit(0)).alias("n"))
+    rarest = each.join(mine, "token").groupBy("id").agg(F.min(F.struct("n", "token", "place")).alias("x")).select("id", "x.*")
+    return save(rarest.join(table, "id").select("token", "place", "words", "items", "n"), "prefixes")
+
+
+def _joined(docs: DataFrame, table: DataFrame, n: int) -> DataFrame:
+    """All windows against all documents by shuffled joins of at most SPREAD windows (on average, by hash) each."""
+    spark = docs.sparkSession
+    blocks = -(-n // SPREAD)
+    docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    if blocks > 1:
+        docs = save(docs, "rows")  # every join has to number the rows alike
+    found = None
+    for k in range(blocks):
+        part = table.filter(F.pmod(F.xxhash64("words"), F.lit(blocks)) == k) if blocks > 1 else table
+        hits, rows = _block(spark, docs, part, -(-n // blocks))
+        found = hits if found is None else found.unionByName(hits)
+    by_row = found.groupBy("row").agg(
+        F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("s"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")
+    )
+    none = F.array().cast("array<int>")
+    return rows.join(by_row, "row", "left").select(
+        "row",
+        "doc_id",
+        "n_words",
+        F.coalesce("s.start", none).alias("starts"),
+        F.coalesce("s.stop", none).alias("ends"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+    )
+
+
+def _block(spark, docs: DataFrame, table: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """(hits: row, start, stop, items; rows: row, doc_id, n_words). docs: row, doc_id, text."""
+    index = prefixes(docs, table, n)
+    each = index.groupBy("token").agg(F.max("n").alias("n"))
+    total = each.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # Occurrences of the hot tokens, HEAVY_SHARE at most, are dealt to SALTS parts, and their windows go to each.
+    hot = [r.token for r in each.filter(F.col("n") * HEAVY_SHARE > F.lit(total)).collect()]
+    shared = spark.sparkContext.broadcast((Bitmap(index, n), np.array(sorted(hot), np.int64)))
+    schema = "row bigint, doc_id bigint, n_words bigint, token bigint, salt int, at int, left int, around array<binary>"
+
+    def run(batches):
+        bitmap, hot = shared.value
+        for batch in batches:
+            cols: list[list] = [[] for _ in range(8)]
+            for row, doc_id, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                doc = _doc_words(text)
+                for c, v in zip(cols, (row, doc_id, len(doc), None, 0, None, None, None)):
+                    c.append(v)
+                for kind in hashed(doc):
+                    for at in np.flatnonzero(bitmap.may_hold(kind)).tolist():
+                        first = max(0, at - WINDOW + 1)
+                        token = int(kind[at])
+                        salt = (row + at) % SALTS if len(hot) and hot[min(np.searchsorted(hot, token), len(hot) - 1)] == token else 0
+                        for c, v in zip(cols, (row, None, len(doc), token, salt, at, at - first, doc[first : at + WINDOW])):
+                            c.append(v)
+                if len(cols[0]) > 20_000:
+                    yield _batch(cols)
+                    cols = [[] for _ in range(8)]
+            yield _batch(cols)
+
+    rows = save(docs.mapInArrow(run, schema), "occurrences")
+    salts = F.when(F.col("token").isin(hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))) if hot else F.array(F.lit(0))
+    windows_ = index.select("token", "place", "words", "items", F.explode(salts).alias("salt"))
+    size = F.size("words")
+    hits = (
+        rows.filter("token is not null")
+        .join(windows_, ["token", "salt"])
+        .filter((F.col("left") >= F.col("place")) & (F.col("at") - F.col("place") + size <= F.col("n_words")))
+        .filter(F.slice("around", F.col("left") - F.col("place") + 1, size) == F.col("words"))
+        .select("row", (F.col("at") - F.col("place")).alias("start"), (F.col("at") - F.col("place") + size).alias("stop"), "items")
+    )
+    return hits, rows.filter("token is null").select("row", "doc_id", "n_words")
+
+
+def _batch(cols: list[list]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.binary()))
+    names = ["row", "doc_id", "n_words", "token", "salt", "at", "left", "around"]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
+
+
 def merge(stretches: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
     """Union of half-open stretches, as starts and ends."""
     starts: list[int] = []
@@ -183,7 +326,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     not listed. Repeated rows are judged alike, and an item that repeats counts once. An empty benchmark hits nothing.
     """
     spans = F.array_sort(F.arrays_zip("starts", "ends"))
-    # Stretches of several blocks may overlap: count the words beyond the furthest end so far.
+    # Stretches may overlap: count the words beyond the furthest end so far.
     n_hit = F.aggregate(
         spans,
         F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).alias("upto")),
@@ -212,9 +355,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bad = report.filter("contaminated")
     if bad.filter("doc_id is null").isEmpty() and bad.join(report.filter("not contaminated"), "doc_id", "left_semi").isEmpty():
         return without_ids(docs, bad.select("doc_id").distinct())
-    # An id that names both kinds of rows, or none, doesn't tell them apart: join by the text's digest.
+    # An id that names both kinds of rows, or none, doesn't tell them apart: judge each distinct text, under the number of its row.
     sha = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
-    texts = docs.select("doc_id", "text").withColumn("__sha", sha).dropDuplicates(["__sha"])
-    ids = texts.withColumn("doc_id", F.xxhash64("__sha"))
-    marked = contamination(ids.select("doc_id", "text"), benchmark).filter("contaminated").select(F.col("doc_id").alias("__bad"))
-    return docs.withColumn("__key", F.xxhash64(sha)).join(marked, F.col("__key") == F.col("__bad"), "left_anti").drop("__key")
+    texts = save(docs.select("text").withColumn("sha", sha).dropDuplicates(["sha"]).withColumn("doc_id", F.monotonically_increasing_id()), "texts")
+    marked = contamination(texts.select("doc_id", "text"), benchmark).filter("contaminated").select("doc_id").join(texts.select("doc_id", "sha"), "doc_id")
+    gone = fresh("sha", docs)
+    return docs.join(marked.select(F.col("sha").alias(gone)), sha == F.col(gone), "left_anti")
