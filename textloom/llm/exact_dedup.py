@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, attach, save, without_ids, workspace
+from .common import BROADCAST_ROWS, attach, fresh, save, without_ids, workspace
 
 BLANKS = r"[\x20\x09-\x0D]+"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -141,10 +141,11 @@ def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     if odd.isEmpty():
         return without_ids(docs, report.filter("not kept").select("doc_id"), id_col)
     # Ids that repeat or are null don't name a row: take the digest along, and one of the rows that tie.
-    kept = report.filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    keyed = docs.withColumn("__digest", sha256(normalised(F.col(text_col))))
-    found = keyed.join(kept, keyed[id_col].eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__sha")), "left_semi")
-    found = found.withColumn("__points", F.char_length(F.coalesce(F.col(text_col), F.lit(""))))
-    most = found.groupBy("__digest").agg(F.max("__points").alias("__most")).withColumnRenamed("__digest", "__of")
-    found = found.join(most, (F.col("__digest") == F.col("__of")) & (F.col("__points") == F.col("__most")), "left_semi")
-    return found.dropDuplicates(["__digest"]).drop("__digest", "__points")
+    an_id, sha, digest, points, most, of = (fresh(x, docs) for x in ("kept_id", "kept_sha", "digest", "points", "most", "of"))
+    kept = report.filter("kept").select(F.col("doc_id").alias(an_id), F.col("text_sha256").alias(sha))
+    keyed = docs.withColumn(digest, sha256(normalised(F.col(text_col))))
+    found = keyed.join(kept, keyed[id_col].eqNullSafe(F.col(an_id)) & (F.col(digest) == F.col(sha)), "left_semi")
+    found = found.withColumn(points, F.char_length(F.coalesce(F.col(text_col), F.lit(""))))
+    longest = found.groupBy(F.col(digest).alias(of)).agg(F.max(points).alias(most))
+    found = found.join(longest, (F.col(digest) == F.col(of)) & (F.col(points) == F.col(most)), "left_semi")
+    return found.dropDuplicates([digest]).drop(digest, points)
