@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM_TABLE, save
+from .common import ALNUM_TABLE, fresh, save
 
 GRAMS = (3, 4, 5, 6)
 BUCKETS = 1 << 18
@@ -31,6 +31,9 @@ SPAN, STEP = 16, 8
 LEAST = 120
 #: Labelled rows of each label that training reads, whole.
 TRAIN_ROWS = 2000
+#: Spans of a training text that a round fits: drawn by chance, and, of clean texts, the worst ones by the model so far. Every round
+#: looks at all spans of all training texts to choose them.
+DRAWN, WORST = 12, 6
 PREDICT_AT = 0.3
 
 
@@ -166,17 +169,17 @@ def train(sample: Sample, rounds: int = 8, seed: int = 7) -> Model:
         for d, z in logits(weight, bias, np.flatnonzero(fit)):
             n = len(z)
             if y[d] == 0:
-                chosen = rng.permutation(n)[:12]
+                chosen = rng.permutation(n)[:DRAWN]
                 if r:  # and the spans that look worst
-                    chosen = np.unique(np.append(chosen, np.argsort(-z)[:6]))
+                    chosen = np.unique(np.append(chosen, np.argsort(-z)[:WORST]))
                 items += [(d, s, 0, 1.0) for s in chosen]
             elif r == 0:
-                chosen = rng.permutation(n)[:12]
+                chosen = rng.permutation(n)[:DRAWN]
                 items += [(d, s, 1, 1.0) for s in chosen]
             else:
                 chosen = np.flatnonzero(z >= max(z.max() - 1e-9, 0.5))
                 chosen = chosen if len(chosen) else np.array([z.argmax()])
-                items += [(d, s, 1, 2.0) for s in chosen[:12]]
+                items += [(d, s, 1, 2.0) for s in chosen[:DRAWN]]
         order = rng.permutation(len(items))
         for at in range(0, len(items), 128):
             part = [items[i] for i in order[at : at + 128]]
@@ -266,19 +269,19 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Sample
     return out
 
 
-def with_toxicity(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with the columns __score (double) and __toxic (boolean)."""
+def with_toxicity(docs: DataFrame, model: Model, score: str = "score", toxic: str = "toxic") -> DataFrame:
+    """docs with the columns of those names (double, boolean), which docs hasn't."""
     slim = docs.sparkSession.sparkContext.broadcast(model.slim())  # BUCKETS doubles, whatever the input
+    at = docs.columns.index("text")
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(batch.schema.names.index("text"))
-            scores = pa.array([score_one(slim.value, t.as_py()) for t in texts], pa.float64())
+            scores = pa.array([score_one(slim.value, t.as_py()) for t in batch.column(at)], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], schema=out)
 
-    kept = docs.select("*", F.lit(None).cast("double").alias("__score"))
-    out = pa.schema([*_arrow(docs), pa.field("__score", pa.float64())])
-    return docs.mapInArrow(run, kept.schema).withColumn("__toxic", F.col("__score") >= PREDICT_AT)
+    kept = docs.select("*", F.lit(None).cast("double").alias(score))
+    out = pa.schema([*_arrow(docs), pa.field(score, pa.float64())])
+    return docs.mapInArrow(run, kept.schema).withColumn(toxic, F.col(score) >= PREDICT_AT)
 
 
 def _arrow(df: DataFrame):
@@ -296,10 +299,11 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = train(sample(docs.select("doc_id", "text"), labels.select("doc_id", "toxic")))
     scored = with_toxicity(docs.select("doc_id", "text"), model)
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
-    return scored.select("doc_id", held.alias("held_out"), F.col("__score").alias("score"), F.col("__toxic").cast("int").alias("predicted"))
+    return scored.select("doc_id", held.alias("held_out"), "score", F.col("toxic").cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs, in its own columns, without those that the model rejects (score of PREDICT_AT or more)."""
     model = train(sample(docs.select("doc_id", "text"), labels.select("doc_id", "toxic")))
-    return with_toxicity(docs, model).filter(~F.col("__toxic")).drop("__score", "__toxic")
+    score, toxic = fresh("score", docs), fresh("toxic", docs)
+    return with_toxicity(docs, model, score, toxic).filter(~F.col(toxic)).drop(score, toxic)
