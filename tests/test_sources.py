@@ -110,7 +110,7 @@ def test_snapshot_and_packets(spark, tmp_path):
         W.packets(texts, "judge", 2)
     glossary = spark.createDataFrame([("b|c", "x", None, "o", "why"), ("A", "y", "s", "o", None)], "en string, fr string, sense string, origin string, reason string")
     lines = [r.line for r in W.glossary_markdown(glossary).orderBy("place").collect()]
-    assert lines[0].startswith("## o") and lines[1] == "| A | y | s |  |" and lines[2] == "| b\\|c | x |  | why |"
+    assert lines[0].startswith("## o") and lines[1] == "| A | y | s |  |" and lines[2] == "| b\\|c | x |  | Why |"
 
 
 def test_refresh_touches_only_new_namespaces(spark, tmp_path):

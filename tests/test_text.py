@@ -160,7 +160,7 @@ def test_odds(spark):
     assert values(spark, T.percent(F.lit(0.0123456)), ["x"]) == ["1,235 %"]
     assert values(spark, T.glossary_form(F.col("a")), ["Pots :", "Les Bocaux.", "os"]) == ["pot", "les bocau", "os"]
     assert values(spark, T.fingerprint(F.col("a")), ["", "a"])[1] == "86f7e437faa5"
-    assert values(spark, T.readable_reason(F.col("a")), ["kept (lot 3) as a name ; "]) == ["kept as a name"]
+    assert values(spark, T.readable_reason(F.col("a")), ["kept (lot 3) as a name ; "]) == ["Kept as a name"]
 
 
 def test_bounds(spark):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from functools import reduce
 
@@ -43,16 +44,17 @@ NUMBER_WORDS = {
 }
 
 
-def _fold_tables(drop: set[str], upto: int = 0x3000) -> tuple[str, str]:
+def _fold_tables(drop: set[str]) -> tuple[str, str]:
     """For translate(): characters that lose marks of the given categories, and what each becomes; those that vanish come last."""
     turned, gone = [], []
-    for cp in range(0x80, upto):
+    for cp in range(0x80, sys.maxunicode + 1):
         c = chr(cp)
-        kept = unicodedata.normalize("NFC", "".join(x for x in unicodedata.normalize("NFD", c) if unicodedata.category(x) not in drop))
-        if not kept:
+        if unicodedata.category(c) in drop:
             gone.append(c)
-        elif len(kept) == 1 and kept != c:
-            turned.append((c, kept))
+        elif unicodedata.decomposition(c):
+            kept = unicodedata.normalize("NFC", "".join(x for x in unicodedata.normalize("NFD", c) if unicodedata.category(x) not in drop))
+            if len(kept) == 1 and kept != c:
+                turned.append((c, kept))
     return "".join(c for c, _ in turned) + "".join(gone), "".join(k for _, k in turned)
 
 
@@ -354,9 +356,9 @@ def stem_en(w: Column) -> Column:
 
 
 def stem_fr(w: Column) -> Column:
-    """Light French stem: folded, without final s or x."""
-    f = fold_mn(w)
-    return F.when((F.length(f) > 3) & f.rlike("[sx]$"), F.left(f, F.length(f) - 1)).otherwise(f)
+    """Light French stem: marks folded, without final s or x unless an s stands before it."""
+    f = F.lower(F.translate(w, *_FOLD_MN))
+    return F.when((F.length(f) > 3) & f.rlike("[^s][sx]$"), F.left(f, F.length(f) - 1)).otherwise(f)
 
 
 def glossary_form(c: Column) -> Column:
@@ -424,14 +426,29 @@ def percent(c: Column) -> Column:
 
 
 # Bookkeeping remarks that a reader of the glossary doesn't need, removed in this order.
-REMARKS = [r"\s*\((?:lot|fiche)[^)]*\)", r"\s*\[[^\]]*\]", r"\s*\(?\d{2}/\d{2}/\d{4}\)?", r"^\s*(?:lot|fiche)\s*\S+\s*:\s*", r"\s{2,}", r"\s+([,.;])", r"[\s;,]+$"]
+REMARKS = [
+    r"^fiche du sous-projet \d+ ?: ?[\w-]+(?:, garder)?(?: \(option [^)]*\))?(?: ?[;,:] ?|$)",
+    r"^fiche du \d\d/\d\d(?:, question [\w-]+)? ?: ?(?:[\w-]+$)?",
+    r"^réponse (?:de l'utilisateur )?du \d\d/\d\d(?: à la question [\w-]+)?(?: ?\([\w-]+\))? ?:? ?(?:[\w-]+-[\w-]+, )?",
+    r"(?i)^lot [\w-]+(?:, verdict [^:]*)? ?: ?",
+    r" ?;? ?lot [\w-]+$",
+    r" ?;? ?(?:par la )?fiche du sous-projet \d+ ?: ?[\w-]+",
+    r" ?\((?:fiche|réponse|lot) [^)]*\)",
+]
 
 
 def readable_reason(c: Column) -> Column:
+    """A reason without its bookkeeping remarks, beginning with a capital; empty if it was nothing else."""
     text = F.coalesce(c, F.lit(""))
-    for pattern, put in zip(REMARKS, ("", "", "", "", " ", "$1", "")):
-        text = F.regexp_replace(text, f"(?U){pattern}", put)
-    return strip(text)
+    for pattern in REMARKS:
+        text = F.regexp_replace(text, f"(?U){pattern}", "")
+    text = F.regexp_replace(text, "^[ ;,:]+|[ ;,:]+$", "")
+    return F.concat(F.upper(F.left(text, F.lit(1))), F.substring(text, 2, 2**31 - 1))
+
+
+def replaced_words(text: Column, word: Column, put: Column) -> Column:
+    """text with put in the place of every whole word (or words) equal to `word`."""
+    return F.regexp_replace(text, F.concat(F.lit(r"(?U)(?<!\w)\Q"), word, F.lit(r"\E(?!\w)")), F.regexp_replace(put, r"([\\$])", r"\\$1"))
 
 
 def placeholder_verdicts(en: Column, fr: Column) -> Column:

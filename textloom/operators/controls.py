@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.lineage import cut
+from ..functions.lineage import cut, rules
 from .matching import citations
 from .model import OBJECT_KEY, is_name, object_id, project_texts, visible
 
@@ -187,7 +187,7 @@ def term_control(texts: DataFrame, books: DataFrame, terms: DataFrame, forbidden
         & (F.col("keys").isNull() | F.expr("key rlike keys"))
         & ((F.col("scope") == "all") | ((F.col("scope") == "names") & F.col("name")) | ((F.col("scope") == "texts") & ~F.col("name")))
     )
-    rows = said.join(F.broadcast(terms), fits)
+    rows = said.join(rules(terms, "terms"), fits)
     starts = lambda ws, name: F.filter(F.sequence(F.lit(0), F.greatest(F.size(ws) - 1, F.lit(0))), lambda i: F.slice(ws, i + 1, F.size(name)) == name)
     # A banned rendering counts unless an imposed form that contains it covers the place.
     covers = lambda form, ban: F.transform(starts(F.col("ws"), form), lambda i: F.struct(i.alias("from"), (i + F.size(form)).alias("to")))
@@ -225,7 +225,7 @@ def term_control(texts: DataFrame, books: DataFrame, terms: DataFrame, forbidden
 def most_severe(rows: DataFrame, order: str) -> DataFrame:
     """One finding per key: blocking before flagged, then the first by order."""
     by = Window.partitionBy("key").orderBy((F.col("status") != BLOCKING).cast("int"), order)
-    return rows.withColumn("__n", F.row_number().over(by)).filter("__n = 1").drop("__n")
+    return rows.withColumn("rank_in_key", F.row_number().over(by)).filter("rank_in_key = 1").drop("rank_in_key")
 
 
 def width_control(texts: DataFrame, sold: DataFrame, limits: DataFrame, mods: bool = True) -> DataFrame:
@@ -238,10 +238,10 @@ def width_control(texts: DataFrame, sold: DataFrame, limits: DataFrame, mods: bo
     ids = sold.select(F.explode(F.array(*(F.concat(F.lit(f"{k}."), F.replace(F.col("id"), F.lit(":"), F.lit("."))) for k in ("item", "block")))).alias("key"), "id")
     shop = ids.join(said, "key").withColumn("first", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("key")))).filter("first = 1")
     shop = shop.withColumn("n", T.wrapped_lines(F.col("fr"))).filter("n > 2").withColumn("ord", F.lit(-1))
-    manual = said.join(F.broadcast(limits.filter("behaviour is null").drop("keys", "pattern")), "key").withColumn("n", T.pixels(F.col("fr"))).filter("n > limit")
+    manual = said.join(rules(limits.filter("behaviour is null").drop("keys", "pattern"), "limits"), "key").withColumn("n", T.pixels(F.col("fr"))).filter("n > limit")
     rule = limits.filter("behaviour is not null").withColumnRenamed("key", "own")
     aimed = (F.col("key") == F.col("own")) | F.coalesce(F.array_contains("keys", F.col("key")), F.lit(False)) | F.coalesce(F.expr("key rlike pattern"), F.lit(False))
-    rows = said.join(F.broadcast(rule), aimed).filter(~T.blank(F.col("fr")))
+    rows = said.join(rules(rule, "limits"), aimed).filter(~T.blank(F.col("fr")))
     measure = lambda c: F.when(F.col("lines").isNull(), T.pixels(c)).otherwise(T.wrapped_lines(c, F.col("limit")))
     bound = F.coalesce("lines", "limit")
     rows = rows.withColumn("n", measure(F.col("fr"))).withColumn("m", measure(F.col("english"))).filter(F.col("n") > bound)
@@ -304,6 +304,7 @@ def convention_control(texts: DataFrame, books: DataFrame, journal: DataFrame, b
 
 
 # 10
+# Fixed value: Roman numerals.
 ROMAN = "m{0,4}(?:cm|cd|d?c{0,3})(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})"
 
 
@@ -354,7 +355,7 @@ def accent_control(texts: DataFrame, books: DataFrame, journal: DataFrame, vocab
     rows = rows.filter(~F.array_contains(spared, F.col("folded")) & (F.col("key").rlike(OBJECT_KEY) | ~unsure) & T.accent_fault(F.col("word"), F.col("right")))
     rows = rows.select("key", "fr", "pos", "word", T.same_case(F.col("word"), F.col("right")).alias("right"))
     if double is not None:
-        senses = ws.join(F.broadcast(double), F.expr("en rlike concat('(?iU)\\\\b(?:', english, ')\\\\b')"))
+        senses = ws.join(rules(double, "double senses"), F.expr("en rlike concat('(?iU)\\\\b(?:', english, ')\\\\b')"))
         senses = senses.select("key", "fr", "pos", "word", "folded", F.explode("right").alias("r")).filter(F.col("folded") == T.fold(F.col("r")))
         decided = senses.groupBy("key", "fr", "pos", "word").agg(F.array_sort(F.collect_set("r")).alias("rs")).filter(~F.array_contains("rs", F.lower("word")))
         rows = rows.join(decided.select("key", "pos"), ["key", "pos"], "left_anti").unionByName(decided.select("key", "fr", "pos", "word", T.same_case(F.col("word"), F.col("rs")[0]).alias("right")))
@@ -391,7 +392,7 @@ def patch_control(patches: DataFrame, upstream: DataFrame | None) -> DataFrame:
 def family_members(keys: DataFrame, families: DataFrame) -> DataFrame:
     """(key, family, ident, template, sources, ord): the first family, by ord, whose pattern matches a key. pattern holds {id}."""
     regex = F.concat(F.lit("^"), F.replace(F.replace(F.col("pattern"), F.lit("."), F.lit("\\.")), F.lit("{id}"), F.lit("([a-z0-9_]+)")), F.lit("$"))
-    rows = keys.join(F.broadcast(families.withColumn("regex", regex)), F.expr("key rlike regex"))
+    rows = keys.join(rules(families.withColumn("regex", regex), "families"), F.expr("key rlike regex"))
     rows = rows.withColumn("ident", F.expr("regexp_extract(key, regex, 1)"))
     first = rows.groupBy("key").agg(F.min_by(F.struct("family", "ident", "template", "sources", "ord"), "ord").alias("x"))
     return first.select("key", "x.*")
@@ -441,6 +442,7 @@ def family_control(names: DataFrame, said: DataFrame) -> DataFrame:
 
 
 # 15
+# Words whose form depends on the noun after them, and determiners.
 GENDERED = "le|la|un|une|du|au|ce|cet|cette|mon|ma|ton|ta|son|sa|de la|l'|d'"
 DETERMINERS = GENDERED + "|les|des|aux|ces|mes|tes|ses|notre|votre|leur|leurs"
 
@@ -471,13 +473,16 @@ def spelling_control(texts: DataFrame, books: DataFrame, journal: DataFrame, for
     """forms: form, right, exact, source. Known mistakes never come back; unless exact, they are found in any case, which is kept."""
     said = shown_texts(texts, books, journal)
     bounded = F.expr("concat(if(exact, '', '(?i)'), '(?U)(?<!\\\\w)', regexp_replace(form, '([\\\\\\\\.^$|?*+()\\\\[\\\\]{}])', '\\\\\\\\$1'), '(?!\\\\w)')")
-    rows = said.join(F.broadcast(forms.withColumn("regex", bounded)), F.expr("fr rlike regex"))
+    rows = said.join(rules(forms.withColumn("regex", bounded), "forms"), F.expr("fr rlike regex"))
     met = F.array_distinct(F.expr("regexp_extract_all(fr, regex, 0)"))
+    # Whole words only: marks are put around what the rule found, and each marked word becomes the right one.
+    marked = F.expr("regexp_replace(fr, regex, '\u0001$0\u0002')")
     put = F.aggregate(
         met,
-        F.col("fr"),
-        lambda t, m: F.replace(t, m, F.when(F.col("exact"), F.col("right")).otherwise(T.same_case(m, F.col("right")))),
+        marked,
+        lambda t, m: F.replace(t, F.concat(F.lit("\u0001"), m, F.lit("\u0002")), F.concat(F.lit("\u0003"), F.when(F.col("exact"), F.col("right")).otherwise(T.same_case(m, F.col("right"))))),
     )
+    put = F.replace(put, F.lit("\u0003"), F.lit(""))
     return finding(rows, "spelling", actual=F.col("fr"), expected=put, object=one("form"), proof=F.col("source"), detail=F.concat(met[0], F.lit(" -> "), F.col("right")))
 
 
@@ -494,7 +499,9 @@ def case_control(texts: DataFrame, nouns: list[str], kept: list[str] | None = No
     names = said.filter(is_name(F.col("key"))).withColumn("inner", inner).filter(F.size("inner") > 0)
     small = [F.when(F.col("fr").rlike(rf"(?U)(?<!\w)\Q{n[0].lower() + n[1:]}\E(?!\w)"), F.lit(n)) for n in nouns if n[:1].isupper()]
     lost = said.withColumn("lost", F.array_compact(F.array(*small) if small else F.array().cast("array<string>"))).filter(F.size("lost") > 0)
-    lowered = F.aggregate("inner", F.col("fr"), lambda t, w: F.replace(t, w, F.concat(F.lower(first(w)), F.substring(w, 2, 2**31 - 1))))
+    # Whole words, and not where one begins the text or a sentence.
+    within = lambda w: F.concat(F.lit(r"(?U)(?<!^)(?<![.!?\n]\s{0,4})(?<!\w)\Q"), w, F.lit(r"\E(?!\w)"))
+    lowered = F.aggregate("inner", F.col("fr"), lambda t, w: F.regexp_replace(t, within(w), F.concat(F.lower(first(w)), F.substring(w, 2, 2**31 - 1))))
     return united(
         [
             finding(names, "case", actual=F.col("fr"), expected=lowered, object=F.col("inner"), detail="capital inside a name"),
@@ -554,8 +561,9 @@ def aliases(names: DataFrame) -> DataFrame:
     return names.unionByName(extra.join(names.select("en_tokens").distinct(), "en_tokens", "left_anti").select(*names.columns))
 
 
+# Function words.
 EMPTY_FR = ["de", "d", "du", "des", "en", "a", "au", "al", "la", "le", "les", "l", "un", "une"]
-EMPTY_EN = ["the", "of", "from", "with", "s", "a", "an", "and", "or", "for", "in", "on", "to", "at", "by", "any"]
+EMPTY_EN = ["the", "of", "from", "with", "s", "a", "an", "and", "or", "for", "in", "on", "to", "at", "by"]
 
 
 def shared_words(rows: DataFrame, by: str, member: str, words: str) -> DataFrame:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.lineage import cut, listed, rules
 from .model import unit_of, visible
 
 
@@ -53,7 +53,7 @@ def batches(rows: DataFrame, size: int = 200, context: int = 30) -> DataFrame:
 def batch_terms(rows: DataFrame, glossary: DataFrame) -> DataFrame:
     """(key, terms): glossary terms of three letters or more that a text holds anywhere, in any case."""
     terms = glossary.filter(F.length("en") >= 3).select(F.col("en").alias("term"))
-    met = rows.join(F.broadcast(terms), F.contains(F.lower("en"), F.lower("term")))
+    met = rows.join(rules(terms, "glossary"), F.contains(F.lower("en"), F.lower("term")))
     return met.groupBy("key").agg(F.array_sort(F.collect_set("term")).alias("terms"))
 
 
@@ -100,19 +100,30 @@ def glossary_candidates(pairs: DataFrame, least: int = 3) -> DataFrame:
 def term_treatment(pairs: DataFrame, terms: DataFrame) -> DataFrame:
     """(term, kept, translated): invented words that some texts keep and others translate. pairs: key, en, fr."""
     ws = lambda c: F.regexp_extract_all(T.fold_mn(F.col(c)), F.lit("([a-z0-9]+)"), 1)
-    rows = pairs.select("key", "fr", F.explode(F.array_distinct(ws("en"))).alias("term"), ws("fr").alias("fw")).join(F.broadcast(terms), "term")
+    rows = pairs.select("key", "fr", F.explode(F.array_distinct(ws("en"))).alias("term"), ws("fr").alias("fw")).join(listed(terms), "term")
     stays = T.survives(F.col("term"), F.col("fw"))
     out = rows.groupBy("term").agg(F.count_if(stays).alias("kept"), F.count_if(~stays).alias("translated"))
     return out.filter("kept > 0 and translated > 0")
 
 
+# The words of each form of address.
+FAMILIAR = r"(?iU)\b(?:tu|ton|ta|tes|toi|t'as)\b|\b\w+(?:es|is|ns)-tu\b"
+FORMAL = r"(?iU)\b(?:vous|votre|vos)\b"
+
+
 def register_mix(pairs: DataFrame) -> DataFrame:
     """(unit, familiar, formal): units that address the reader in both ways; the more even the mix, the higher."""
-    familiar, formal = r"(?iU)\b(?:tu|te|toi|ton|ta|tes)\b", r"(?iU)\b(?:vous|votre|vos)\b"
-    out = pairs.groupBy("unit").agg(F.count_if(F.col("fr").rlike(familiar)).alias("familiar"), F.count_if(F.col("fr").rlike(formal)).alias("formal"))
+    out = pairs.groupBy("unit").agg(F.count_if(F.col("fr").rlike(FAMILIAR)).alias("familiar"), F.count_if(F.col("fr").rlike(FORMAL)).alias("formal"))
     return out.filter("familiar > 0 and formal > 0").orderBy(F.desc(F.least("familiar", "formal")), "unit")
 
 
+def minority_texts(pairs: DataFrame) -> DataFrame:
+    """(unit, register, key): in units that mix both forms of address, the texts in the rarer one; the formal one where they are even."""
+    mixed = register_mix(pairs).select("unit", F.when(F.col("familiar") < F.col("formal"), "familiar").otherwise("formal").alias("register"))
+    used = F.when(F.col("register") == "familiar", F.col("fr").rlike(FAMILIAR)).otherwise(F.col("fr").rlike(FORMAL))
+    return pairs.join(mixed, "unit").filter(used).select("unit", "register", "key")
+
+
 # --- revisions and provenance ------------------------------------------------------------------------------------------------
 
 
@@ -152,14 +163,53 @@ def key_liveness(keys: DataFrame, pack_text: DataFrame, jar_text: DataFrame) ->
     """(key, state): written out in the pack's text, in its jars' strings, by a prefix built at run time, or suspect.
 
     keys: key, prefix. pack_text and jar_text: word. Texts are cut to words that may be keys, so that liveness is an equi-join
-    and not a search of every text for every key.
+    and not a search of every text for every key. Where keys may stand inside longer words, see contained_keys().
     """
     p, j = pack_text.select("word").distinct(), jar_text.select("word").distinct()
     rows = keys.join(p.select(F.col("word").alias("key"), F.lit(True).alias("in_pack")), "key", "left")
     rows = rows.join(j.select(F.col("word").alias("key"), F.lit(True).alias("in_jar")), "key", "left")
     rows = rows.join(j.select(F.col("word").alias("prefix"), F.lit(True).alias("built")), "prefix", "left")
-    state = F.when(F.col("in_pack"), "pack").when(F.col("in_jar"), "jar").when(F.col("built"), "prefix").otherwise("suspect")
-    return rows.select("key", state.alias("state"))
+    return rows.select("key", _state().alias("state"))
+
+
+def _state():
+    return F.when(F.col("in_pack"), "pack").when(F.col("in_jar"), "jar").when(F.col("built"), "prefix").otherwise("suspect")
+
+
+#: Characters of the grams by which keys are looked for inside words.
+GRAM = 3
+
+
+def contained_keys(keys: DataFrame, words: DataFrame) -> DataFrame:
+    """(key) of the keys that stand anywhere inside a word. keys: key; words: word.
+
+    A word holds every gram of a key that it holds, so a key is looked up by the one of its grams that the fewest words have, and
+    only then compared; keys shorter than a gram are looked up by their own length.
+    """
+    words = words.select("word").distinct()
+
+    def grams(c, n: int):
+        return F.array_distinct(F.transform(F.when(F.length(c) >= n, F.sequence(F.lit(1), F.length(c) - n + 1)).otherwise(F.array().cast("array<int>")), lambda i: F.substring(c, i, F.lit(n))))
+
+    of_words = words.select("word", F.explode(grams(F.col("word"), GRAM)).alias("gram"))
+    often = of_words.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    long = keys.filter(F.length("key") >= GRAM).select("key").distinct()
+    each = long.select("key", F.explode(grams(F.col("key"), GRAM)).alias("gram")).join(often, "gram", "left")
+    anchors = each.groupBy("key").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))
+    found = anchors.join(of_words, "gram").filter(F.contains("word", "key")).select("key").distinct()
+    for n in range(1, GRAM):
+        short = keys.filter(F.length("key") == n).select("key").distinct()
+        found = found.unionByName(words.select(F.explode(grams(F.col("word"), n)).alias("key")).distinct().join(short, "key", "left_semi"))
+    return found.unionByName(keys.filter("key = ''").select("key").distinct().join(words.limit(1), how="cross").select("key"))
+
+
+def key_liveness_inside(keys: DataFrame, pack_text: DataFrame, jar_text: DataFrame) -> DataFrame:
+    """key_liveness() with keys and prefixes found anywhere inside a word."""
+    found = lambda ks, text, name: contained_keys(ks, text).withColumn(name, F.lit(True))
+    rows = keys.join(found(keys.select("key"), pack_text, "in_pack"), "key", "left").join(found(keys.select("key"), jar_text, "in_jar"), "key", "left")
+    prefixes = keys.select(F.col("prefix").alias("key")).filter("key is not null").distinct()
+    rows = rows.join(found(prefixes, jar_text, "built").withColumnRenamed("key", "prefix"), "prefix", "left")
+    return rows.select("key", _state().alias("state"))
 
 
 def registrations(scripts: DataFrame, known: DataFrame) -> DataFrame:
@@ -181,14 +231,35 @@ def hardcoded(scripts: DataFrame, calls: str = r"Text\.of|Component\.literal|tel
 
 # --- renderings -----------------------------------------------------------------------------------------------------------
 
-STOP_EN = "a an and at by for from in of on or s the to with".split()
-STOP_FR = "a au aux d de des du en et l la le les ou un une".split()
+# Words that no rendering begins or ends with, the codes of texts, and what a word is.
+STOP_EN = (
+    "a an the of to in on at by for from with and or but not no is are be been was were it its this that these those you your can will may "
+    "must if then than so as into onto up down out over under all any each every some more most less very also only just when while where "
+    "which who what how there here they them their he she his her we our us i me my do does did done has have had get gets got make makes "
+    "made use used using one two three four five six first second new other such both own same per via etc s t"
+).split()
+STOP_FR = (
+    "le la les l un une des du de d à au aux en dans sur sous par pour avec et ou mais ne pas plus moins très aussi seulement quand lorsque "
+    "où qui que quoi dont ce cet cette ces c se s son sa ses leur leurs il elle ils elles on tu te t toi ton ta tes vous votre vos nous notre "
+    "nos je j me m mon ma mes y est sont être été était peut peuvent doit faire fait font a ont avoir tout tous toute toutes chaque autre "
+    "autres même mêmes si alors comme ainsi ici là deux trois un une premier première nouveau nouvelle"
+).split()
+RENDERING_CODES = r"\$\([^)]*\)|§.|&[0-9a-fk-or]|%(?:\d+\$)?[sd]|\{[^}]*\}|<[^>]*>|\\n|\[[^\]]*\]\([^)]*\)"
+RENDERING_WORD = "[A-Za-zÀ-ÿ]+(?:['-][A-Za-zÀ-ÿ]+)*"
+
+
+def rendering_words(c, stem, stop: list[str]):
+    """Words of a text in small letters; all but stop words, folded or not, are stemmed."""
+    stops = F.array(*(F.lit(w) for w in stop))
+    found = F.regexp_extract_all(F.regexp_replace(F.coalesce(c, F.lit("")), RENDERING_CODES, " "), F.lit(f"({RENDERING_WORD})"), 1)
+    plain = lambda w: F.lower(F.translate(w, *T._FOLD_MN))
+    return F.transform(F.transform(found, F.lower), lambda w: F.when(F.array_contains(stops, w) | F.array_contains(stops, plain(w)), w).otherwise(stem(w)))
 
 
 def gram_frequencies(pairs: DataFrame) -> DataFrame:
-    """(side, gram, n): in how many texts each n-gram of one to three words stands."""
-    en = T.ngrams(F.transform(F.regexp_extract_all(F.lower(T.strip_codes(F.col("en"))), F.lit(f"({T.WORD})"), 1), T.stem_en), 3, STOP_EN)
-    fr = T.ngrams(F.transform(F.regexp_extract_all(F.lower(T.strip_codes(F.col("fr"))), F.lit(f"({T.WORD})"), 1), T.stem_fr), 3, STOP_FR)
+    """(key, side, gram): the n-grams of one to three words of each text, once each."""
+    en = T.ngrams(rendering_words(F.col("en"), T.stem_en, STOP_EN), 3, STOP_EN)
+    fr = T.ngrams(rendering_words(F.col("fr"), T.stem_fr, STOP_FR), 3, STOP_FR)
     sides = F.explode(F.array(F.struct(F.lit("en").alias("side"), F.array_distinct(en).alias("g")), F.struct(F.lit("fr").alias("side"), F.array_distinct(fr).alias("g"))))
     return pairs.select("key", sides.alias("x")).select("key", "x.side", F.explode("x.g").alias("gram"))
 
@@ -202,7 +273,7 @@ def associations(pairs: DataFrame, terms: DataFrame, least: int = 4, strength: f
     grams = gram_frequencies(pairs)
     df = grams.groupBy("side", "gram").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
     kept = grams.join(df, ["side", "gram"])
-    en = kept.filter("side = 'en'").join(F.broadcast(terms.select(F.col("term").alias("gram"))), "gram", "left_semi").select("key", F.col("gram").alias("term"), F.col("n").alias("n_term"))
+    en = kept.filter("side = 'en'").join(listed(terms.select(F.col("term").alias("gram"))), "gram", "left_semi").select("key", F.col("gram").alias("term"), F.col("n").alias("n_term"))
     fr = kept.filter("side = 'fr'").select("key", F.col("gram").alias("rendering"), F.col("n").alias("n_rendering"))
     both = en.join(fr, "key").groupBy("term", "rendering").agg(F.count(F.lit(1)).alias("both"), F.first("n_term").alias("n_term"), F.first("n_rendering").alias("n_rendering"))
     return both.filter(F.col("both") >= strength * F.col("n_rendering")).filter(F.col("both") >= least)
@@ -211,21 +282,28 @@ def associations(pairs: DataFrame, terms: DataFrame, least: int = 4, strength: f
 def covers(term_texts: DataFrame, most: int = 4) -> DataFrame:
     """(term, rank, rendering, new): renderings of a term picked greedily by how many more of its texts they account for.
 
-    term_texts: term, rendering, key. A pick depends on those before it; a term's texts are walked in one group, in arrays.
+    term_texts: term, rendering, key. A pick depends on those before it, so there are `most` rounds: each counts, for all terms at
+    once, the texts that every rendering still accounts for, and takes the texts of the best one away. Ties go to the rendering of
+    more words, then to the first.
     """
-
-    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        texts = {r: set(g) for r, g in pdf.groupby("rendering")["key"]}
-        left, out = set(pdf["key"]), []
-        while left and len(out) < most:
-            best = min(texts, key=lambda r: (-len(texts[r] & left), -len(r.split()), r))
-            gain = len(texts.pop(best) & left) if texts else 0
-            if not gain:
-                break
-            out.append((pdf["term"].iloc[0], len(out) + 1, best, gain))
-            left -= set(pdf.loc[pdf["rendering"] == best, "key"])
-            if not texts:
-                break
-        return pd.DataFrame(out, columns=["term", "rank", "rendering", "new"])
-
-    return term_texts.groupBy("term").applyInPandas(pick, "term string, rank int, rendering string, new int")
+    left = cut(term_texts.select("term", "rendering", "key").distinct())
+    out = None
+    for rank in range(1, most + 1):
+        gains = left.groupBy("term", "rendering").agg(F.count(F.lit(1)).cast("int").alias("new"))
+        order = F.struct(-F.col("new"), -F.size(F.split("rendering", " ")), "rendering")
+        best = cut(gains.groupBy("term").agg(F.min_by(F.struct("rendering", "new"), order).alias("x")).select("term", F.lit(rank).alias("rank"), "x.rendering", "x.new"))
+        out = best if out is None else out.unionByName(best)
+        if best.isEmpty() or rank == most:
+            break
+        gone = left.join(best.select("term", "rendering"), ["term", "rendering"], "left_semi").select("term", "key")
+        left = cut(left.join(gone, ["term", "key"], "left_anti"))
+    return out
+
+
+def renderings(pairs: DataFrame, terms: DataFrame, least: int = 4, strength: float = 0.5, most: int = 4) -> DataFrame:
+    """(term, rank, rendering, new): how texts render the terms: associated n-grams, picked greedily by the texts that they account for."""
+    found = associations(pairs, terms, least, strength).select("term", "rendering")
+    grams = gram_frequencies(pairs)
+    en = grams.filter("side = 'en'").join(listed(terms.select(F.col("term").alias("gram"))), "gram", "left_semi").select("key", F.col("gram").alias("term"))
+    fr = grams.filter("side = 'fr'").select("key", F.col("gram").alias("rendering"))
+    return covers(en.join(fr, "key").join(found, ["term", "rendering"], "left_semi").select("term", "rendering", "key"), most)

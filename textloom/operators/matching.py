@@ -12,37 +12,39 @@ BROADCAST_NAMES = 200_000
 def hits(texts: DataFrame, names: DataFrame) -> DataFrame:
     """(key, pos, len, motif) of every place where a name's words stand, overlaps included. texts: key, ws; names: motif (arrays).
 
-    A text's words are joined by the first word of a name, and the rest is compared in place, so no n-gram is ever materialised.
+    A text's words are joined by the first word of a name, each with as many words after it as the longest name has, and the rest is
+    compared there; the words of a whole text are never sent along, and no n-gram is materialised.
     """
     motifs = names.select("motif").filter(F.size("motif") > 0).distinct()
     motifs = motifs.withColumn("head", F.col("motif")[0])
-    n = motifs.count()
-    motifs = F.broadcast(motifs) if n <= BROADCAST_NAMES else motifs
-    starts = texts.select("key", F.posexplode("ws").alias("pos", "head"), "ws") if n <= BROADCAST_NAMES else None
-    if starts is None:
-        longest = motifs.agg(F.max(F.size("motif"))).first()[0] or 1
-        starts = texts.select("key", F.posexplode("ws").alias("pos", "head"), "ws").withColumn("ws", F.slice("ws", F.col("pos") + 1, longest))
-        found = starts.join(motifs, "head").filter(F.slice("ws", 1, F.size("motif")) == F.col("motif"))
-    else:
-        found = starts.join(motifs, "head").filter(F.slice("ws", F.col("pos") + 1, F.size("motif")) == F.col("motif"))
+    n, longest = motifs.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("motif")), F.lit(1))).first()
+    if n <= BROADCAST_NAMES:
+        motifs = F.broadcast(motifs)
+    at = F.transform("ws", lambda w, i: F.struct(i.alias("pos"), F.slice("ws", i + 1, longest).alias("next")))
+    starts = texts.select("key", F.explode(at).alias("x")).select("key", "x.pos", "x.next", F.col("x.next")[0].alias("head"))
+    found = starts.join(motifs, "head").filter(F.slice("next", 1, F.size("motif")) == F.col("motif"))
     return found.select("key", "pos", F.size("motif").alias("len"), "motif")
 
 
 def without_overlaps(found: Column) -> Column:
-    """Of an array<struct<pos, len, ...>>, the leftmost hits, the longest first, each starting where the one before has ended."""
-    ordered = F.array_sort(found, lambda a, b: F.when(a["pos"] != b["pos"], a["pos"] - b["pos"]).otherwise(b["len"] - a["len"]))
+    """Of an array<struct<pos, less, motif>>, the leftmost hits, the longest first, each starting where the one before has ended.
+
+    less is the length of the motif below zero, so that the natural order of the structs is the order of picking.
+    """
     return F.aggregate(
-        ordered,
+        F.array_sort(found),
         F.struct(F.lit(0).alias("free"), F.slice(found, 1, 0).alias("kept")),
-        lambda a, x: F.when(x["pos"] >= a["free"], F.struct((x["pos"] + x["len"]).alias("free"), F.concat(a["kept"], F.array(x)).alias("kept"))).otherwise(a),
+        lambda a, x: F.when(x["pos"] >= a["free"], F.struct((x["pos"] - x["less"]).alias("free"), F.concat(a["kept"], F.array(x)).alias("kept"))).otherwise(a),
         lambda a: a["kept"],
     )
 
 
 def citations(texts: DataFrame, names: DataFrame) -> DataFrame:
-    """(key, pos, len, motif) of the names cited in each text, leftmost-longest. The hits of one text are folded in order."""
-    rows = hits(texts, names).groupBy("key").agg(F.collect_list(F.struct("pos", "len", "motif")).alias("found"))
-    return rows.select("key", F.explode(without_overlaps(F.col("found"))).alias("x")).select("key", "x.*")
+    """(key, pos, len, motif) of the names cited in each text, leftmost-longest. Of the hits of one place, the longest is kept at once;
+    those of one text are folded in order."""
+    longest = hits(texts, names).groupBy("key", "pos").agg(F.max_by("motif", "len").alias("motif"))
+    rows = longest.groupBy("key").agg(F.collect_list(F.struct("pos", (-F.size("motif")).alias("less"), "motif")).alias("found"))
+    return rows.select("key", F.explode(without_overlaps(F.col("found"))).alias("x")).select("key", "x.pos", (-F.col("x.less")).alias("len"), "x.motif")
 
 
 def common_prefix(groups: DataFrame, by: str, words: str, stop: list[str]) -> DataFrame:

@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.lineage import stage
 
 #: Later layers win: the base game's texts, then those of jars, then the project's own.
 LAYERS = ("vanilla", "jar", "project")
 LOCALE = "^[a-z]{2}_[a-z]{2}$"
+# The keys of objects, and those of proper names.
 OBJECT_KEY = r"^(item|block|entity|biome|effect|enchantment|fluid|fluid_type|wood_type|leaves_type)\.([a-z0-9_]+)\.([a-z0-9_/]+)$"
 PROPER_KEY = r"^(?:quests\.chapter\.[a-z0-9_]+\.title|dialog\.npc\.[a-z_]+\.name|shop\.[a-z_]+\.[a-z_]+|[a-z_]+[._]skills\.[a-z_]+\.[a-z_]+)$"
 
@@ -159,22 +161,27 @@ def homonym_groups(names: DataFrame) -> DataFrame:
 # --- flattening ----------------------------------------------------------------------------------------------------------
 
 
-def flatten_json(docs: DataFrame, id_col: str, json_col: str, depth: int = 40) -> DataFrame:
-    """(id, pointer, value) of every string in a JSON text. Walks down level by level while there are containers left."""
+def flatten_json(docs: DataFrame, id_col: str, json_col: str) -> DataFrame:
+    """(id, pointer, value) of every string in a JSON text, however deep. Walks down level by level while there are containers left.
+
+    Each level is cut off in the shared folder, so that no text is parsed again for the next.
+    """
     level = docs.select(F.col(id_col).alias("id"), F.lit("").alias("pointer"), F.try_parse_json(json_col).alias("v"))
+    kind = F.schema_of_variant("v")
     leaves = None
-    for _ in range(depth):
-        kind = F.schema_of_variant("v")
+    while True:
         found = level.filter(kind == "STRING").select("id", "pointer", F.expr("variant_get(v, '$', 'string')").alias("value"))
         leaves = found if leaves is None else leaves.unionByName(found)
-        level = level.filter(kind.startswith("OBJECT") | kind.startswith("ARRAY"))
-        level.createOrReplaceTempView("textloom_level")
-        level = docs.sparkSession.sql(
-            "select id, concat(pointer, '/', coalesce(x.key, cast(x.pos as string))) as pointer, x.value as v from textloom_level, lateral variant_explode(v) x"
-        )
+        inner = level.filter(kind.startswith("OBJECT") | kind.startswith("ARRAY"))
+        inner = inner.lateralJoin(docs.sparkSession.tvf.variant_explode(F.col("v").outer()).toDF("pos", "name", "inner"))
+        level = stage(inner.select("id", F.concat("pointer", F.lit("/"), F.coalesce("name", F.col("pos").cast("string"))).alias("pointer"), F.col("inner").alias("v")), "level")
         if level.isEmpty():
-            break
-    return leaves
+            return leaves
+
+
+def dotted(pointer: Column) -> Column:
+    """A pointer as a path with dots and, for places in lists, brackets: /pages/0/text is pages[0].text."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(pointer, r"/(\d+)(?=/|$)", "[$1]"), "/", "."), r"^\.", "")
 
 
 def array_fields(docs: DataFrame, id_col: str, json_col: str, fields: list[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ..functions import text as T
-from ..functions.lineage import cut
+from ..functions.lineage import cut, listed
 
 MINIMUM = 5
 #: Upper bound that a zone's share of major defects has to stay below.
@@ -40,12 +40,19 @@ def quotas(strata: DataFrame, n: int, minimum: int = MINIMUM) -> DataFrame:
 def draw(members: DataFrame, quota: DataFrame, seed: str) -> DataFrame:
     """(stratum, id): the quota of each stratum without replacement, in the order of a hash of seed and id, so that it can be repeated.
 
-    members: stratum, id. Only ids whose hash is among the smallest of their stratum are ranked.
+    members: stratum, id. A stratum's hashes are spread evenly, so nearly all of the drawn ids lie below a limit that follows from its
+    size and quota, with four standard deviations to spare; only what lies below is ranked. A stratum with too little below it (by
+    chance, or as it has few ids) is ranked whole.
     """
-    by = Window.partitionBy("stratum").orderBy("__h", "id")
-    rows = members.withColumn("__h", F.sha1(F.concat_ws("|", F.lit(seed), F.col("id").cast("string")).cast("binary")))
-    ranked = rows.withColumn("__n", F.row_number().over(by)).join(F.broadcast(quota.select("stratum", "quota")), "stratum")
-    return ranked.filter(F.col("__n") <= F.col("quota")).select("stratum", "id")
+    rows = members.select("stratum", "id", F.sha1(F.concat_ws("|", F.lit(seed), F.col("id").cast("string")).cast("binary")).alias("hash"))
+    wanted = quota.select("stratum", "size", "quota")
+    share = (F.col("quota") + 4 * F.sqrt("quota") + 8) / F.col("size")
+    at = F.conv(F.substring("hash", 1, 8), 16, 10).cast("double") / float(1 << 32)
+    near = rows.join(listed(wanted), "stratum").withColumn("below", at < share)
+    enough = near.filter("below").groupBy("stratum").agg(F.count(F.lit(1)).alias("n")).join(wanted, "stratum").filter("n >= quota").select("stratum", F.lit(True).alias("enough"))
+    kept = near.join(listed(enough), "stratum", "left").filter("below or enough is null")
+    by = Window.partitionBy("stratum").orderBy("hash", "id")
+    return kept.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= F.col("quota")).select("stratum", "id")
 
 
 @F.pandas_udf(DoubleType())

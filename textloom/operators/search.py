@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.lineage import rules
 
 
 def folded_index(index: DataFrame) -> DataFrame:
@@ -75,7 +76,7 @@ def detail(index: DataFrame, decisions: DataFrame, glossary: DataFrame, marks: D
     told = decisions.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("seq", "type", "fr"))).alias("decisions"), F.bool_or(F.col("file").isNull()).alias("unplaced"))
     owners = index.groupBy("key").agg(F.count_distinct("ns").alias("owners"))
     bounded = F.expr("concat('(?iU)', if(term rlike '(?U)^\\\\w', '\\\\b', ''), '\\\\Q', term, '\\\\E', if(term rlike '(?U)\\\\w$', '\\\\b', ''))")
-    met = rows.join(F.broadcast(glossary.select(F.col("en").alias("term"), F.col("fr").alias("term_fr")).withColumn("regex", bounded)), F.expr("en rlike regex"))
+    met = rows.join(rules(glossary.select(F.col("en").alias("term"), F.col("fr").alias("term_fr")).withColumn("regex", bounded), "glossary"), F.expr("en rlike regex"))
     order = F.struct((-F.length("term")).alias("l"), "term", "term_fr")
     terms = met.groupBy("id").agg(F.slice(F.array_sort(F.collect_set(order)), 1, most).alias("terms"))
     terms = terms.select("id", F.transform("terms", lambda t: F.struct(t["term"].alias("en"), t["term_fr"].alias("fr"))).alias("terms"))

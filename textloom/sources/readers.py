@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import json
+import re
 import zipfile
 
 import pandas as pd
@@ -11,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ..functions.lineage import place
+from ..functions.text import REST
 from ..operators.model import LOCALE
 
 ENTRY = "layer string, jar string, ns string, locale string, key string, value string, file string, ord bigint"
@@ -56,7 +59,10 @@ def unreadable(files: DataFrame, tolerant: bool = False) -> DataFrame:
 
 
 def jar_langs(spark: SparkSession, path: str, batch: int = 4) -> DataFrame:
-    """Rows of ENTRY (without order of jars) from the language files inside jars, jars inside jars included."""
+    """Rows of ENTRY (without order of jars) from the language files inside jars, jars inside jars included.
+
+    Jars are handed to Python `batch` at a time, by a session of its own, and what they hold goes to the shared folder.
+    """
 
     def members(data: bytes, name: str):
         with zipfile.ZipFile(io.BytesIO(data)) as z:
@@ -68,11 +74,15 @@ def jar_langs(spark: SparkSession, path: str, batch: int = 4) -> DataFrame:
 
     def read(frames):
         for frame in frames:
-            rows = [x for p, content in zip(frame["path"], frame["content"]) for x in members(bytes(content), p.rsplit("/", 1)[-1].removesuffix(".jar"))]
-            yield pd.DataFrame([(f"{jar}/{item.split('/')[1]}/{item.rsplit('/', 1)[1]}", text) for jar, item, text in rows], columns=["file", "text"])
+            for p, content in zip(frame["path"], frame["content"]):
+                rows = [(f"{jar}/{item.split('/')[1]}/{item.rsplit('/', 1)[1]}", text) for jar, item, text in members(bytes(content), p.rsplit("/", 1)[-1].removesuffix(".jar"))]
+                yield pd.DataFrame(rows, columns=["file", "text"])
 
-    jars = spark.read.format("binaryFile").option("pathGlobFilter", "*.jar").option("recursiveFileLookup", "true").load(path).select("path", "content")
-    return lang_files(jars.mapInPandas(read, "file string, text string"), "jar", tolerant=True)
+    out, own = place(spark, "jars"), spark.newSession()
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    jars = own.read.format("binaryFile").option("pathGlobFilter", "*.jar").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    jars.mapInPandas(read, "file string, text string").write.parquet(out)
+    return lang_files(spark.read.schema("file string, text string").parquet(out), "jar", tolerant=True)
 
 
 def books(files: DataFrame, fields=("name", "text", "title", "description", "subtitle", "landing_text")) -> DataFrame:
@@ -102,56 +112,57 @@ def paired_books(en: DataFrame, fr: DataFrame) -> DataFrame:
 # --- quests -----------------------------------------------------------------------------------------------------------------
 
 
+TOKEN = re.compile(r"""\s+|,|([{}\[\]:])|"((?:[^"\\]|\\.)*+)"|'((?:[^'\\]|\\.)*+)'|([^\s,:{}\[\]"';]+)|(;)""", re.S)
+
+
 def snbt_to_json(text: str) -> str | None:
-    """Named-tag text as JSON: compounds, lists and strings; numbers stay text, and the prefix of typed arrays is dropped. None if broken."""
-    at, size = 0, len(text)
-    stack: list = []
-    root: list = []
-    key = None
-
-    def put(value):
-        nonlocal key
-        where = stack[-1] if stack else root
-        if isinstance(where, dict):
-            where[key] = value
-            key = None
-        else:
-            where.append(value)
+    """Named-tag text as JSON: compounds, lists and strings; numbers stay text, and the prefix of typed arrays is dropped.
 
-    while at < size:
-        c = text[at]
-        if c in " \t\r\n,:;":
-            at += 1
-        elif c in "{[":
-            made: dict | list = {} if c == "{" else []
-            put(made)
-            stack.append(made)
-            at += 1
-            if c == "[" and text[at : at + 2] in ("B;", "I;", "L;"):
-                at += 2
-        elif c in "}]":
-            if not stack:
+    None if it is broken: brackets that don't match, a key without a colon, a value where a key has to stand, or anything after the end.
+    """
+    at, root = 0, []
+    stack: list = [root]
+    key, colon = None, False
+    while at < len(text):
+        m = TOKEN.match(text, at)
+        if not m or m[5]:
+            return None
+        at = m.end()
+        sign, here = m[1], stack[-1]
+        word = next((re.sub(r"(?s)\\(.)", r"\1", m[g]) for g in (2, 3) if m[g] is not None), m[4])
+        if sign is None and word is None:
+            continue
+        if here is root and root:
+            return None
+        if isinstance(here, dict) and sign != "}":
+            if key is None:
+                if word is None:
+                    return None
+                key = word
+                continue
+            if not colon:
+                if sign != ":":
+                    return None
+                colon = True
+                continue
+        if sign == ":":
+            return None
+        if sign in ("}", "]"):
+            if key is not None or not isinstance(here, dict if sign == "}" else list) or here is root:
                 return None
             stack.pop()
-            at += 1
+            continue
+        value = {} if sign == "{" else [] if sign == "[" else word
+        if isinstance(here, dict):
+            here[key] = value
+            key, colon = None, False
         else:
-            if c in "\"'":
-                end, out = at + 1, []
-                while end < size and text[end] != c:
-                    end += text[end] == "\\"
-                    out.append(text[end : end + 1])
-                    end += 1
-                word, at = "".join(out), end + 1
-            else:
-                end = at
-                while end < size and text[end] not in " \t\r\n,:;{}[]\"'":
-                    end += 1
-                word, at = text[at:end], end
-            if stack and isinstance(stack[-1], dict) and key is None:
-                key = word
-            else:
-                put(word)
-    return json.dumps(root[0], ensure_ascii=False) if len(root) == 1 and not stack else None
+            here.append(value)
+        if sign:
+            stack.append(value)
+        if sign == "[" and (typed := re.compile(r"\s*[BIL];").match(text, at)):
+            at = typed.end()
+    return json.dumps(root[0], ensure_ascii=False) if len(root) == 1 and len(stack) == 1 else None
 
 
 @F.pandas_udf(StringType())
@@ -272,7 +283,7 @@ def calls(scripts: DataFrame, names: list[str]) -> DataFrame:
 def tooltip_links(found: DataFrame) -> DataFrame:
     """(key, objects) from calls whose first argument names objects and whose others hold translation keys."""
     ids = F.regexp_extract_all(F.get("args", F.lit(0)), F.lit("""["']([a-z0-9_.-]+:[a-z0-9_/.-]+)["']"""), 1)
-    keys = F.regexp_extract_all(F.array_join(F.slice("args", 2, 100), " "), F.lit("""["']([a-z0-9_]+(?:[.][a-z0-9_]+)+)["']"""), 1)
+    keys = F.regexp_extract_all(F.array_join(F.slice("args", 2, REST), " "), F.lit("""["']([a-z0-9_]+(?:[.][a-z0-9_]+)+)["']"""), 1)
     rows = found.select(F.explode(keys).alias("key"), ids.alias("ids")).select("key", F.explode("ids").alias("object_id"))
     return rows.groupBy("key").agg(F.array_sort(F.collect_set("object_id")).alias("objects"))
 
@@ -280,7 +291,7 @@ def tooltip_links(found: DataFrame) -> DataFrame:
 def argument_types(found: DataFrame) -> DataFrame:
     """(key, types): by rank, the sorted kinds of what a template's call passes: object, season or other."""
     key = F.regexp_extract(F.get("args", F.lit(0)), """^["']([a-z0-9_.]+)["']$""", 1)
-    rows = found.select(key.alias("key"), F.posexplode(F.slice("args", 2, 100)).alias("rank", "arg")).filter("key != ''")
+    rows = found.select(key.alias("key"), F.posexplode(F.slice("args", 2, REST)).alias("rank", "arg")).filter("key != ''")
     kind = F.when(F.col("arg").rlike(r"(?i)season"), "season").when(F.col("arg").rlike(r"(?i)hoverName|displayName|getName|item"), "object").otherwise("other")
     rows = rows.groupBy("key", "rank").agg(F.array_sort(F.collect_set(kind)).alias("kinds"))
     return rows.groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "kinds"))), lambda x: x["kinds"]).alias("types"))
