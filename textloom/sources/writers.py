@@ -62,3 +62,73 @@ def family_targets(names: DataFrame, definitions: DataFrame, namespace) -> DataF
 def stale_files(present: DataFrame, produced: DataFrame) -> DataFrame:
     """(file) of extracts that are no longer produced."""
     return present.join(produced.select("file"), "file", "left_anti")
+
+
+# --- edits of files, planned as rows --------------------------------------------------------------------------------------------
+
+
+def language_edits(files: DataFrame, edits: DataFrame) -> DataFrame:
+    """(file, text, problem): each edited language file as it has to be written, keys in order, or why it mustn't be.
+
+    files: file, text. edits: file, key, value; of several for one key, the one of the greatest ord counts. A file that can't be read,
+    or that holds comments, which rewriting would lose, is refused; one that isn't there is made.
+    """
+    from .readers import parsed_map
+
+    last = edits.groupBy("file", "key").agg(F.max_by("value", "ord").alias("value"))
+    put = last.groupBy("file").agg(F.map_from_entries(F.collect_list(F.struct("key", F.to_variant_object(F.struct("value")).alias("v")))).alias("put"))
+    rows = put.join(files.select("file", "text", F.lit(True).alias("there")), "file", "left")
+    strict, tolerant = parsed_map(F.col("text")), parsed_map(F.col("text"), tolerant=True)
+    problem = F.when(F.col("there") & tolerant.isNull(), "unreadable").when(F.col("there") & strict.isNull(), "holds comments")
+    old = F.transform(F.map_entries(F.coalesce(strict, F.create_map().cast("map<string,variant>"))), lambda e: F.struct(e["key"].alias("key"), F.to_json(e["value"]).alias("json")))
+    new = F.transform(F.map_entries("put"), lambda e: F.struct(e["key"].alias("key"), F.regexp_extract(F.to_json(e["value"]), r'(?s)^\{"value":(.*)\}$', 1).alias("json")))
+    kept = F.filter(old, lambda e: ~F.map_contains_key("put", e["key"]))
+    lines = F.transform(F.array_sort(F.concat(kept, new)), lambda e: F.concat(F.lit("  "), F.regexp_extract(F.to_json(F.struct(e["key"].alias("k"))), r'(?s)^\{"k":(.*)\}$', 1), F.lit(": "), e["json"]))
+    text = F.concat(F.lit("{\n"), F.array_join(lines, ",\n"), F.lit("\n}\n"))
+    return rows.select("file", F.when(problem.isNull(), text).alias("text"), problem.alias("problem"))
+
+
+def output_targets(outputs: DataFrame, targets: DataFrame) -> DataFrame:
+    """(file, key, before, after, problem): what a batch's outputs put into their target files.
+
+    outputs: file, key, en, fr, ord; targets: file, key, value. Outputs whose codes, blanks or number differ from the English are
+    refused with the first reason; of several for one key the last counts; what the target already says is left out.
+    """
+    from ..functions.text import placeholder_verdicts
+
+    last = outputs.groupBy("file", "key").agg(F.max_by(F.struct("en", "fr"), "ord").alias("x")).select("file", "key", "x.*")
+    why = F.get(F.filter(placeholder_verdicts(F.col("en"), F.col("fr")), lambda c: c != "untranslated"), F.lit(0))
+    rows = last.join(targets.select("file", "key", F.col("value").alias("before")), ["file", "key"], "left").withColumn("problem", why)
+    return rows.filter("problem is not null or not (before <=> fr)").select("file", "key", "before", F.col("fr").alias("after"), "problem")
+
+
+def review_edits(corrections: DataFrame, definitions: DataFrame) -> DataFrame:
+    """(file, key, before, after, problem): a review's corrections in every file that defines the key, as long as the text is what was reviewed.
+
+    corrections: key, before, after. definitions: file, key, value.
+    """
+    rows = corrections.select("key", F.col("before").alias("read"), "after").join(definitions, "key", "left")
+    problem = F.when(F.col("file").isNull(), "unknown key").when(F.col("value") == F.col("after"), "done").when(F.col("value") != F.col("read"), "text has changed")
+    return rows.select("file", "key", F.col("value").alias("before"), "after", problem.alias("problem"))
+
+
+def arbitrated(outputs: DataFrame, rulings: DataFrame, kept: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(outputs with the rulings' texts in place of their own, the terms kept in English with those that the rulings add).
+
+    outputs: key, fr. rulings: key, fr, keep_english (a term or null). kept: term.
+    """
+    fixed = outputs.join(rulings.filter("fr is not null").select("key", F.col("fr").alias("ruled")), "key", "left").select("key", F.coalesce("ruled", "fr").alias("fr"))
+    return fixed, kept.select("term").unionByName(rulings.filter("keep_english is not null").select(F.col("keep_english").alias("term"))).distinct()
+
+
+def traced(decisions: DataFrame, events: DataFrame, date: str) -> DataFrame:
+    """decisions (key, seq, type, fr, date) with the events (key, type, fr, ord) after them, numbered on within each key; a repeat of
+    a key's last text isn't a decision."""
+    from pyspark.sql import Window
+
+    last = decisions.groupBy("key").agg(F.max("seq").alias("upto"), F.max_by("fr", "seq").alias("said"))
+    rows = events.join(last, "key", "left")
+    by = Window.partitionBy("key").orderBy("ord")
+    rows = rows.withColumn("said", F.coalesce(F.lag("fr").over(by), F.col("said"))).filter("not (said <=> fr)")
+    new = rows.select("key", (F.coalesce("upto", F.lit(0)) + F.row_number().over(by)).cast("bigint").alias("seq"), "type", "fr", F.lit(date).alias("date"))
+    return decisions.unionByName(new)
