@@ -161,12 +161,24 @@ def homonym_groups(names: DataFrame) -> DataFrame:
 # --- flattening ----------------------------------------------------------------------------------------------------------
 
 
+def is_whole_json(text: Column) -> Column:
+    """Whether the whole text is one JSON value. Parsers stop at a value's end; what follows it breaks a list or an object around it."""
+    in_list = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("\n]"))), "$", "array<variant>")
+    in_object = F.try_parse_json(F.concat(F.lit('{"x":'), text, F.lit("\n}")))
+    return F.coalesce(F.size(in_list) == 1, F.lit(False)) & in_object.isNotNull()
+
+
+def parsed_json(text: Column) -> Column:
+    """A text as a variant; null unless the whole of it is one JSON value."""
+    return F.when(is_whole_json(text), F.try_parse_json(text))
+
+
 def flatten_json(docs: DataFrame, id_col: str, json_col: str) -> DataFrame:
     """(id, pointer, value) of every string in a JSON text, however deep. Walks down level by level while there are containers left.
 
     Each level is cut off in the shared folder, so that no text is parsed again for the next.
     """
-    level = docs.select(F.col(id_col).alias("id"), F.lit("").alias("pointer"), F.try_parse_json(json_col).alias("v"))
+    level = docs.select(F.col(id_col).alias("id"), F.lit("").alias("pointer"), parsed_json(F.col(json_col)).alias("v"))
     kind = F.schema_of_variant("v")
     leaves = None
     while True:

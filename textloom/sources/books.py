@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.model import parsed_json
+
 # The translatable fields of each type of page; a field "name " is read from "name" where it isn't there.
 FIELDS = {"patchouli:text": ["title", "text"], "patchouli:entity": ["name", "text"], "patchouli:multiblock": ["name "]}
 REFERENCE = "fr_fr"
@@ -18,12 +20,12 @@ def book_files(files: DataFrame) -> DataFrame:
 
 
 def _parsed(files: DataFrame, kind: str) -> DataFrame:
-    return files.filter(F.col("kind") == kind).withColumn("v", F.try_parse_json("text"))
+    return files.filter(F.col("kind") == kind).withColumn("v", parsed_json(F.col("text")))
 
 
 def unreadable_books(files: DataFrame) -> DataFrame:
     """(file) of the files that are no JSON, and of the entries whose pages are no list. files: as book_files gives."""
-    v = files.withColumn("v", F.try_parse_json("text"))
+    v = files.withColumn("v", parsed_json(F.col("text")))
     pages = F.expr("schema_of_variant(variant_get(v, '$.pages', 'variant'))")
     odd = (F.col("kind") == "entries") & F.expr("variant_get(v, '$.pages', 'variant') is not null") & ~pages.startswith("ARRAY")
     return v.filter(F.col("v").isNull() | odd).select("file")

@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType
 
 from ..functions.lineage import place
 from ..functions.text import REST
-from ..operators.model import LOCALE
+from ..operators.model import LOCALE, is_whole_json
 
 ENTRY = "layer string, jar string, ns string, locale string, key string, value string, file string, ord bigint"
 
@@ -26,11 +26,13 @@ def whole_texts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parsed_map(text: Column, tolerant: bool = False) -> Column:
-    """A flat JSON object as a map to variants; null if it can't be read. tolerant: retried without // comments at line ends."""
-    strict = F.from_json(text, "map<string,variant>", {"mode": "PERMISSIVE", "allowComments": "false"})
-    if not tolerant:
-        return strict
-    return F.coalesce(strict, F.from_json(F.regexp_replace(text, r"(?m)(^|[,{\"])\s*//[^\n\"]*$", "$1"), "map<string,variant>"))
+    """A flat JSON object as a map to variants; null unless the whole text is one. tolerant: retried without // comments at line ends."""
+
+    def whole(t: Column) -> Column:
+        return F.when(is_whole_json(t), F.from_json(t, "map<string,variant>", {"mode": "PERMISSIVE", "allowComments": "false"}))
+
+    strict = whole(text)
+    return F.coalesce(strict, whole(F.regexp_replace(text, r"(?m)(^|[,{\"}\]\w])\s*//[^\n\"]*$", "$1"))) if tolerant else strict
 
 
 def lang_files(files: DataFrame, layer: str, tolerant: bool = False) -> DataFrame:
