@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType
 
 from ..functions.lineage import place
 from ..functions.text import REST
-from ..operators.model import LOCALE, is_whole_json
+from ..operators.model import LOCALE
 
 ENTRY = "layer string, jar string, ns string, locale string, key string, value string, file string, ord bigint"
 
@@ -29,7 +29,11 @@ def parsed_map(text: Column, tolerant: bool = False) -> Column:
     """A flat JSON object as a map to variants; null unless the whole text is one. tolerant: retried without // comments at line ends."""
 
     def whole(t: Column) -> Column:
-        return F.when(is_whole_json(t), F.from_json(t, "map<string,variant>", {"mode": "PERMISSIVE", "allowComments": "false"}))
+        # A parser stops at the object's end; what follows it breaks a list or an object around it.
+        options = {"mode": "PERMISSIVE", "allowComments": "false"}
+        in_list = F.from_json(F.concat(F.lit("["), t, F.lit("\n]")), "array<map<string,variant>>", options)
+        in_object = F.from_json(F.concat(F.lit('{"x":'), t, F.lit("\n}")), "struct<x:map<string,variant>>", options)
+        return F.when((F.size(in_list) == 1) & in_object["x"].isNotNull(), in_list[0])
 
     strict = whole(text)
     return F.coalesce(strict, whole(F.regexp_replace(text, r"(?m)(^|[,{\"}\]\w])\s*//[^\n\"]*$", "$1"))) if tolerant else strict
