@@ -4,12 +4,14 @@ import random
 
 import corpus_pipeline
 import sentencepiece
+from pyspark.sql import functions as F
 from textloom.llm import sentencepiece_codec
 from textloom.llm.decontaminate import words as item_words
 
 from .test_decontaminate import brute as brute_contamination
 from .test_exact_dedup import brute as brute_copies
 from .test_simhash import brute_components, brute_fp
+from .helpers import LONG
 from .test_toxicity import corpus
 
 
@@ -75,3 +77,26 @@ def test_empty(spark, tmp_path):
     for t in ("labels", "benchmark"):
         spark.read.parquet(f"{tmp_path}/{t}.parquet").write.parquet(f"{tmp_path}/none/{t}.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_odd_rows(spark, tmp_path):
+    """Nulls, empty and very long texts, rows that repeat or share an id, ids that are null, and columns named like inner ones."""
+    write(spark, str(tmp_path))
+    odd = [(9000, None), (9001, ""), (9002, " \t"), (9003, LONG), (9003, LONG), (9004, "bench " * 3), (9005, "one two three"), (9005, "four five six seven"), (None, "without an id"), (None, None)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, toxic int, gone string, digest string, points int, sha string, row bigint, fp bigint, kept boolean"
+    rows = [(i, t, "en", "s", 1, 0.5, 1, "g", "d", 2, "h", 3, 4, True) for i, t in odd]
+    base = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    more = spark.createDataFrame(rows, schema)
+    docs = base.select(*(base[c] if c in base.columns else F.lit(None).cast(more.schema[c].dataType).alias(c) for c in more.columns)).unionByName(more)
+    docs.write.parquet(f"{tmp_path}/odd")
+    docs = spark.read.parquet(f"{tmp_path}/odd")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        out.write.parquet(f"{tmp_path}/odd-{name}")
+        before, docs = docs, spark.read.parquet(f"{tmp_path}/odd-{name}")
+        assert docs.columns == before.columns and docs.subtract(before).isEmpty()
+    left = [(r.doc_id, r.text) for r in docs.collect()]
+    assert left.count((9003, LONG)) == 1 and (9005, "one two three") in left and (9005, "four five six seven") in left and (None, "without an id") in left
+    assert sum(not (t or "").split() for _, t in left) == 1
+    coded = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
+    assert coded.count() == len(left) and coded.filter("not round_trip").isEmpty()
