@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from textloom.llm import lm_score
 
 from .helpers import ODD, docs
@@ -64,6 +65,18 @@ def test_against_brute_force(spark, monkeypatch, share):
         assert g[:5] == w[:5] and g[5] == pytest.approx(w[5], rel=1e-9) and g[6] == pytest.approx(w[6], rel=1e-9)
 
 
+def test_words_of_held_out_texts_alone(spark, monkeypatch):
+    """A word that no training text has is frequent in the held-out ones: it goes to the head, and is not known."""
+    monkeypatch.setattr(lm_score, "HEAD_SHARE", 50)
+    ids = [i for i in range(400) if held(i)]
+    rows = [(i, "common words here") for i in range(400) if not held(i)] + [(i, f"strange strange common w{i}") for i in ids]
+    got = sorted((tuple(r) for r in lm_score.lm_scores(docs(spark, rows)).collect()), key=repr)
+    for g, w in zip(got, sorted(brute(rows), key=repr)):
+        assert g[:5] == w[:5] and g[5] == pytest.approx(w[5], rel=1e-9)
+    found = lm_score.counts(docs(spark, rows).withColumn("held_out", F.expr("crc32(cast(doc_id as string)) % 5 = 1")), 2)
+    assert found.filter(F.col("key") == F.lit(lm_score.HEARD + b"strange")).first().n == 2 * len(ids)
+
+
 def test_distributions_sum_to_one():
     rng = np.random.default_rng(1)
     order1 = rng.integers(0, 3, 256)

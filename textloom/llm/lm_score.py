@@ -8,8 +8,8 @@ context has seen are excluded from the shorter ones. Contexts that end in the sa
 levels are summed there; the levels below are at most 256^LOCAL numbers and are broadcast. Nodes that make up over 1/HEAD_NODES of
 the training bytes (so never more than HEAD_NODES) are broadcast with their code lengths, all others are joined.
 
-Beside it stands the unigram base: counts of all training tokens. Words that make up over 1/HEAD_SHARE of the tokens (so never more
-than HEAD_SHARE words) are broadcast; all others are joined by word, and no such word is hot.
+Beside it stands the unigram base: counts of all training tokens. Words that make up over 1/HEAD_SHARE of the tokens, those of held-out
+texts included (so never more than HEAD_SHARE words), are broadcast; all others are joined by word, and no such word is hot.
 """
 
 from __future__ import annotations
@@ -36,6 +36,8 @@ WORD_BYTES = 64
 END = b""
 #: Keys of trie nodes begin with a space and are two bytes longer than the context (at most 6); no word holds a space.
 NODE, LONG_WORD, ROW = b" ", b"  ", b"   "
+#: Before words that are frequent in the held-out texts of a task; longer than any node's key.
+HEARD = b" " * 10
 
 
 def tokens(text: str) -> list[bytes]:
@@ -85,11 +87,13 @@ def summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def counts(docs: DataFrame, order: int) -> DataFrame:
     """(key, n) of every token of the training texts and of every trie node (NODE, context and byte) of all texts.
 
-    Nodes that only held-out texts have are there with an n of 0: their code lengths are asked for.
+    Nodes that only held-out texts have are there with an n of 0: their code lengths are asked for. Words of held-out texts stand
+    under HEARD if they are over 1/HEAD_SHARE of those of a task; a word that is so in all such texts is so in some task.
     """
 
     def run(batches):
         words: Counter = Counter()
+        heard: Counter = Counter()
         none = np.zeros(0, np.int64)
         nodes, pending, size = (none, none), ([], []), 0
 
@@ -103,6 +107,12 @@ def counts(docs: DataFrame, order: int) -> DataFrame:
         def out(key, n):
             return pa.RecordBatch.from_arrays([key, pa.array(n, pa.int64())], ["key", "n"])
 
+        def frequent():
+            least = heard.total() / HEAD_SHARE
+            found = {HEARD + w: n for w, n in heard.items() if n > least}
+            heard.clear()
+            return out(pa.array(list(found), pa.binary()), list(found.values()))
+
         for batch in batches:
             for held, t in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = t.as_py() or ""
@@ -114,12 +124,16 @@ def counts(docs: DataFrame, order: int) -> DataFrame:
                     yield out(keys(nodes[0], order), nodes[1])
                     nodes = (none, none)
                 if held:
+                    heard.update(tokens(text))
+                    if len(heard) > HELD:
+                        yield frequent()
                     continue
                 words.update(tokens(text))
                 if len(words) > HELD:
                     yield out(pa.array(list(words), pa.binary()), list(words.values()))
                     words = Counter()
         nodes = grouped()
+        yield frequent()
         yield out(pa.array(list(words), pa.binary()), list(words.values()))
         yield out(keys(nodes[0], order), nodes[1])
 
@@ -301,10 +315,15 @@ def lm_scores(docs: DataFrame, order: int = 2) -> DataFrame:
     )
     found = counts(rows, order)
     is_node = (F.octet_length("key") == order + 2) & F.hex("key").startswith("20")
-    known = found.filter(~is_node)
+    is_heard = F.hex("key").startswith(HEARD.hex())
+    known = found.filter(~is_node & ~is_heard)
     nodes = model(found.filter(is_node), order)
     n_all, v = known.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     head = {bytes(r.key): r.n for r in known.filter(F.col("n") * HEAD_SHARE > F.lit(n_all)).collect()}
+    heard = found.filter(is_heard).select(F.substring("key", len(HEARD) + 1, 2**31 - 1).alias("word"), F.col("n").alias("h"))
+    total = n_all + heard.agg(F.coalesce(F.sum("h"), F.lit(0))).first()[0]
+    more = heard.join(known, F.col("word") == F.col("key"), "left").select("word", F.coalesce("n", F.lit(0)).alias("n"), "h")
+    head |= {bytes(r.word): r.n for r in more.filter((F.col("n") + F.col("h")) * HEAD_SHARE > F.lit(total)).collect()}
     below = n_all + 0.5 * (v + 1)
     n_bytes = nodes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     often = F.col("n") * HEAD_NODES > F.lit(n_bytes)
@@ -316,6 +335,7 @@ def lm_scores(docs: DataFrame, order: int = 2) -> DataFrame:
         head, *top = shared.value
         top = Head(*top)
         logs = {k: float(np.log10((n + 0.5) / below)) for k, n in head.items()}
+        unseen = {k for k, n in head.items() if not n}
         names = ["row", "key", "tf", "doc_id", "held_out", "n_tokens", "n_known", "base", "score"]
         kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         row, key, tf = [], [], []
@@ -336,7 +356,7 @@ def lm_scores(docs: DataFrame, order: int = 2) -> DataFrame:
                     x = logs.get(w)
                     if x is not None:
                         base += n * x
-                        n_known += n
+                        n_known += 0 if w in unseen else n
                     else:
                         row.append(r)
                         key.append(w)
