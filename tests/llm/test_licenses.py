@@ -54,3 +54,21 @@ def test_rare_words_are_the_index():
 
 def test_empty(spark):
     assert licenses.scan(docs(spark, [])).count() == 0
+
+
+def test_labels_and_words_with_quotes(spark):
+    """Texts of a template never become SQL."""
+    odd = [licenses.Template("it's \\ mine", "say é' now please", "é' now")]
+    df = spark.createDataFrame([(1, "say x é' now"), (2, "nothing")], "doc_id bigint, text string")
+    # The apostrophe is no part of a word, so that this template is never met; it doesn't break the query either.
+    assert [r.labels for r in licenses.scan(df, odd).orderBy("doc_id").collect()] == ["", ""]
+    plain = [licenses.Template("it's \\ mine", "say é now please", "é now")]
+    got = licenses.scan(df, plain).orderBy("doc_id").collect()
+    assert [r.labels for r in got] == ["it's \\ mine", ""] and got[0].score == 0.5
+
+
+def test_whole_grants_score_in_full(spark):
+    """Every template's own wording, punctuated and in capitals, gets its label and the full score."""
+    rows = [(k, "Intro. " + ", ".join(w.upper() for w in t.words) + "; end") for k, t in enumerate(licenses.TEMPLATES)]
+    got = licenses.scan(docs(spark, rows)).collect()
+    assert all(licenses.TEMPLATES[r.doc_id].label in r.labels.split(",") and r.score == 1 for r in got)

@@ -39,21 +39,71 @@ class Template:
         return next(i for i in range(len(w)) if w[i : i + len(k)] == k)
 
 
-# Well-known sentences of public licences, and the labels to report.
+# The grants and notices of public licences, in words, and the labels to report.
 TEMPLATES = [
     Template("mit", "under the mit license", "under the mit license", True),
     Template("apache-2", "apache license version 2", "apache license version 2", True),
     Template("cc-by-nc", "cc by nc", "cc by nc", True),
-    Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "hereby granted free of charge to any person"),
-    Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution and use in source and binary forms"),
-    Template("gpl", "this program is free software you can redistribute it under the terms of the gnu general public license", "gnu general public license"),
-    Template("lgpl", "under the terms of the gnu lesser general public license", "gnu lesser general public license"),
-    Template("agpl", "under the terms of the gnu affero general public license", "gnu affero general public license"),
-    Template("mpl", "subject to the terms of the mozilla public license", "mozilla public license"),
-    Template("isc", "permission to use copy modify and or distribute this software for any purpose", "permission to use copy modify and or distribute this software"),
-    Template("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
-    Template("epl", "under the terms of the eclipse public license", "eclipse public license"),
-    Template("cc-by-sa", "licensed under cc by sa", "cc by sa"),
+    Template(
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software "
+        "without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
+        "persons to whom the software is furnished to do so subject to the following conditions",
+        "hereby granted free of charge to any person",
+    ),
+    Template(
+        "apache-2",
+        "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by "
+        "applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
+        "you may not use this file except in compliance with the license",
+    ),
+    Template(
+        "bsd",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "
+        "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
+        "redistribution and use in source and binary forms",
+    ),
+    Template(
+        "gpl",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
+        "gnu general public license",
+    ),
+    Template(
+        "lgpl",
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation",
+        "gnu lesser general public license",
+    ),
+    Template(
+        "agpl",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation",
+        "gnu affero general public license",
+    ),
+    Template(
+        "mpl",
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at",
+        "mozilla public license",
+    ),
+    Template(
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this "
+        "permission notice appear in all copies",
+        "permission to use copy modify and or distribute this software",
+    ),
+    Template(
+        "zlib",
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software "
+        "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely",
+        "in no event will the authors be held liable for any damages",
+    ),
+    Template(
+        "unlicense",
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source "
+        "code form or as a compiled binary for any purpose commercial or non commercial and by any means",
+        "free and unencumbered software",
+    ),
+    Template("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license", "eclipse public license"),
+    Template("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work", "waived all copyright and related or neighboring rights"),
+    Template("cc-by-sa", "this work is licensed under a cc by sa 4 0 license", "cc by sa"),
 ]
 
 
@@ -81,13 +131,18 @@ def postings(df: dict[str, int], templates: list[Template] = TEMPLATES) -> dict[
     return index
 
 
+def _quoted(text: str) -> str:
+    """A string literal of Spark's SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _array(items: list[str]) -> str:
-    return "array(" + ", ".join(f"'{w}'" for w in items) + ")"
+    return "array(" + ", ".join(map(_quoted, items)) + ")"
 
 
 def _struct(t: Template, at: int, second: str, at2: int) -> str:
     return (
-        f"named_struct('label', '{t.label}', 'base', {str(t.base).lower()}, 'at', {at}, 'second', '{second}', 'at2', {at2}, "
+        f"named_struct('label', {_quoted(t.label)}, 'base', {str(t.base).lower()}, 'at', {at}, 'second', {_quoted(second)}, 'at2', {at2}, "
         f"'phrase', {_array(t.phrase)}, 'lead', {t.lead}, 'wording', {_array(t.words)})"
     )
 
@@ -100,7 +155,7 @@ def scan(docs: DataFrame, templates: list[Template] = TEMPLATES) -> DataFrame:
     alike, and other columns aren't read.
     """
     index = postings(document_counts(docs, templates), templates)
-    lists = ", ".join(f"'{w}', array({', '.join(_struct(*p) for p in ps)})" for w, ps in sorted(index.items()))
+    lists = ", ".join(f"{_quoted(w)}, array({', '.join(_struct(*p) for p in ps)})" for w, ps in sorted(index.items()))
     anchors = _array(sorted(index))
     in_place = (
         "size(filter(transform(p.wording, (x, k) -> h.i - p.at - p.lead + k >= 0 and "
@@ -132,7 +187,9 @@ def scan(docs: DataFrame, templates: list[Template] = TEMPLATES) -> DataFrame:
 
 def oracle(templates: list[Template] = TEMPLATES) -> str:
     """The same result in DuckDB SQL, from the templates alone."""
-    listed = ",\n    ".join(f"('{t.label}', {str(t.base).lower()}, {t.phrase}, {t.lead}, {t.words})" for t in templates)
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    array = lambda xs: "[" + ", ".join(map(quoted, xs)) + "]"
+    listed = ",\n    ".join(f"({quoted(t.label)}, {str(t.base).lower()}, {array(t.phrase)}, {t.lead}, {array(t.words)})" for t in templates)
     return rf"""
 with templates(label, base, phrase, lead, wording) as (values
     {listed}
