@@ -394,6 +394,26 @@ def _spread(text_words: Column, name_words: Column) -> Column:
     )
 
 
+def accent_drift(text: Column, name: Column) -> Column:
+    """struct<said, right>: the first word in which a text writes a name otherwise than the name does, accents alone apart.
+
+    Null if the name's stems stand nowhere in one piece, or if one of its places is written as the name is. Case, ligatures and regular
+    plurals don't count.
+    """
+    plain = lambda w: let(reduce(lambda x, p: F.replace(x, F.lit(p[0]), F.lit(p[1])), LIGATURES, F.lower(w)), stem)
+
+    def compare(said: Column, right: Column) -> Column:
+        n = F.size(right)
+        places = F.when((n > 0) & (F.size(said) >= n), F.sequence(F.lit(1), F.size(said) - n + 1)).otherwise(F.array().cast("array<int>"))
+        stems = lambda ts: F.transform(ts, lambda t: t["stem"])
+        there = F.filter(places, lambda i: stems(F.slice(said, i, n)) == stems(right))
+        pairs = lambda i: F.zip_with(F.slice(said, i, n), right, lambda a, b: F.struct(a["written"].alias("said"), b["written"].alias("right")))
+        first = F.transform(there, lambda i: F.get(F.filter(pairs(i), lambda p: plain(p["said"]) != plain(p["right"])), F.lit(0)))
+        return F.when(~F.exists(first, lambda x: x.isNull()), F.get(first, F.lit(0)))
+
+    return let(tokens(text), lambda said: let(tokens(name), lambda right: compare(said, right)))
+
+
 # --- n-grams, prints -----------------------------------------------------------------------------------------------------
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.lineage import cut, rules
+from ..functions.lineage import cut, rules, stage
 from .matching import citations
 from .model import OBJECT_KEY, is_name, object_id, project_texts, visible
 
@@ -542,13 +542,18 @@ def reference_control(texts: DataFrame, names: DataFrame, links: DataFrame, pins
     name = is_name(F.col("key"))
     ws = T.words(F.col("fr"))
     there = F.when(name, T.spread_match(ws, F.col("want"))).otherwise(T.contains_words(ws, F.col("want")))
+    # Four kinds of findings are read from the picks, so they are worked out once.
+    drift = F.when(F.col("there"), T.accent_drift(F.col("fr"), F.col("name_fr")))
+    picks = stage(picks.withColumn("there", F.col("target").isNotNull() & there).withColumn("drift", drift).select("key", "fr", "motif", "candidates", "target", "name_fr", "there", "drift"), "picks")
     doubt = picks.filter("target is null")
-    wrong = picks.filter("target is not null").filter(~there)
+    wrong = picks.filter("target is not null and not there")
+    drift = picks.filter("drift is not null")
     unused = pins.join(picks.select("key", F.col("target").alias("object")), ["key", "object"], "left_anti")
     return united(
         [
             finding(doubt, "references", actual=F.col("fr"), object=one(F.array_join("motif", " ")), detail="ambiguous reference", proof=F.array_join("candidates", " ; ")),
             finding(wrong, "references", actual=F.col("fr"), expected=F.col("name_fr"), object=one("target"), proof=F.col("target"), detail="displayed name not used"),
+            finding(drift, "references", actual=F.col("fr"), expected=F.col("name_fr"), object=one("target"), proof=F.col("target"), detail=F.concat(F.lit("accents differ from the displayed name: "), F.col("drift.said"), F.lit(" -> "), F.col("drift.right"))),
             finding(unused, "references", FLAGGED, object=one("object"), detail="pin not used"),
         ]
     )
