@@ -539,9 +539,8 @@ def reference_control(texts: DataFrame, names: DataFrame, links: DataFrame, pins
     cand = names.filter("citable").select(F.col("key").alias("name_key"), F.col("fr").alias("name_fr"), "fr_tokens", "identifier", F.col("en_tokens").alias("motif"))
     pairs = cited.select("key", "motif").distinct().join(cand, "motif").filter("key != name_key").join(said.select("key", "ns"), "key")
     picks = resolved(pairs, links, pins).join(said, "key").join(cand.select(F.col("name_key").alias("target"), "name_fr", F.col("fr_tokens").alias("want")), "target", "left")
-    name = is_name(F.col("key"))
-    ws = T.words(F.col("fr"))
-    there = F.when(name, T.spread_match(ws, F.col("want"))).otherwise(T.contains_words(ws, F.col("want")))
+    picks = picks.withColumn("ws", T.words(F.col("fr")))
+    there = F.when(is_name(F.col("key")), T.spread_match(F.col("ws"), F.col("want"))).otherwise(T.contains_words(F.col("ws"), F.col("want")))
     # Four kinds of findings are read from the picks, so they are worked out once.
     drift = F.when(F.col("there"), T.accent_drift(F.col("fr"), F.col("name_fr")))
     picks = stage(picks.withColumn("there", F.col("target").isNotNull() & there).withColumn("drift", drift).select("key", "fr", "motif", "candidates", "target", "name_fr", "there", "drift"), "picks")
