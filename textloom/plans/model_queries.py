@@ -244,7 +244,10 @@ def rendering_associations(spark, sf_dir):
     return I.associations(pairs(spark, sf_dir).select("key", "en", "fr"), terms, least=4)
 
 
-@query()
+@query(
+    """with n as (select c_mktsegment as term, n_name as rendering, count(*)::int as new from customer join nation on c_nationkey = n_nationkey group by all)
+select * from (select term, (row_number() over (partition by term order by new desc, rendering))::int as rank, rendering, new from n) where rank <= 4"""
+)
 def rendering_covers(spark, sf_dir):
     """Greedy covers of each segment's customers by their nations."""
     return I.covers(_segments(spark, sf_dir).select(F.col("en").alias("term"), F.col("fr").alias("rendering"), "key"))

@@ -118,7 +118,13 @@ def homonym_groups(spark, sf_dir):
     return M.homonym_groups(_part_names(spark, sf_dir)).select(F.array_join("en_tokens", " ").alias("en_tokens"), "head", F.size("keys").alias("keys"))
 
 
-@query()
+@query(
+    f"""with n as (select 'item.parts.p' || p_partkey as key, {words_sql('p_name')} as ew, {words_sql("p_type || ' ' || p_brand")} as fw from part),
+g as (select min(key) as key, string_agg(key, ',' order by key) as object from n group by ew having count(distinct fw) > 1),
+l as (select c_nationkey, c_mktsegment, count(*) as n from customer group by all), m as (select *, row_number() over (partition by c_nationkey order by n desc, c_mktsegment) as r, lead(n) over (partition by c_nationkey order by n desc, c_mktsegment) as next from l)
+select 'homonyms' as control, key, 'blocking' as status, 'one English name, several French ones' as detail, object from g union all
+select 'homonyms', cast(c_custkey as varchar), 'blocking', 'label rendered otherwise elsewhere', cast(c_nationkey as varchar) from customer join m using (c_nationkey) where r = 1 and n > next and customer.c_mktsegment <> m.c_mktsegment"""
+)
 def control_homonyms(spark, sf_dir):
     return _rows(C.homonym_control(M.homonym_groups(_part_names(spark, sf_dir)), _labels(spark, sf_dir)))
 

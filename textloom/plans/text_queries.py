@@ -131,9 +131,12 @@ def pixel_width(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", T.pixels(F.col("text")).cast("int").alias("px"))
 
 
-@query()
+@query(
+    f"""with w as (select doc_id, list_transform(list_transform(string_split(regexp_replace(text, '§.', '', 'g'), ' '), lambda x: strip_accents(x)), lambda b: length(b) * 6 + {_PX}) as ws from documents)
+select doc_id, (list_reduce(list_concat([1000000], ws), lambda a, x: case when a % 1000000 = 0 then a + x when a % 1000000 + 4 + x <= 102 then a + 4 + x else (a // 1000000 + 1) * 1000000 + x end) // 1000000)::int as lines from w"""
+)
 def wrapped_lines(spark, sf_dir):
-    """Lines of each text in a box of 102 pixels: a fold over the words, tested against plain Python."""
+    """Lines of each text in a box of 102 pixels: a fold over the words."""
     return table(spark, sf_dir, "documents").select("doc_id", T.wrapped_lines(F.col("text")).alias("lines"))
 
 
@@ -262,9 +265,9 @@ def percent_format(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").filter("l_linenumber >= 0").groupBy("l_returnflag", "l_linestatus", "l_linenumber").agg(T.percent(F.avg("l_discount")).alias("share"))
 
 
-@query()
+@query("select p_partkey, case when left(p_name, 1) in ('a', 'e', 'i', 'o', 'u', 'h') then 'Oeufs d''' else 'Oeufs de ' end || p_name || ' fumées' as name from part")
 def template_names(spark, sf_dir):
-    """Part names put into a template with elision, tested against plain Python."""
+    """Part names put into a template with elision."""
     p = table(spark, sf_dir, "part")
     return p.select("p_partkey", T.render_template(F.lit("Oeufs de {source} fumé{e}{s}"), F.col("p_name"), F.lit("f"), F.lit("p")).alias("name"))
 
