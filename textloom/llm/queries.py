@@ -7,13 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import small_batches
 from .decontaminate import contamination
 from .exact_dedup import exact_duplicates
-from . import licenses, secrets
+from . import fill_in_middle, licenses, mixing, secrets
 from .html_text import extract
 from .lm_score import ORDER, lm_scores
 from .sentencepiece_codec import encode
 from .simhash import near_duplicates
 from .toxicity import toxicity
 from .warc import through_archives
+from .whitening import whiten
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +62,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mixture(docs, mixing.cycled_weights(docs, (3, 1, 2)))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_exact_dedup": op2_exact_dedup,
@@ -72,6 +86,9 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_licenses": op9_licenses,
     "op10_toxicity": op10_toxicity,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_whitening": op12_whitening,
+    "op13_mix_sources": op13_mix_sources,
 }
 
 ORACLES = {
@@ -115,6 +132,8 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, c
 from dw left join places using (r) left join items using (r)
 """,
     "op9_licenses": licenses.oracle(),
+    "op11_fill_in_middle": fill_in_middle.ORACLE,
+    "op13_mix_sources": mixing.ORACLE,
     "op6_warc": r"""
 with p as (
   select page_id, encode(coalesce(html, '')) as body, sha1(encode(coalesce(html, ''))) as h from pages
