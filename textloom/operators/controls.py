@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.lineage import cut, rules, stage
-from .matching import citations
+from .matching import citations_in_context
 from .model import OBJECT_KEY, is_name, object_id, project_texts, visible
 
 BLOCKING, FLAGGED = "blocking", "flagged"
@@ -531,11 +531,11 @@ def resolved(cited: DataFrame, links: DataFrame, pins: DataFrame) -> DataFrame:
 
 
 def reference_control(texts: DataFrame, names: DataFrame, links: DataFrame, pins: DataFrame) -> DataFrame:
-    """A text that cites an object by its English name uses the French name that is displayed."""
+    """A text that cites an object by its English name uses the French name that is displayed; so for names that a coordination implies."""
     said = project_texts(texts).filter(~F.col("key").startswith("block_type.") & ~(F.col("key").rlike(OBJECT_KEY) & F.col("english").contains("%")))
     said = said.filter(~T.blank(F.col("english")) & ~T.blank(F.col("fr")))
     said = said.select("key", F.col("english").alias("en"), "fr", F.coalesce(F.split(object_id(F.col("key")), ":")[0], "ns_project", F.lit("")).alias("ns"))
-    cited = citations(said.select("key", T.words(F.col("en")).alias("ws")), names.filter("citable").select(F.col("en_tokens").alias("motif")).distinct())
+    cited = citations_in_context(said.select("key", T.words(F.col("en")).alias("ws"), is_name(F.col("key")).alias("name")), names.filter("citable").select(F.col("en_tokens").alias("motif")).distinct())
     cand = names.filter("citable").select(F.col("key").alias("name_key"), F.col("fr").alias("name_fr"), "fr_tokens", "identifier", F.col("en_tokens").alias("motif"))
     pairs = cited.select("key", "motif").distinct().join(cand, "motif").filter("key != name_key").join(said.select("key", "ns"), "key")
     picks = resolved(pairs, links, pins).join(said, "key").join(cand.select(F.col("name_key").alias("target"), "name_fr", F.col("fr_tokens").alias("want")), "target", "left")

@@ -5,25 +5,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as T
+from ..functions.lineage import listed, stage
+
 #: Names up to this many rows are joined as a broadcast table; a larger dictionary is joined by a shuffle on the n-gram.
 BROADCAST_NAMES = 200_000
 
 
-def hits(texts: DataFrame, names: DataFrame) -> DataFrame:
+def hits(texts: DataFrame, names: DataFrame, around: int = 0, keep: tuple[str, ...] = ()) -> DataFrame:
     """(key, pos, len, motif) of every place where a name's words stand, overlaps included. texts: key, ws; names: motif (arrays).
 
     A text's words are joined by the first word of a name, each with as many words after it as the longest name has, and the rest is
-    compared there; the words of a whole text are never sent along, and no n-gram is materialised.
+    compared there; the words of a whole text are never sent along, and no n-gram is materialised. With `around`, so many words before
+    each hit come along as `before`, the word after it as `after` (null at the end), and whether the hit is the whole text as `whole`; so do
+    the texts' columns in `keep`.
     """
     motifs = names.select("motif").filter(F.size("motif") > 0).distinct()
     motifs = motifs.withColumn("head", F.col("motif")[0])
     n, longest = motifs.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("motif")), F.lit(1))).first()
     if n <= BROADCAST_NAMES:
         motifs = F.broadcast(motifs)
-    at = F.transform("ws", lambda w, i: F.struct(i.alias("pos"), F.slice("ws", i + 1, longest).alias("next")))
-    starts = texts.select("key", F.explode(at).alias("x")).select("key", "x.pos", "x.next", F.col("x.next")[0].alias("head"))
-    found = starts.join(motifs, "head").filter(F.slice("next", 1, F.size("motif")) == F.col("motif"))
-    return found.select("key", "pos", F.size("motif").alias("len"), "motif")
+    wide = longest + bool(around)
+    at = F.transform("ws", lambda w, i: F.struct(i.alias("pos"), F.slice("ws", i + 1, wide).alias("next"), *earlier(i, around)))
+    starts = texts.select("key", *keep, F.explode(at).alias("x")).select("key", *keep, "x.*", F.col("x.next")[0].alias("head"))
+    found = starts.join(motifs, "head").filter(F.slice("next", 1, F.size("motif")) == F.col("motif")).withColumn("len", F.size("motif"))
+    if not around:
+        return found.select("key", "pos", "len", "motif")
+    after = F.get("next", F.col("len"))
+    return found.select("key", *keep, "pos", "len", "motif", "before", after.alias("after"), ((F.col("pos") == 0) & after.isNull()).alias("whole"))
+
+
+def earlier(i: Column, n: int) -> list[Column]:
+    """The n words before place i of ws, as `before`; none if n is 0."""
+    return [F.slice("ws", F.greatest(i - n, F.lit(0)) + 1, F.least(i, F.lit(n))).alias("before")] if n else []
 
 
 def without_overlaps(found: Column) -> Column:
@@ -42,11 +56,48 @@ def without_overlaps(found: Column) -> Column:
 def citations(texts: DataFrame, names: DataFrame) -> DataFrame:
     """(key, pos, len, motif) of the names cited in each text, leftmost-longest. Of the hits of one place, the longest is kept at once;
     those of one text are folded in order."""
-    longest = hits(texts, names).groupBy("key", "pos").agg(F.max_by("motif", "len").alias("motif"))
+    return leftmost_longest(hits(texts, names))
+
+
+def leftmost_longest(found: DataFrame) -> DataFrame:
+    """(key, pos, len, motif) of the hits that a reader from left to right takes."""
+    longest = found.groupBy("key", "pos").agg(F.max_by("motif", "len").alias("motif"))
     rows = longest.groupBy("key").agg(F.collect_list(F.struct("pos", (-F.size("motif")).alias("less"), "motif")).alias("found"))
     return rows.select("key", F.explode(without_overlaps(F.col("found"))).alias("x")).select("key", "x.pos", (-F.col("x.less")).alias("len"), "x.motif")
 
 
+# Words that join names; a light colour, which isn't the colour; and what a block made of another is called by a word of its own.
+COORDINATION = ["or", "and"]
+LIGHT, LIGHT_COLOURS = "light", ["blue", "gray"]
+RENAMED = ["Fence Gate", "Glass Pane", "Window Pane", "Rose Bush"]
+
+
+def citations_in_context(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """citations() as a reader understands them, with the names that a coordination leaves out ("Umbra or Highland Wool": both wools).
+
+    texts: key, ws, name (whether the text is a name itself). A name doesn't cite itself as a whole; a light colour isn't the colour; and
+    a block that goes by a word of its own isn't what it is made of. What is left over at such a place may still cite a shorter name.
+
+    After a conjunction, the words before it (two, else one) take the place of the first words of the cited name: the name that keeps the
+    most of it and exists is cited as well. These candidates are at most twice as many as the name has words, and looked up by one join.
+    """
+    renamed = F.array(*(T.words(F.lit(x)) for x in RENAMED))
+    found = hits(texts, names, around=3, keep=("name",))
+    pale = F.coalesce((F.try_element_at("before", F.lit(-1)) == LIGHT) & F.col("motif")[0].isin(*LIGHT_COLOURS), F.lit(False))
+    other = F.coalesce(F.array_contains(renamed, F.array(F.element_at("motif", -1), F.col("after"))), F.lit(False))
+    found = stage(found.filter(~(F.col("name") & F.col("whole")) & ~pale & ~other).select("key", "pos", "len", "motif", "before"), "hits")
+    cited = leftmost_longest(found)
+    joined = found.filter(F.size("before") > 1).filter(F.element_at("before", -1).isin(*COORDINATION)).join(cited, ["key", "pos", "len", "motif"], "left_semi")
+    modifier = F.slice("before", 1, F.size("before") - 1)
+    last = F.array(F.element_at(modifier, -1))
+    tail = lambda k: F.slice("motif", k + 1, F.size("motif"))
+    each = F.transform(F.sequence(F.lit(1), F.size("motif") - 1), lambda k: F.array(F.when(F.size(modifier) == 2, F.concat(modifier, tail(k))), F.concat(last, tail(k))))
+    tries = joined.filter("len > 1").select("key", "pos", F.posexplode(F.flatten(each)).alias("rank", "motif"))
+    known = names.select("motif").distinct()
+    meant = tries.join(listed(known), "motif").groupBy("key", "pos").agg(F.min_by("motif", "rank").alias("motif"))
+    return cited.unionByName(meant.select("key", "pos", F.size("motif").alias("len"), "motif"))
+
+
 def common_prefix(groups: DataFrame, by: str, words: str, stop: list[str]) -> DataFrame:
     """(by, prefix, n): the words that all arrays of a group begin with, without stop words at its end.
 

@@ -233,6 +233,25 @@ def control_references_of_parts(spark, sf_dir):
     return out.select("control", "key", "status", "detail", F.array_join("object", ",").alias("object"), F.col("expected").alias("fixed"))
 
 
+@query(
+    f"""with {_NAMES}, n as (select p_partkey as k, p_partkey % 4 as form, string_split(p_name, ' ')[1] as a, string_split(p_name, ' ')[2] as b, string_split(p_type, ' ')[1] as t from part),
+e as (select 'text.p' || k as key, k, form, a || ' ' || b as said, case form when 0 then lag(a) over (order by k) when 2 then 'odd' else a end || ' ' || b as meant, form < 3 as joined from n)
+select key, said as cited, fr from e join names on p_name = said union all select key, meant, fr from e join names on p_name = meant where joined and meant <> said"""
+)
+def citations_in_coordinations(spark, sf_dir):
+    """Texts with "a or b c" cite "b c", and "a c" too where that is a name; after a word that joins nothing, nothing is implied."""
+    from ..operators.matching import citations_in_context
+
+    p = table(spark, sf_dir, "part")
+    before = p.select((F.col("p_partkey") + 1).alias("p_partkey"), F.split("p_name", " ")[0].alias("other"))
+    form, own = F.col("p_partkey") % 4, F.split("p_name", " ")[0]
+    other = F.when(form == 0, F.col("other")).when(form == 2, "odd").otherwise(own)
+    en = F.concat(F.lit("bring the "), F.coalesce(other, F.lit("")), F.when(form == 3, " with ").when(form == 0, " or ").otherwise(" and "), "p_name", F.lit(" home"))
+    rows = p.join(before, "p_partkey", "left").select(F.concat(F.lit("text.p"), F.col("p_partkey").cast("string")).alias("key"), T.words(en).alias("ws"), F.lit(False).alias("name"))
+    names = _names(spark, sf_dir).select(F.col("en_tokens").alias("motif"), "en", "fr")
+    return citations_in_context(rows, names).select("key", "motif").distinct().join(names, "motif").select("key", F.col("en").alias("cited"), "fr")
+
+
 def _titles(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """A quest for each second word of the parts' names, linked to all parts of that word; the French word is there for every other."""
     w = table(spark, sf_dir, "part").select(F.split("p_name", " ")[1].alias("w")).distinct()
