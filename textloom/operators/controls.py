@@ -308,24 +308,35 @@ def convention_control(texts: DataFrame, books: DataFrame, journal: DataFrame, b
 ROMAN = "m{0,4}(?:cm|cd|d?c{0,3})(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})"
 
 
-def french_lexicon(texts: DataFrame, books: DataFrame, more: DataFrame | None = None) -> DataFrame:
-    """(word): words taken for French: all of the base game's, and those that a text doesn't share with its English."""
-    said = united([texts.filter(visible(F.col("key")) & (F.col("fr") != "")).select("fr", F.col("english").alias("en"), (F.col("origin_fr") == "vanilla").alias("base")), books.filter("fr != ''").select("fr", "en", F.lit(False).alias("base"))])
+def french_words(texts: DataFrame, books: DataFrame) -> DataFrame:
+    """(key, word): the words that each text shows to be French: all of the base game's, and those it doesn't share with its English."""
+    said = united([texts.filter(visible(F.col("key")) & (F.col("fr") != "")).select("key", "fr", F.col("english").alias("en"), (F.col("origin_fr") == "vanilla").alias("base")), books.filter("fr != ''").select("key", "fr", "en", F.lit(False).alias("base"))])
     ws = F.when(F.col("base"), T.words(F.col("fr"))).otherwise(F.array_except(T.words(F.col("fr")), T.words(F.col("en"))))
-    found = said.select(F.explode(ws).alias("word")).distinct()
+    return said.select("key", F.explode(ws).alias("word"))
+
+
+def french_lexicon(texts: DataFrame, books: DataFrame, more: DataFrame | None = None) -> DataFrame:
+    """(word): words taken for French."""
+    found = french_words(texts, books).select("word").distinct()
     return found if more is None else found.unionByName(more.select("word")).distinct()
 
 
-def residual_control(texts: DataFrame, books: DataFrame, kept: list[str] | None = None, keep_keys: DataFrame | None = None) -> DataFrame:
-    """English left in French: copied words in names, whole texts left as they were, raw tags."""
-    said = shown_texts(texts, books)
+def copied_words(said: DataFrame, kept: list[str] | None = None) -> DataFrame:
+    """(key, fr, en, name, word): words that may be English left in French: those that a name shares with its English, and all of a text left as
+    it was. said: shown texts."""
     exempt = F.array(*(F.lit(w) for w in kept or ["\u0000"]))
     name = F.col("key").rlike(OBJECT_KEY)
     same = T.strip(F.col("fr")) == T.strip(F.col("en"))
     candidates = F.when(name, F.array_intersect(T.words(F.col("fr")), T.words(F.col("en")))).when(same, F.array_distinct(T.words(F.col("fr"))))
     foreign = lambda w: (F.length(w) >= 4) & w.rlike("^[a-z]+$") & ~w.rlike(f"^(?:{ROMAN})$") & ~F.array_contains(exempt, w)
-    rows = said.select("key", "fr", "en", name.alias("name"), F.explode(F.filter(candidates, foreign)).alias("word"))
-    rows = rows.join(french_lexicon(texts, books), "word", "left_anti")
+    return said.select("key", "fr", "en", name.alias("name"), F.explode(F.filter(candidates, foreign)).alias("word"))
+
+
+def residual_control(texts: DataFrame, books: DataFrame, kept: list[str] | None = None, keep_keys: DataFrame | None = None, lexicon: DataFrame | None = None) -> DataFrame:
+    """English left in French: copied words in names, whole texts left as they were, raw tags. lexicon: the words taken for French, where it is at hand."""
+    said = shown_texts(texts, books)
+    rows = copied_words(said, kept)
+    rows = rows.join(french_lexicon(texts, books) if lexicon is None else lexicon, "word", "left_anti")
     if keep_keys is not None:
         rows = rows.join(keep_keys.select("key", F.lit(True).alias("keep")), "key", "left").filter("name or keep is null")
     left = rows.groupBy("key").agg(F.first("name").alias("name"), F.array_sort(F.collect_set("word")).alias("ws"))
