@@ -188,3 +188,34 @@ def drawn(nodes):
 def test_trees(seed):
     nodes = tree(random.Random(seed))
     assert visible_text(markup(nodes)) == drawn(nodes)
+
+
+SHEETS = {
+    "one class": (".a{display:none}", "<p class=a>x"),
+    "bare names": ("p{display:none}", "<p>x"),
+    "a class and its own": (".a.b%d{display:none}", "<p class=a>x"),
+    "classes of their own": (".b%d{display:none}", "<p class='a b%d'>x"),
+    "ids": ("p#i%d{visibility:hidden}", "<p id=i%d class=a>x"),
+    "many parts": (".a.c.d.e.f%d.g{display:none}", "<p class='a c d e g h'>x"),
+}
+
+
+@pytest.mark.parametrize("name", SHEETS)
+def test_many_rules_over_many_elements(name):
+    rule, element = (x if "%d" in x else x + "%.0s" for x in SHEETS[name])
+    page = f"<style>{''.join(rule % i for i in range(20_000))}</style>start{''.join(element % i for i in range(20_000))}"
+    began = time.process_time()
+    got = visible_text(page)
+    assert time.process_time() - began < 6  # under a second on an idle machine
+    assert ("x" in got) == ("%d" in SHEETS[name][0] and name != "classes of their own" and name != "ids")
+
+
+def test_cascade_of_one_selector():
+    sheet = "<style>.a{display:none!important} .a{display:block} #i.a{visibility:hidden} p.a.b{display:block!important} .a.b{display:none!important}</style>"
+    assert visible_text(sheet + "<p class=a>no</p><p class='b a'>yes</p><p class='b a' id=i>no</p>").strip() == "yes"
+
+
+def test_kinds_of_lists():
+    page = "<ol type=a start=26><li>x<li>y</ol><ol type=I start=4><li>z</ol><ol reversed start=2 type=A><li>b<li>a</ol><ol type=i start=4000><li>w</ol><ol><li value=7 type=a>q</ol>"
+    got = [line for line in visible_text(page).split("\n") if line]
+    assert got == ["z. x", "aa. y", "IV. z", "B. b", "A. a", "4000. w", "7. q"]

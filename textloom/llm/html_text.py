@@ -16,6 +16,7 @@ import html
 import re
 import unicodedata
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -173,10 +174,17 @@ def declared(style: str) -> list[tuple[str, str, bool]]:
 
 
 class Sheet:
-    """The rules of a page's style sheets that set display or visibility, by a name, class or id that an element needs for them."""
+    """The rules of a page's style sheets that set display or visibility.
+
+    Rules of one selector are kept as one, with what wins among them. A selector is looked up by the one of its parts (classes, id) that
+    the fewest selectors have, and what an element's name, classes and id lead to is worked out once, however many elements have them.
+    So n rules over n elements take time in proportion to n, unless the selectors are pairs of a few classes in all combinations.
+    """
 
     def __init__(self, sheets: list[str]):
-        self.rules: dict[str, list[tuple]] = {}
+        #: name, parts -> property -> (important, 0, weight), value
+        self.rules: dict[tuple[str, frozenset], dict[str, tuple]] = {}
+        self.known: dict[tuple, list] = {}
         n = 0
         for text in sheets:
             text = CSS_COMMENT.sub(" ", text)
@@ -206,20 +214,35 @@ class Sheet:
             parts = re.findall(r"[.#][\w-]+", m[2])
             name = (m[1] or "*").lower()
             weight = (sum(p[0] == "#" for p in parts), sum(p[0] == "." for p in parts), int(name != "*"), n)
-            key = next((p for p in parts if p[0] == "#"), parts[0] if parts else name)
-            self.rules.setdefault(key, []).append((name, frozenset(parts), weight, found))
+            winning = self.rules.setdefault((name, frozenset(parts)), {})
+            for prop, value, important in found:
+                won = (important, 0, *weight), value
+                if prop not in winning or winning[prop][0] <= won[0]:
+                    winning[prop] = won
         return 1
 
+    def index(self) -> None:
+        """Put each selector under its rarest part, or its name where it has none."""
+        shared = Counter(p for _, parts in self.rules for p in parts)
+        self.under: dict[str, list[tuple]] = {}
+        for (name, parts), winning in self.rules.items():
+            key = min(parts, key=lambda p: (shared[p], p)) if parts else name
+            self.under.setdefault(key, []).append((name, parts, winning))
+
     def of(self, tag: str, known: dict[str, str]) -> list[tuple[tuple, str, str]]:
-        """(weight, property, value) of the rules that an element matches."""
-        own = {f".{c}" for c in known.get("class", "").split()}
-        if known.get("id"):
-            own.add(f"#{known['id'].strip()}")
-        out = []
-        for key in (*own, tag, "*"):
-            for name, parts, weight, found in self.rules.get(key, ()):
-                if name in ("*", tag) and parts <= own:
-                    out += [((important, 0, *weight), prop, value) for prop, value, important in found]
+        """(weight, property, value) of what wins for an element, by property."""
+        signature = tag, known.get("class", ""), known.get("id", "")
+        out = self.known.get(signature)
+        if out is None:
+            own = {f".{c}" for c in signature[1].split()} | ({f"#{signature[2].strip()}"} if signature[2] else set())
+            best: dict[str, tuple] = {}
+            for key in (*own, tag, "*"):
+                for name, parts, winning in self.under.get(key, ()):
+                    if name in ("*", tag) and parts <= own:
+                        for prop, won in winning.items():
+                            if prop not in best or best[prop] < won:
+                                best[prop] = won
+            out = self.known[signature] = [(weight, prop, value) for prop, (weight, value) in best.items()]
         return out
 
 
@@ -237,6 +260,7 @@ def sheet_of(page: str) -> Sheet | None:
         elif kind == "end" and name in FOREIGN and drawn:
             drawn.pop()
     sheet = Sheet(found)
+    sheet.index()
     return sheet if sheet.rules else None
 
 
@@ -372,7 +396,7 @@ class Renderer:
         self.pre = 0
         self.flows = [Flow()]
         self.tables: list[Table | None] = []  # None for tables too deep to be laid out
-        self.lists: list[list] = []  # [ordered, next number]
+        self.lists: list[list] = []  # [ordered, next number, type, step]
 
     # --- the tree ---
 
@@ -420,7 +444,7 @@ class Renderer:
             lower = attributes.lower()
             if self.sheet or tag in ("input", "ol", "li", "td", "th", "dialog") or "hidden" in lower or "style" in lower:
                 known = attributes_of(attributes)
-                rules = self.sheet.of(tag, known) if self.sheet else []
+                rules = list(self.sheet.of(tag, known)) if self.sheet else []
                 rules += [((important, 1, i), prop, value) for i, (prop, value, important) in enumerate(declared(known.get("style", "")))]
                 final = {prop: value for _, prop, value in sorted(rules)}
                 if "display" in final:
@@ -498,14 +522,15 @@ class Renderer:
             if tag == "table":
                 self.tables.append(Table() if len(self.tables) < NESTED else None)
             elif tag in ("ul", "ol", "menu"):
-                self.lists.append([tag == "ol", number(known.get("start"), 10**9) if tag == "ol" else 0])
+                first = number(known.get("start"), 10**9) if tag == "ol" else 0
+                self.lists.append([tag == "ol", first, known.get("type", "1"), -1 if "reversed" in known and "start" in known else 1])
                 flow.indent.append("")
             elif tag == "li":
-                kind = self.lists[-1] if self.lists else [False, 0]
+                kind = self.lists[-1] if self.lists else [False, 0, "1", 1]
                 if kind[0] and "value" in known:
                     kind[1] = number(known["value"], 10**9)
-                flow.marker = f"{kind[1]}. " if kind[0] else "- "
-                kind[1] += 1
+                flow.marker = f"{numeral(kind[1], kind[2])}. " if kind[0] else "- "
+                kind[1] += kind[3]
                 flow.indent.append(" " * len(flow.marker))
             elif tag in ("dd", "blockquote"):
                 flow.indent.append("    " if tag == "dd" else "> ")
@@ -584,6 +609,26 @@ class Renderer:
         return "\n".join(self.flows[0].done()).strip("\n")
 
 
+# What Roman numerals are made of.
+ROMAN = ((1000, "m"), (900, "cm"), (500, "d"), (400, "cd"), (100, "c"), (90, "xc"), (50, "l"), (40, "xl"), (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i"))
+
+
+def numeral(n: int, kind: str) -> str:
+    """A list item's number as its list's type (1, a, A, i, I) writes it; numbers beyond a type's range are written in digits."""
+    out, low = "", kind.lower()
+    if low == "a" and n > 0:
+        while n > 0:
+            n, digit = divmod(n - 1, 26)
+            out = chr(97 + digit) + out
+    elif low == "i" and 0 < n < 4000:
+        for value, letters in ROMAN:
+            times, n = divmod(n, value)
+            out += letters * times
+    else:
+        return str(n)
+    return out.upper() if kind != low else out
+
+
 def number(text: str | None, most: int) -> int:
     m = re.match(r"\s*([0-9]{1,9})", text or "")
     return min(most, max(1, int(m[1]))) if m else 1
