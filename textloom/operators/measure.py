@@ -31,35 +31,36 @@ SLAB = r"^block\.([^.]+)\.([a-z0-9_]+?)(?:_vertical)?_slab$"
 
 
 def union(*keys: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionByName, (k.select("key") for k in keys)).distinct()
+    """(key) of all, staged: it is asked for once for each table."""
+    return stage(reduce(DataFrame.unionByName, (k.select("key") for k in keys)).distinct(), "keys")
 
 
 def within(tables: Tables, keys: DataFrame) -> Tables:
     """The tables with the rows of the keys alone, where rows have one."""
-    out = copy.copy(tables)
+    out, keys = copy.copy(tables), listed(keys)
     for name in KEYED:
         if name in tables.__dict__:
-            setattr(out, name, getattr(tables, name).join(listed(keys), "key", "left_semi"))
+            setattr(out, name, getattr(tables, name).join(keys, "key", "left_semi"))
     return out
 
 
 def changed(tables: Tables, changes: DataFrame) -> Tables:
     """The tables after the changes (key, fr; a row a key). A changed text is the project's; a key that is nowhere becomes one of its texts."""
-    new = changes.select("key", F.col("fr").alias("new"), F.lit(True).alias("touched"))
+    new = listed(changes.select("key", F.col("fr").alias("new"), F.lit(True).alias("touched")))
     out = copy.copy(tables)
     columns = tables.texts.columns
     elsewhere = [getattr(tables, n) for n in ("books", "journal", "sheets") if n in tables.__dict__]
     added = new.join(tables.texts.select("key"), "key", "left_anti")
     for rows in elsewhere:
         added = added.join(rows.select("key"), "key", "left_anti")
-    texts = tables.texts.join(listed(new), "key", "left")
+    texts = tables.texts.join(new, "key", "left")
     texts = texts.withColumn("fr", F.coalesce("new", "fr")).withColumn("origin_fr", F.when(F.col("touched"), "project").otherwise(F.col("origin_fr"))).select(columns)
     fresh = added.select("key", F.col("new").alias("fr"), F.lit("project").alias("origin_fr"), F.lit("").alias("english"))
     out.texts = texts.unionByName(fresh, allowMissingColumns=True)
     for name in ("books", "journal", "sheets"):
         if name in tables.__dict__:
             rows = getattr(tables, name)
-            setattr(out, name, rows.join(listed(new), "key", "left").withColumn("fr", F.coalesce("new", "fr")).select(rows.columns))
+            setattr(out, name, rows.join(new, "key", "left").withColumn("fr", F.coalesce("new", "fr")).select(rows.columns))
     return out
 
 
@@ -138,7 +139,7 @@ def _residual(p: Prepared, before: Tables, after: Tables, touched: DataFrame) ->
     of = stage(old.select("word", F.lit(1).alias("old"), F.lit(0).alias("now")).unionByName(now.select("word", F.lit(0).alias("old"), F.lit(1).alias("now"))).groupBy("word").agg(F.max("old").alias("old"), F.max("now").alias("now")), "words")
     others = p.french.join(touched, "key", "left_anti").join(listed(of.select("word")), "word", "left_semi").select("word").distinct()
     turned = of.filter("old != now").join(others, "word", "left_anti").select("word")
-    keys = stage(union(touched, p.copied.join(turned, "word", "left_semi")), "keys")
+    keys = union(touched, p.copied.join(turned, "word", "left_semi"))
     # The words in question, and which of them are French before and after.
     asked = p.copied.join(keys, "key", "left_semi").select("word").unionByName(C.copied_words(C.shown_texts(own.texts, own.books), after.kept).select("word")).distinct()
     lasting = p.french.join(touched, "key", "left_anti").select("word").join(asked, "word", "left_semi").distinct()
@@ -190,7 +191,7 @@ def _references(p: Prepared, before: Tables, after: Tables, touched: DataFrame)
     objects = turned.select("identifier").filter("identifier is not null").unionByName(kin).distinct()
     aimed = before.links.join(objects, before.links.object_id == objects.identifier, "left_semi")
     shown = before.sheets.select("key", F.explode("objects").alias("identifier")).join(objects, "identifier", "left_semi")
-    keys = stage(union(touched, holding, aimed, shown), "keys")
+    keys = union(touched, holding, aimed, shown)
     sides = within(before, keys), within(after, keys)
     sides[0].registry, sides[1].registry = old, new
     return sides
