@@ -63,13 +63,13 @@ def test_every_table_has_entries_that_fail(spark):
     for table, entries in BAD.items():
         if isinstance(GOOD[table], list):
             values[table] = GOOD[table] + [e for e, _ in entries]
-            want |= {(f"{table}.json", str(len(GOOD[table]) + i), rule) for i, (_, rule) in enumerate(entries)}
+            want |= {(f"dir/{table}.json", str(len(GOOD[table]) + i), rule) for i, (_, rule) in enumerate(entries)}
         else:
             values[table] = GOOD[table] | {f"bad{i}": e for i, (e, _) in enumerate(entries)}
-            want |= {(f"{table}.json", f"bad{i}", rule) for i, (_, rule) in enumerate(entries)}
+            want |= {(f"dir/{table}.json", f"bad{i}", rule) for i, (_, rule) in enumerate(entries)}
     values["regles"] = GOOD["regles"] | {"pourcentages": "all", "more": True}
     values["familles"] = {"familles": [{"nom": "n", "motif": "m"}], "accords": {"k": {"genre": "x"}, "l": 1}}
-    want |= {("regles.json", "", "pourcentages: needed, one_of"), ("regles.json", "", "no other rules"), ("familles.json", "0", "gabarit: needed, said"), ("familles.json", "k", "genre: one_of"), ("familles.json", "l", "$: needed, record")}
+    want |= {("dir/regles.json", "", "pourcentages: needed, one_of"), ("dir/regles.json", "", "no other rules"), ("dir/familles.json", "0", "gabarit: needed, said"), ("dir/familles.json", "k", "genre: one_of"), ("dir/familles.json", "l", "$: needed, record")}
     good, bad = run(spark, values)
     assert want <= bad
     assert {(f, e) for f, e, _ in bad} == {(f, e) for f, e, _ in want}
@@ -80,7 +80,7 @@ def test_every_table_has_entries_that_fail(spark):
 def test_whole_files(spark):
     values = {n: v for n, v in GOOD.items() if n != "dette"} | {"renvois": "[", "regles": "[]", "largeurs": "{}", "familles": {"familles": []}}
     _, bad = run(spark, values)
-    assert bad == {("dette.json", None, "missing"), ("renvois.json", None, "unreadable"), ("regles.json", None, "not one record"), ("largeurs.json", None, "not a list of records"), ("familles.json", None, "not an object of entries")}
+    assert bad == {("dir/dette.json", None, "missing"), ("dir/renvois.json", None, "unreadable"), ("dir/regles.json", None, "not one record"), ("dir/largeurs.json", None, "not a list of records"), ("dir/familles.json", None, "not an object of entries")}
 
 
 def test_written(spark):

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from . import model_queries, phrase_queries, review_queries, rule_queries, source_queries, text_queries, view_queries
+from . import change_queries, model_queries, phrase_queries, review_queries, rule_queries, source_queries, text_queries, view_queries
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for _module in (text_queries, model_queries, rule_queries, review_queries, phrase_queries, source_queries, view_queries):
+for _module in (text_queries, model_queries, rule_queries, review_queries, phrase_queries, source_queries, view_queries, change_queries):
     QUERIES |= _module.QUERIES
     ORACLES |= _module.ORACLES
 

@@ -180,34 +180,36 @@ TABLES: dict[str, Table] = {
 
 
 def settings(files: DataFrame, tables: dict[str, Table] = TABLES) -> tuple[DataFrame, DataFrame]:
-    """(accepted: table, entry, value; quarantine: file, entry, rule). files: file, text; a table's file is <table>.json.
+    """(accepted: folder, table, entry, value; quarantine: file, entry, rule). files: file, text; a table's file is <table>.json, one in each folder.
 
     entry is a place in a list, a field of an object, or empty. A file that is missing, unreadable or of another shape is in the
     quarantine as a whole (entry null); files that no table has are left out.
     """
-    name = F.regexp_extract("file", r"([^/]+)\.json$", 1)
-    known = files.select(name.alias("name"), parsed_json(F.col("text")).alias("whole")).filter(F.col("name").isin(*(t.split("/")[0] for t in tables)))
-    declared = known.sparkSession.createDataFrame([(t, t.split("/")[0], x.shape, x.under) for t, x in tables.items()], "table string, name string, shape string, under string")
-    # A settings file is one value; the declarations are as many as there are tables.
-    rows = declared.join(known.withColumn("there", F.lit(True)), "name", "left")
+    path = r"^(.*?)([^/]+)\.json$"
+    found = files.select(F.regexp_extract("file", path, 1).alias("folder"), F.regexp_extract("file", path, 2).alias("name"), "text").filter("name != ''")
+    known = found.filter(F.col("name").isin(*(t.split("/")[0] for t in tables))).select("folder", "name", parsed_json(F.col("text")).alias("whole"), F.lit(True).alias("there"))
+    declared = files.sparkSession.createDataFrame([(t, t.split("/")[0], x.shape, x.under) for t, x in tables.items()], "table string, name string, shape string, under string")
+    # The declarations are as many as there are tables.
+    rows = found.select("folder").distinct().crossJoin(F.broadcast(declared)).join(known, ["folder", "name"], "left")
     part = F.when(F.col("under") == "", F.col("whole"))
     for under in sorted({x.under for x in tables.values()} - {""}):
         part = F.when(F.col("under") == under, at(F.col("whole"), f"$.{under}")).otherwise(part)
     rows = rows.withColumn("part", part).withColumn("kind", F.schema_of_variant("part"))
     fits = F.when(F.col("shape") == LIST, F.col("kind").startswith("ARRAY")).otherwise(F.col("kind").startswith("OBJECT"))
     rows = stage(rows.withColumn("fits", F.coalesce(fits, F.lit(False))), "settings")
+    file = F.concat("folder", "name", F.lit(".json")).alias("file")
     problem = F.when(F.col("there").isNull(), "missing").when(F.col("whole").isNull(), "unreadable").otherwise(F.concat(F.lit("not "), "shape"))
-    whole = rows.filter("not fits").select(F.concat("name", F.lit(".json")).alias("file"), F.lit(None).cast("string").alias("entry"), problem.alias("rule"))
-    many = rows.filter(F.col("fits") & (F.col("shape") != ONE)).select("table", "name", "part")
+    whole = rows.filter("not fits").select(file, F.lit(None).cast("string").alias("entry"), problem.alias("rule"))
+    many = rows.filter(F.col("fits") & (F.col("shape") != ONE)).select("folder", "table", "name", "part")
     each = many.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col("part").outer()).toDF("pos", "field", "value"))
-    each = each.select("table", "name", F.coalesce("field", F.col("pos").cast("string")).alias("entry"), "value")
-    each = each.unionByName(rows.filter(F.col("fits") & (F.col("shape") == ONE)).select("table", "name", F.lit("").alias("entry"), F.col("part").alias("value")))
+    each = each.select("folder", "table", "name", F.coalesce("field", F.col("pos").cast("string")).alias("entry"), "value")
+    each = each.unionByName(rows.filter(F.col("fits") & (F.col("shape") == ONE)).select("folder", "table", "name", F.lit("").alias("entry"), F.col("part").alias("value")))
     broken = F.array().cast("array<string>")
     for table, x in tables.items():
         broken = F.when(F.col("table") == table, x.broken(F.col("value"))).otherwise(broken)
     tried = stage(each.withColumn("broken", broken), "tried")
-    bad = tried.select(F.concat("name", F.lit(".json")).alias("file"), "entry", F.explode("broken").alias("rule"))
-    return tried.filter(F.size("broken") == 0).select("table", "entry", "value"), whole.unionByName(bad)
+    bad = tried.select(file, "entry", F.explode("broken").alias("rule"))
+    return tried.filter(F.size("broken") == 0).select("folder", "table", "entry", "value"), whole.unionByName(bad)
 
 
 def written(files: DataFrame, indent: int = 1) -> DataFrame:
