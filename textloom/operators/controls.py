@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.lineage import cut, rules, stage
+from .anchors import literal, matched
 from .matching import citations_in_context
 from .model import OBJECT_KEY, is_name, object_id, project_texts, visible
 
@@ -173,7 +174,8 @@ def homonym_control(groups: DataFrame, labels: DataFrame) -> DataFrame:
 def term_control(texts: DataFrame, books: DataFrame, terms: DataFrame, forbidden: bool = True) -> DataFrame:
     """terms: english (regex), french array, scope (all, names, texts), keys (regex or null), banned array, reason.
 
-    Terms are few and fixed, so they are the broadcast side of the theta join; the words of a text are computed once, before it.
+    Terms of plain words are looked up by their rarest one; other patterns are tried on every text, and so are bounded. The words of a text are
+    computed once, before that.
     """
     said = united(
         [
@@ -187,7 +189,7 @@ def term_control(texts: DataFrame, books: DataFrame, terms: DataFrame, forbidden
         & (F.col("keys").isNull() | F.expr("key rlike keys"))
         & ((F.col("scope") == "all") | ((F.col("scope") == "names") & F.col("name")) | ((F.col("scope") == "texts") & ~F.col("name")))
     )
-    rows = said.join(rules(terms, "terms"), fits)
+    rows = matched(said, terms, "en", literal(F.col("english")), fits, "terms")
     starts = lambda ws, name: F.filter(F.sequence(F.lit(0), F.greatest(F.size(ws) - 1, F.lit(0))), lambda i: F.slice(ws, i + 1, F.size(name)) == name)
     # A banned rendering counts unless an imposed form that contains it covers the place.
     covers = lambda form, ban: F.transform(starts(F.col("ws"), form), lambda i: F.struct(i.alias("from"), (i + F.size(form)).alias("to")))
@@ -366,7 +368,8 @@ def accent_control(texts: DataFrame, books: DataFrame, journal: DataFrame, vocab
     rows = rows.filter(~F.array_contains(spared, F.col("folded")) & (F.col("key").rlike(OBJECT_KEY) | ~unsure) & T.accent_fault(F.col("word"), F.col("right")))
     rows = rows.select("key", "fr", "pos", "word", T.same_case(F.col("word"), F.col("right")).alias("right"))
     if double is not None:
-        senses = ws.join(rules(double, "double senses"), F.expr("en rlike concat('(?iU)\\\\b(?:', english, ')\\\\b')"))
+        aimed = matched(said.select("key", "en").distinct(), double, "en", literal(F.col("english")), F.expr("en rlike concat('(?iU)\\\\b(?:', english, ')\\\\b')"), "double senses")
+        senses = ws.join(aimed, ["key", "en"])
         senses = senses.select("key", "fr", "pos", "word", "folded", F.explode("right").alias("r")).filter(F.col("folded") == T.fold(F.col("r")))
         decided = senses.groupBy("key", "fr", "pos", "word").agg(F.array_sort(F.collect_set("r")).alias("rs")).filter(~F.array_contains("rs", F.lower("word")))
         rows = rows.join(decided.select("key", "pos"), ["key", "pos"], "left_anti").unionByName(decided.select("key", "fr", "pos", "word", T.same_case(F.col("word"), F.col("rs")[0]).alias("right")))
@@ -484,7 +487,7 @@ def spelling_control(texts: DataFrame, books: DataFrame, journal: DataFrame, for
     """forms: form, right, exact, source. Known mistakes never come back; unless exact, they are found in any case, which is kept."""
     said = shown_texts(texts, books, journal)
     bounded = F.expr("concat(if(exact, '', '(?i)'), '(?U)(?<!\\\\w)', regexp_replace(form, '([\\\\\\\\.^$|?*+()\\\\[\\\\]{}])', '\\\\\\\\$1'), '(?!\\\\w)')")
-    rows = said.join(rules(forms.withColumn("regex", bounded), "forms"), F.expr("fr rlike regex"))
+    rows = matched(said, forms.withColumn("regex", bounded), "fr", F.col("form"), F.expr("fr rlike regex"), "forms")
     met = F.array_distinct(F.expr("regexp_extract_all(fr, regex, 0)"))
     # Whole words only: marks are put around what the rule found, and each marked word becomes the right one.
     marked = F.expr("regexp_replace(fr, regex, '\u0001$0\u0002')")
