@@ -62,3 +62,26 @@ def test_a_hundred_thousand_rules(spark):
     texts = rows.select("key", F.lit("x").alias("en"), F.lit("project").alias("origin_en"), "fr", F.lit("project").alias("origin_fr"), F.lit("project").alias("ns_project"), F.lit(None).cast("string").alias("en_rebuilt"), F.lit("x").alias("english"))
     got = C.spelling_control(texts, none(spark), none(spark), forms)
     assert got.count() == 1000 and {r.expected for r in got.select("expected").distinct().collect()} == {"un Juste"}
+
+
+def test_families(spark, monkeypatch):
+    draw = random.Random(6)
+    keys = [f"{draw.choice(['block', 'item'])}.{draw.choice(['m', 'n'])}.{draw.choice(['oak', 'iron', 'a_b'])}{draw.choice(['', '_planks', '_slab', '_x.y'])}" for _ in range(300)] + ["block.m._planks", "", "oak"]
+    patterns = ["block.m.{id}_planks", "block.m.{id}", "{id}.n.oak", "item.{id}.oak", "block.n.oak_slab", "{id}", "block.{id}.{id}_slab", "item.n.{id}k", "block.m.{id}_planks"]
+    df = spark.createDataFrame([(k,) for k in set(keys)], "key string")
+    families = spark.createDataFrame([(f"f{i}", p, "t", ["s"], i) for i, p in enumerate(patterns)], "family string, pattern string, template string, sources array<string>, ord int")
+    want = found(C.family_members(df, families))
+    monkeypatch.setattr(anchors, "FEW", 2)
+    assert found(C.family_members(df, families)) == want and len(want) > 10
+    many = spark.range(60_000).select(F.col("id").cast("string").alias("family"), F.concat(F.lit("block.m.{id}_"), F.col("id").cast("string")).alias("pattern"), F.lit("t").alias("template"), F.array(F.lit("s")).alias("sources"), F.col("id").cast("int").alias("ord"))
+    held = spark.range(2000).select(F.concat(F.lit("block.m.oak_"), (F.col("id") * 3).cast("string")).alias("key"))
+    got = C.family_members(held, many).select("key", "family", "ident").collect()
+    assert len(got) == 2000 and {r.ident for r in got} == {"oak"} and all(r.key == f"block.m.oak_{r.family}" for r in got)
+
+
+def test_widths_by_key_and_by_pattern(spark):
+    texts = project(spark, [("text.a", "ab", "abcdefgh"), ("text.b", "ab", "abcdefgh"), ("text.c", "ab", "ab")])
+    limits = [(None, ["text.a", "text.b"], None, 12, None, "cut", "m", "p", 3), ("text.a", ["text.a"], "^text", 20, None, "scroll", "m", "q", 2), ("text.c", None, None, 100, None, "cut", "m", "r", 1)]
+    limits = spark.createDataFrame(limits, "key string, keys array<string>, pattern string, limit int, lines int, behaviour string, mod string, proof string, ord int")
+    got = C.width_control(texts, spark.createDataFrame([], "id string"), limits).collect()
+    assert sorted((r.key, r.status, r.proof) for r in got) == [("text.a", "blocking", "m: p"), ("text.b", "blocking", "m: p")]

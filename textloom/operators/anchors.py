@@ -46,3 +46,24 @@ def matched(texts: DataFrame, table: DataFrame, text: str, anchor: Column, fits:
     pairs = held.join(listed(anchors), "word").select("key", "rule")
     looked_up = texts.join(pairs, "key").join(listed(numbered.drop("rule_words")), "rule").drop("rule").filter(fits)
     return looked_up.unionByName(texts.join(rules(bare, what), fits)) if not bare.isEmpty() else looked_up
+
+
+def templated(keys: DataFrame, table: DataFrame, pattern: str, hole: str, fits: Column, what: str) -> DataFrame:
+    """The pairs of keys (key) and rules whose pattern, a text with a hole in it, fits; as matched(), by what stands before and after the hole.
+
+    A key is cut at the lengths of its own beginnings that are some rule's, and what is left at the ends that rules have: two joins by
+    equality. Patterns without a hole or with several are tried on every key, and there may be MOST_RULES of them.
+    """
+    if table.limit(FEW + 1).count() <= FEW:
+        return keys.join(F.broadcast(table), fits)
+    parts = F.split(F.col(pattern), f"\\Q{hole}\\E", -1)
+    cut = stage(table.withColumn("rule_before", parts[0]).withColumn("rule_after", F.get(parts, F.lit(1))).withColumn("rule_parts", F.size(parts)), "rules")
+    inner = ("rule_before", "rule_after", "rule_parts")
+    one, other = cut.filter("rule_parts = 2"), cut.filter("rule_parts != 2").drop(*inner)
+    cuts = lambda c: F.sequence(F.lit(0), F.length(c))
+    begun = keys.select("key", F.explode(F.transform(cuts(F.col("key")), lambda n: F.left("key", n))).alias("rule_before")).join(listed(one.select("rule_before").distinct()), "rule_before", "left_semi")
+    rest = begun.select("key", "rule_before", F.expr("substr(key, length(rule_before) + 1)").alias("rest"))
+    ended = rest.select("key", "rule_before", F.explode(F.transform(cuts(F.col("rest")), lambda n: F.right("rest", n))).alias("rule_after"))
+    pairs = ended.join(listed(one), ["rule_before", "rule_after"]).select("key", *table.columns)
+    looked_up = keys.join(pairs, "key").filter(fits)
+    return looked_up.unionByName(keys.join(rules(other, what), fits)) if not other.isEmpty() else looked_up

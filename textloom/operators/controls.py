@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.lineage import cut, rules, stage
-from .anchors import literal, matched
+from ..functions.lineage import cut, listed, rules, stage
+from .anchors import literal, matched, templated
 from .matching import citations_in_context
 from .model import OBJECT_KEY, is_name, object_id, project_texts, visible
 
@@ -240,10 +240,13 @@ def width_control(texts: DataFrame, sold: DataFrame, limits: DataFrame, mods: bo
     ids = sold.select(F.explode(F.array(*(F.concat(F.lit(f"{k}."), F.replace(F.col("id"), F.lit(":"), F.lit("."))) for k in ("item", "block")))).alias("key"), "id")
     shop = ids.join(said, "key").withColumn("first", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("key")))).filter("first = 1")
     shop = shop.withColumn("n", T.wrapped_lines(F.col("fr"))).filter("n > 2").withColumn("ord", F.lit(-1))
-    manual = said.join(rules(limits.filter("behaviour is null").drop("keys", "pattern"), "limits"), "key").withColumn("n", T.pixels(F.col("fr"))).filter("n > limit")
+    manual = said.join(listed(limits.filter("behaviour is null").drop("keys", "pattern")), "key").withColumn("n", T.pixels(F.col("fr"))).filter("n > limit")
     rule = limits.filter("behaviour is not null").withColumnRenamed("key", "own")
-    aimed = (F.col("key") == F.col("own")) | F.coalesce(F.array_contains("keys", F.col("key")), F.lit(False)) | F.coalesce(F.expr("key rlike pattern"), F.lit(False))
-    rows = said.join(rules(rule, "limits"), aimed).filter(~T.blank(F.col("fr")))
+    # A constraint names its keys, or has a pattern for them, or both: one that reaches a key in two ways counts once, as the most severe.
+    named = F.array_distinct(F.array_compact(F.concat(F.array("own"), F.coalesce("keys", F.array().cast("array<string>")))))
+    by_key = said.join(listed(rule.select("*", F.explode(named).alias("key"))), "key")
+    by_pattern = said.join(rules(rule.filter("pattern is not null"), "limits"), F.expr("key rlike pattern"))
+    rows = by_key.unionByName(by_pattern).filter(~T.blank(F.col("fr")))
     measure = lambda c: F.when(F.col("lines").isNull(), T.pixels(c)).otherwise(T.wrapped_lines(c, F.col("limit")))
     bound = F.coalesce("lines", "limit")
     rows = rows.withColumn("n", measure(F.col("fr"))).withColumn("m", measure(F.col("english"))).filter(F.col("n") > bound)
@@ -406,8 +409,8 @@ def patch_control(patches: DataFrame, upstream: DataFrame | None) -> DataFrame:
 def family_members(keys: DataFrame, families: DataFrame) -> DataFrame:
     """(key, family, ident, template, sources, ord): the first family, by ord, whose pattern matches a key. pattern holds {id}."""
     regex = F.concat(F.lit("^"), F.replace(F.replace(F.col("pattern"), F.lit("."), F.lit("\\.")), F.lit("{id}"), F.lit("([a-z0-9_]+)")), F.lit("$"))
-    rows = keys.join(rules(families.withColumn("regex", regex), "families"), F.expr("key rlike regex"))
-    rows = rows.withColumn("ident", F.expr("regexp_extract(key, regex, 1)"))
+    rows = templated(keys, families.withColumn("regex", regex), "pattern", "{id}", F.expr("key rlike regex"), "families")
+    rows = rows.withColumn("ident", F.expr("if(instr(pattern, '{id}') > 0, regexp_extract(key, regex, 1), '')"))
     first = rows.groupBy("key").agg(F.min_by(F.struct("family", "ident", "template", "sources", "ord"), "ord").alias("x"))
     return first.select("key", "x.*")
 
@@ -501,8 +504,65 @@ def spelling_control(texts: DataFrame, books: DataFrame, journal: DataFrame, for
 
 
 # 17
+# What may stand before the first word of a name; articles; the key of a skill's book, and of the object that is that book.
+LEAD = r"(?:[§&][0-9a-fk-or]|:[a-z_]+:|<lt\w+>(?:\w+=[^;<>]*;)*|[^\w§&:<])*"
+ARTICLE = "(?:Les?|La) |L'"
+SKILL_BOOK = r"^([a-z]+)_skills\.books\.([a-z0-9_]+)\.[a-z0-9_]+$"
+
+
+def skill_books(texts: DataFrame) -> DataFrame:
+    """(key) of the objects that are a skill's book: their names are titles of works."""
+    return texts.filter(F.col("key").rlike(SKILL_BOOK) & (F.col("fr") != "")).select(F.concat_ws(".", F.lit("item"), F.regexp_extract("key", SKILL_BOOK, 1), F.regexp_extract("key", SKILL_BOOK, 2)).alias("key")).distinct()
+
+
+def work_title_control(texts: DataFrame) -> DataFrame:
+    """The title of a work that begins with an article has a capital after it ("La Qualité de la terre")."""
+    opening = rf"(?U)^({LEAD})({ARTICLE})([^\p{{L}}]*)(\p{{L}}+)"
+    rows = texts.filter("origin_fr != 'vanilla' and fr != ''").join(skill_books(texts), "key", "left_semi").withColumn("first", F.regexp_extract("fr", opening, 4))
+    rows = rows.filter((F.col("first") != "") & (F.left("first", F.lit(1)) == F.lower(F.left("first", F.lit(1)))) & (F.left("first", F.lit(1)) != F.upper(F.left("first", F.lit(1)))))
+    before = F.length(F.regexp_extract("fr", rf"(?U)^{LEAD}(?:{ARTICLE})[^\p{{L}}]*", 0))
+    right = F.concat(F.left("fr", before), F.upper(F.substr("fr", before + 1, F.lit(1))), F.substr("fr", before + 2))
+    return finding(rows, "case", actual=F.col("fr"), expected=right, object=one("first"), detail="title of a work: a capital after the article")
+
+
+# Generic terms of places that stand before "de", "du", "des" or "d'" and a proper noun; what opens a sentence, a quotation, or
+# a part after a number or a heading in capitals; and the keys of titles.
+PLACE = (
+    r"(?:(?:Grotte|Caverne|Lac|Mont|Montagne|Forêt|Île|Océan|Mer|Rivière|Fleuve|Vallée|Colline|Désert|Plaine|Baie|Golfe|Pic|Col|Cap)s?|Marais)"
+    r"(?=\s+(?:de|du|des)\s+[A-ZÀ-ÖØ-ÞŒ]|\s+d['’][A-ZÀ-ÖØ-ÞŒ])"
+)
+OPENING = r"(?:[.!?…][\"'»”)]*\s+|(?:^|\s)(?:[IVXLCDM]+(?:\.[IVXLCDM]+)*|\d+(?:\.\d+)*|[A-ZÀ-ÖØ-ÞŒ]{2,})\s[-–—]\s+|«\s*|“|(?:^|\s)[\"']|(?:\\n|\n)\s*)"
+TITLE_KEY = r"quests\..*\.(?:title|subtitle)$|#/(?:name|title)$"
+
+
+def toponym_control(texts: DataFrame, books: DataFrame, names: DataFrame, declared: DataFrame) -> DataFrame:
+    """The generic term of a place is written small within a sentence ("les grottes de Camuy"), unless a declared name or a displayed one
+    stands there whole. names: the registry. declared: name.
+
+    The exempt spans are taken out first: each name that a text holds, looked up by its rarest word, keeps its generic terms behind a mark,
+    as do the terms that open a sentence; what the pattern then finds is at fault.
+    """
+    said = project_texts(texts).filter(~is_name(F.col("key"))).select("key", "fr").unionByName(books.select("key", "fr")).filter((F.col("fr") != "") & ~F.col("key").rlike(TITLE_KEY))
+    said = said.filter(F.col("fr").rlike(rf"(?U)(?<!\w){PLACE}"))
+    spared = names.select(F.col("fr").alias("name")).filter(F.col("name").rlike(rf"(?U)(?<!\w){PLACE}")).unionByName(declared.select(F.trim("name").alias("name")).filter(F.size(T.words(F.col("name"))) > 1)).filter("name != ''").distinct()
+    met = matched(said, spared, "fr", F.col("name"), F.contains(F.col("fr"), F.col("name")), "names").groupBy("key", "fr").agg(F.array_sort(F.collect_set(F.struct((-F.length("name")).alias("less"), "name"))).alias("names"))
+    rows = said.join(met, ["key", "fr"], "left")
+    # A mark before a term keeps the pattern from it: at the text's beginning, after what opens a sentence, and inside a name.
+    marked = F.regexp_replace("fr", rf"(?U)(^{LEAD}|{OPENING}(?:[§&][0-9a-fk-or])*|(?:{T.BREAKS})\s*)(?={PLACE})", "$1\u0003")
+    within = lambda name: F.regexp_replace(name, rf"(?U)(?<![\w\u0003])(?={PLACE})", "\u0003")
+    alone = lambda name: F.concat(F.lit(r"(?U)(?<!\w)\Q"), name, F.lit(r"\E(?!\w)"))
+    kept = F.aggregate(F.coalesce("names", F.array().cast("array<struct<less:int,name:string>>")), marked, lambda t, n: F.regexp_replace(t, alone(n["name"]), within(n["name"])))
+    rows = rows.withColumn("kept", kept).withColumn("met", F.regexp_extract_all("kept", F.lit(rf"(?U)(?<![\w\u0003])({PLACE})"), 1)).filter(F.size("met") > 0)
+    small = F.aggregate(
+        F.array_distinct("met"),
+        F.col("kept"),
+        lambda t, m: F.regexp_replace(t, F.concat(F.lit(r"(?U)(?<![\w\u0003])"), m, F.lit(rf"(?=\s+(?:de|du|des)\s+[A-ZÀ-ÖØ-ÞŒ]|\s+d['’][A-ZÀ-ÖØ-ÞŒ])")), F.concat(F.lower(F.left(m, F.lit(1))), F.substring(m, 2, 2**31 - 1))),
+    )
+    return finding(rows, "case", actual=F.col("fr"), expected=F.translate(small, "\u0003", ""), object=one(F.lit("toponym")), detail=F.concat(F.lit("generic term of a place: "), F.array_join("met", ", ")))
+
+
 def case_control(texts: DataFrame, nouns: list[str], kept: list[str] | None = None) -> DataFrame:
-    """Capitals inside names where French has none, and declared proper nouns written small."""
+    """Capitals inside names where French has none, and declared proper nouns written small. A skill's book has one after its article."""
     allowed = {w for n in nouns for w in n.split()} | {w for n in kept or [] for w in n.split()}
     said = project_texts(texts).filter("fr != ''")
     toks = F.filter(T.tokens(F.col("fr")), lambda t: ~t["start"])
@@ -510,7 +570,9 @@ def case_control(texts: DataFrame, nouns: list[str], kept: list[str] | None = No
     capital = lambda w: (first(w) == F.upper(first(w))) & (first(w) != F.lower(first(w)))
     free = F.array(*(F.lit(w) for w in sorted(allowed) or ["\u0000"]))
     inner = F.array_distinct(F.transform(F.filter(toks, lambda t: capital(t["written"]) & (F.length(t["written"]) > 1) & (t["written"] != F.upper(t["written"])) & ~F.array_contains(free, t["written"])), lambda t: t["written"]))
-    names = said.filter(is_name(F.col("key"))).withColumn("inner", inner).filter(F.size("inner") > 0)
+    title = F.when(F.col("work"), F.regexp_extract("fr", rf"(?U)^{LEAD}(?:{ARTICLE})[^\p{{L}}]*(\p{{L}}+)", 1))
+    works = skill_books(texts).withColumn("work", F.lit(True))
+    names = said.filter(is_name(F.col("key"))).join(works, "key", "left").withColumn("inner", F.filter(inner, lambda w: ~w.eqNullSafe(title))).filter(F.size("inner") > 0)
     small = [F.when(F.col("fr").rlike(rf"(?U)(?<!\w)\Q{n[0].lower() + n[1:]}\E(?!\w)"), F.lit(n)) for n in nouns if n[:1].isupper()]
     lost = said.withColumn("lost", F.array_compact(F.array(*small) if small else F.array().cast("array<string>"))).filter(F.size("lost") > 0)
     # Whole words, and not where one begins the text or a sentence.

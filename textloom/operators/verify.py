@@ -84,8 +84,16 @@ def _families(t: Tables) -> DataFrame:
     return C.family_control(C.family_names(members, t.texts.select("key", "fr"), t.agreements), t.texts)
 
 
+def _case(t: Tables) -> DataFrame:
+    parts = [C.case_control(t.texts, t.nouns, t.kept), C.work_title_control(t.texts)]
+    if "case in texts" not in t.off:
+        declared = t.spark.createDataFrame([(n,) for n in [*t.nouns, *t.kept]], "name string")
+        parts.append(C.toponym_control(t.texts, t.books, t.names(), declared))
+    return C.united(parts)
+
+
 #: Rules that may wait, and then are switched on to measure what they would find.
-RULES = ("forbidden renderings", "widths of mods", "numbers")
+RULES = ("forbidden renderings", "widths of mods", "numbers", "case in texts")
 
 CONTROLS: dict[str, Callable[[Tables], DataFrame]] = {
     "coverage": lambda t: C.coverage(t.texts, t.witnesses, t.duplicates, t.books),
@@ -104,7 +112,7 @@ CONTROLS: dict[str, Callable[[Tables], DataFrame]] = {
     "families": _families,
     "templates": lambda t: C.template_control(t.texts, t.arguments),
     "spelling": lambda t: C.spelling_control(t.texts, t.books, t.journal, t.forms),
-    "case": lambda t: C.case_control(t.texts, t.nouns, t.kept),
+    "case": _case,
     "references": _references,
 }
 

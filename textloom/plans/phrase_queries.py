@@ -164,6 +164,31 @@ def control_conventions_of_parts(spark, sf_dir):
     return C.convention_control(t, _none(spark), _none(spark)).select("control", "key", "status", "detail", F.array_join("object", ",").alias("object"), F.col("expected").alias("fixed"))
 
 
+@query(
+    """with n as (select p_partkey as k, p_partkey % 3 as form, upper(left(string_split(p_name, ' ')[1], 1)) || substr(string_split(p_name, ' ')[1], 2) as c from part)
+select 'text.p' || k as key, case form when 0 then 'Va aux grottes de ' else 'Vers la mer de ' end || c as fixed from n where form = 0 or form = 2 and ascii(c) % 2 = 1"""
+)
+def control_places_of_parts(spark, sf_dir):
+    """Generic terms of places within a sentence; at its beginning they keep their capital, and so they do in a displayed name."""
+    p, form = table(spark, sf_dir, "part"), F.col("p_partkey") % 3
+    c = F.initcap(F.split("p_name", " ")[0])
+    fr = F.concat(F.when(form == 0, "Va aux Grottes de ").when(form == 1, "Grottes de ").otherwise("Vers la Mer de "), c)
+    t = _texts(p, F.concat(F.lit("text.p"), F.col("p_partkey").cast("string")), F.lit("x"), fr)
+    seas = p.select(c.alias("c")).distinct().filter(F.ascii("c") % 2 == 0)
+    names = M.registry(_texts(seas, F.concat(F.lit("biome.base."), F.lower("c")), F.lit("x"), F.concat(F.lit("Mer de "), "c")))
+    return C.toponym_control(t, _none(spark), names, _none(spark, "name string")).select("key", F.col("expected").alias("fixed"))
+
+
+@query("select 'item.parts.p' || p_partkey as key, 'La ' || upper(left(p_name, 1)) || substr(p_name, 2) as fixed from part where p_partkey % 2 = 0")
+def control_works_of_parts(spark, sf_dir):
+    """Every other part is a skill's book, whose title lacks the capital after its article."""
+    p = table(spark, sf_dir, "part")
+    n = F.concat(F.lit("p"), F.col("p_partkey").cast("string"))
+    titles = _texts(p, F.concat(F.lit("item.parts."), n), F.lit("x"), F.concat(F.lit("La "), "p_name"))
+    books = _texts(p.filter("p_partkey % 2 = 0"), F.concat(F.lit("parts_skills.books."), n, F.lit(".title")), F.lit("x"), F.col("p_type"))
+    return C.work_title_control(titles.unionByName(books)).select("key", F.col("expected").alias("fixed"))
+
+
 @query(
     r"""with n as (select p_partkey as k, string_split(p_name, ' ') as w from part), u as (select k, w[1] as a, upper(left(w[1], 1)) || substr(w[1], 2) as ca, w[2] as b, upper(left(w[2], 1)) || substr(w[2], 2) as cb from n)
 select 'case' as control, case when k % 3 = 2 then 'text.p' else 'item.parts.p' end || k as key, case when k % 3 = 0 then 'capital inside a name' else 'proper noun written small' end as detail,
