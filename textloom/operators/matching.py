@@ -15,8 +15,8 @@ BROADCAST_NAMES = 200_000
 def hits(texts: DataFrame, names: DataFrame, around: int = 0, keep: tuple[str, ...] = ()) -> DataFrame:
     """(key, pos, len, motif) of every place where a name's words stand, overlaps included. texts: key, ws; names: motif (arrays).
 
-    A text's words are joined by the first word of a name, each with as many words after it as the longest name has, and the rest is
-    compared there; the words of a whole text are never sent along, and no n-gram is materialised. With `around`, so many words before
+    A text's words are joined by the first word of a name, and the rest is compared there. Where names are too many to be broadcast, each word
+    is sent with as many words after it as the longest name has, never with the whole text. No n-gram is materialised. With `around`, so many words before
     each hit come along as `before`, the word after it as `after` (null at the end), and whether the hit is the whole text as `whole`; so do
     the texts' columns in `keep`.
     """
@@ -24,15 +24,19 @@ def hits(texts: DataFrame, names: DataFrame, around: int = 0, keep: tuple[str, .
     motifs = motifs.withColumn("head", F.col("motif")[0])
     n, longest = motifs.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("motif")), F.lit(1))).first()
     if n <= BROADCAST_NAMES:
-        motifs = F.broadcast(motifs)
-    wide = longest + bool(around)
-    at = F.transform("ws", lambda w, i: F.struct(i.alias("pos"), F.slice("ws", i + 1, wide).alias("next"), *earlier(i, around)))
-    starts = texts.select("key", *keep, F.explode(at).alias("x")).select("key", *keep, "x.*", F.col("x.next")[0].alias("head"))
-    found = starts.join(motifs, "head").filter(F.slice("next", 1, F.size("motif")) == F.col("motif")).withColumn("len", F.size("motif"))
+        # In one stage a text's words stay where they are: only where a name begins are the words after it looked at.
+        starts = texts.select("key", "ws", *keep, F.posexplode("ws").alias("pos", "head")).join(F.broadcast(motifs), "head")
+        found = starts.filter(F.slice("ws", F.col("pos") + 1, F.size("motif")) == F.col("motif")).withColumn("len", F.size("motif"))
+        after, before = F.get("ws", F.col("pos") + F.col("len")), earlier(F.col("pos"), around)
+    else:
+        wide = longest + bool(around)
+        at = F.transform("ws", lambda w, i: F.struct(i.alias("pos"), F.slice("ws", i + 1, wide).alias("next"), *earlier(i, around)))
+        starts = texts.select("key", *keep, F.explode(at).alias("x")).select("key", *keep, "x.*", F.col("x.next")[0].alias("head"))
+        found = starts.join(motifs, "head").filter(F.slice("next", 1, F.size("motif")) == F.col("motif")).withColumn("len", F.size("motif"))
+        after, before = F.get("next", F.col("len")), ["before"]
     if not around:
         return found.select("key", "pos", "len", "motif")
-    after = F.get("next", F.col("len"))
-    return found.select("key", *keep, "pos", "len", "motif", "before", after.alias("after"), ((F.col("pos") == 0) & after.isNull()).alias("whole"))
+    return found.select("key", *keep, "pos", "len", "motif", *before, after.alias("after"), ((F.col("pos") == 0) & after.isNull()).alias("whole"))
 
 
 def earlier(i: Column, n: int) -> list[Column]:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ..functions import text as T
-from ..functions.lineage import cut, listed
+from ..functions.lineage import cut, listed, stage
 
 MINIMUM = 5
 #: Upper bound that a zone's share of major defects has to stay below.
@@ -205,30 +207,89 @@ def family_links(members: DataFrame) -> DataFrame:
     return members.join(first, "family").filter("key != a").select("a", F.col("key").alias("b"))
 
 
+class _Rooms:
+    """The free room of zones, with the first zone that has enough of it, and the first that has the most, by a tree of largest rooms."""
+
+    def __init__(self):
+        self.size, self.n, self.most = 1, 0, [-math.inf, -math.inf]
+
+    def add(self, room: float) -> int:
+        if self.n == self.size:
+            leaves = self.most[self.size :]
+            self.size *= 2
+            self.most = [-math.inf] * self.size + leaves + [-math.inf] * len(leaves)
+            for i in reversed(range(1, self.size)):
+                self.most[i] = max(self.most[2 * i], self.most[2 * i + 1])
+        self.n += 1
+        self.put(self.n - 1, room)
+        return self.n - 1
+
+    def put(self, zone: int, room: float) -> None:
+        i = self.size + zone
+        self.most[i] = room
+        while i > 1:
+            i //= 2
+            self.most[i] = max(self.most[2 * i], self.most[2 * i + 1])
+
+    def room(self, zone: int) -> float:
+        return self.most[self.size + zone]
+
+    def first(self, need: float) -> int | None:
+        """The first zone with so much room."""
+        if not self.n or self.most[1] < need:
+            return None
+        i = 1
+        while i < self.size:
+            i = 2 * i if self.most[2 * i] >= need else 2 * i + 1
+        return i - self.size
+
+    def emptiest(self) -> int:
+        return self.first(self.most[1])
+
+
+def packed(sizes: list[tuple[int, int]], cap: int, tolerance: int) -> list[tuple[int, int, int, int, bool]]:
+    """(size, from, to, zone, indivisible): where the blocks of each size go, by their rank within it, from 0. sizes: (size, how many), falling."""
+    rooms, whole, out = _Rooms(), [], []
+    for size, n in sizes:
+        done = 0
+        while done < n:
+            at = rooms.first(size)
+            if at is not None:
+                # Blocks of one size go on into the first zone until it has no more room for them; those of size 0 all go there.
+                some = n - done if size <= 0 else min(n - done, int(rooms.room(at) // size))
+            else:
+                some, at = 1, None
+                if size <= tolerance and rooms.n:
+                    low = rooms.emptiest()
+                    at = low if whole[low] or cap - rooms.room(low) + size <= cap + tolerance else None
+                if at is None:
+                    at = rooms.add(cap)
+                    whole.append(size > cap)
+            rooms.put(at, rooms.room(at) - some * size)
+            out.append((size, done, done + some, at + 1, whole[at]))
+            done += some
+    return out
+
+
 def pack(blocks: DataFrame, cap: int = 1500, tolerance: int = 100) -> DataFrame:
     """(theme, block, size, zone, indivisible): first-fit decreasing within each theme. blocks: theme, block, size.
 
     A block goes to the first zone of its theme with room; a small one that fits nowhere joins the smallest zone, within the tolerance;
-    a larger one than the cap has a zone of its own. Which zone a block joins depends on all before it, so a theme's blocks (names and
-    sizes only) are walked in one group.
+    a larger one than the cap has a zone of its own. What goes where depends on sizes alone, so only a theme's counts of each size are walked
+    in one group; the blocks are placed by their rank within theme and size.
     """
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        zones: list[list] = []  # used, indivisible
-        out = []
-        for block, size in sorted(zip(pdf["block"], pdf["size"]), key=lambda x: (-x[1], x[0])):
-            at = next((i for i, z in enumerate(zones) if z[0] + size <= cap), None)
-            if at is None and size <= tolerance and zones:
-                low = min(range(len(zones)), key=lambda i: zones[i][0])
-                at = low if zones[low][1] or zones[low][0] + size <= cap + tolerance else None
-            if at is None:
-                at = len(zones)
-                zones.append([0, size > cap])
-            zones[at][0] += size
-            out.append((pdf["theme"].iloc[0], block, size, at + 1, zones[at][1]))
-        return pd.DataFrame(out, columns=["theme", "block", "size", "zone", "indivisible"])
-
-    rows = blocks.groupBy("theme").applyInPandas(walk, "theme string, block string, size bigint, zone int, indivisible boolean")
+        sizes = sorted(zip(pdf["size"].tolist(), pdf["n"].tolist()), reverse=True)
+        out = pd.DataFrame(packed(sizes, cap, tolerance), columns=["size", "from", "to", "zone", "indivisible"])
+        out.insert(0, "theme", pdf["theme"].iloc[0])
+        return out
+
+    counts = blocks.groupBy("theme", "size").agg(F.count(F.lit(1)).alias("n"))
+    places = stage(counts.groupBy("theme").applyInPandas(walk, "theme string, size bigint, from bigint, to bigint, zone int, indivisible boolean"), "places")
+    each = places.select("theme", "size", "zone", "indivisible", F.explode(F.sequence("from", F.col("to") - 1)).alias("rank"))
+    ranked = blocks.select("theme", "block", "size", (F.row_number().over(Window.partitionBy("theme", "size").orderBy("block")) - 1).cast("bigint").alias("rank"))
+    rows = ranked.join(each, ["theme", "size", "rank"]).select("theme", "block", "size", "zone", "indivisible")
     several = rows.groupBy("theme").agg(F.max("zone").alias("zones"))
     named = rows.join(several, "theme").withColumn("zone", F.when(F.col("zones") == 1, F.col("theme")).otherwise(F.concat_ws("-", "theme", "zone")))
     return named.select("theme", "block", "size", F.translate("zone", ":_", "--").alias("zone"), "indivisible")
