@@ -1,6 +1,9 @@
 """Components over all links, and loops that end by themselves."""
 
+import random
+
 from textloom.operators import controls as C
+from textloom.operators import sampling as P
 from textloom.plans.registry import QUERIES
 
 
@@ -27,6 +30,17 @@ def test_all_links_count(spark, tmp_path):
     assert got == roots([(2 * o, 2 * s + 1) for o, s in links])
 
 
+def test_hubs_chains_and_loops(spark):
+    """A hub with a third of all links, chains, rings, and nodes that are linked with themselves alone."""
+    draw = random.Random(7)
+    edges = [("hub", f"h{i:04d}") for i in range(600)] + [(f"c{i:03d}", f"c{i + 1:03d}") for i in range(90)] + [(f"r{i}", f"r{(i + 1) % 9}") for i in range(9)] + [("self", "self")]
+    edges += [(f"x{draw.randint(0, 900):03d}", f"x{draw.randint(0, 900):03d}") for _ in range(700)]
+    draw.shuffle(edges)
+    df = spark.createDataFrame(edges + [(None, "h0001")], "a string, b string").repartition(6)
+    assert {r.node: r.root for r in P.components(df).collect()} == roots(edges)
+    assert P.components(df.limit(0)).count() == 0
+
+
 def test_chains_of_families_have_no_deepest(spark):
     """A chain of 24: each member's name is made from the one before it."""
     none = spark.createDataFrame([], "key string, gender string, number string, proper boolean, plural string")

@@ -57,3 +57,14 @@ def rules(df: DataFrame, what: str) -> DataFrame:
 def listed(df: DataFrame) -> DataFrame:
     """A table to join by key: broadcast if it has at most MOST_KEYS rows."""
     return F.broadcast(df) if df.limit(MOST_KEYS + 1).count() <= MOST_KEYS else df
+
+
+#: A key is hot if it holds over 1/HOT_SHARE of all rows, so there are never more than HOT_SHARE hot keys.
+HOT_SHARE = 1000
+
+
+def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """Inner join of rows with groups (one row a key, `size` its number of rows of `total`): hot keys are broadcast, the others shuffled."""
+    hot = groups.filter(F.col(size) * HOT_SHARE > F.lit(total))
+    cold = groups.filter(F.col(size) * HOT_SHARE <= F.lit(total))
+    return rows.join(F.broadcast(hot), key).unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key))

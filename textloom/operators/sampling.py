@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ..functions import text as T
-from ..functions.lineage import cut, listed, stage
+from ..functions.lineage import attach, listed, stage
 
 MINIMUM = 5
 #: Upper bound that a zone's share of major defects has to stay below.
@@ -183,22 +183,28 @@ def verdict_totals(rows: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root): the smallest node that each node of edges (a, b) is linked with, by spreading smallest labels and jumping.
+    """(node, root): the smallest node that each node of edges (a, b) is linked with. Nulls link nothing.
 
-    Rounds end when no label has changed. Every round is cut off by a checkpoint in the shared folder.
+    Stars by turns, until nothing changes: what is linked to a node and above it goes to its smallest neighbour, then what is linked to it and
+    below it. A neighbourhood is known by its smallest node, never as a list, and a hub's is broadcast. Each round is staged in the shared folder.
     """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = cut(both)
-    label = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")).withColumnRenamed("a", "node")
-    label = cut(label)
-    while True:
-        near = both.join(label.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("m"))
-        lower = label.join(near, "node").select("node", F.least("root", "m").alias("root"))
-        jumped = lower.join(lower.select(F.col("node").alias("root"), F.col("root").alias("up")), "root", "left").select("node", F.coalesce("up", "root").alias("root"))
-        jumped = cut(jumped)
-        if jumped.join(label, ["node", "root"], "left_anti").isEmpty():
-            return label
-        label = jumped
+    edges = stage(edges.select("a", "b").filter("a is not null and b is not null"), "edges")
+    nodes = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
+    links = stage(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    before = None
+    while n := links.count():
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min("b").alias("least"), F.count(F.lit(1)).alias("n"))
+        above = attach(both, least, "a", "n", 2 * n).filter("b > a").select(F.col("b").alias("a"), F.least("a", "least").alias("b"))
+        above = stage(above.distinct(), "above")
+        least = above.groupBy("a").agg(F.min("b").alias("least"), F.count(F.lit(1)).alias("n"))
+        below = attach(above, least, "a", "n", n).select(F.col("b").alias("a"), F.col("least").alias("b"))
+        links = stage(below.unionByName(least.select("a", F.col("least").alias("b"))).filter("a != b").distinct(), "links")
+        state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_000_007)).first()
+        if state == before:
+            break
+        before = state
+    return nodes.join(links.select(F.col("a").alias("node"), F.col("b").alias("root")), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
 def family_links(members: DataFrame) -> DataFrame:
