@@ -87,7 +87,7 @@ def lot_refusals(spark, sf_dir):
     return planned.actions.select("i", "verdict", "why")
 
 
-@query(f"with {_GAPS} select key, 'gone' as side, gap as detail from gaps join g using (key) where k % 5 = 0 and gap <> '' union all select key, 'new', 'lost: ' || t || r || ' ' || d from g where k % 5 = 0")
+@query(f"with {_GAPS} select key, 'gone' as side, gap as detail from gaps join g using (key) where k % 5 = 0 and gap <> '' union all select key, 'new', 'lost: ' || least(t || r, d) || ' ' || greatest(t || r, d) from g where k % 5 = 0")
 def finding_differences(spark, sf_dir):
     """What a change to every fifth order's sentence does to the number findings, without judging the others again."""
     texts = stage(_payments(spark, sf_dir), "texts")
