@@ -328,6 +328,79 @@ def agent_runs(log: DataFrame) -> DataFrame:
     return log.groupBy("run").agg(F.count_if(F.col("event") == "started").alias("started"), F.count_if(F.col("event") == "done").alias("done"))
 
 
+#: Bytes that are printed, a run of them, and how much of a member is read at once. A run longer than PIECE goes out in pieces that overlap by
+#: OVERLAP, so that what is looked for, and is shorter, stands whole in one of them.
+PRINTED = bytes(range(32, 127))
+RUN = re.compile(rb"[ -~]{4,}")
+CHUNK, PIECE, OVERLAP = 1 << 20, 1 << 16, 1 << 10
+
+
+def printed_runs(read, chunk: int = CHUNK, piece: int = PIECE, overlap: int = OVERLAP):
+    """The runs of four printed characters and more of a stream, read in chunks; a run that goes over a chunk's end stays one."""
+
+    def pieces(run: bytes):
+        while len(run) > piece:
+            yield run[:piece].decode("ascii")
+            run = run[piece - overlap :]
+        yield run.decode("ascii")
+
+    held = b""
+    while data := read(chunk):
+        data = held + data
+        end = len(data.rstrip(PRINTED))
+        for m in RUN.finditer(data, 0, end):
+            yield from pieces(m[0])
+        held = data[end:]
+        while len(held) > piece:
+            yield held[:piece].decode("ascii")
+            held = held[piece - overlap :]
+    if len(held) >= 4:
+        yield from pieces(held)
+
+
+def jar_strings(spark: SparkSession, path: str, batch: int = 1) -> DataFrame:
+    """(jar, member, word): the printed strings of every member of the jars below path, of jars inside jars too (member: outer!inner).
+
+    A member is read in chunks; only a jar itself, and a jar inside one, is held whole. What can't be read as an archive is left out.
+    """
+
+    def of(data, jar: str, above: str = ""):
+        try:
+            z = zipfile.ZipFile(data)
+        except zipfile.BadZipFile:
+            return
+        with z:
+            for item in z.infolist():
+                if item.is_dir():
+                    continue
+                try:
+                    with z.open(item) as member:
+                        if item.filename.endswith(".jar"):
+                            yield from of(io.BytesIO(member.read()), jar, f"{above}{item.filename}!")
+                        else:
+                            for run in printed_runs(member.read):
+                                yield jar, above + item.filename, run
+                except (zipfile.BadZipFile, RuntimeError, NotImplementedError, EOFError, OSError):
+                    continue
+
+    def read(frames):
+        for frame in frames:
+            for p, content in zip(frame["path"], frame["content"]):
+                rows = []
+                for row in of(io.BytesIO(content), p.rsplit("/", 1)[-1].removesuffix(".jar")):
+                    rows.append(row)
+                    if len(rows) == 20_000:
+                        yield pd.DataFrame(rows, columns=["jar", "member", "word"])
+                        rows = []
+                yield pd.DataFrame(rows, columns=["jar", "member", "word"])
+
+    out, own = place(spark, "strings"), spark.newSession()
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    jars = own.read.format("binaryFile").option("pathGlobFilter", "*.jar").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    jars.mapInPandas(read, "jar string, member string, word string").write.parquet(out)
+    return spark.read.schema("jar string, member string, word string").parquet(out)
+
+
 def glossary_entries(rows: DataFrame) -> DataFrame:
     """One entry per English term: the first without a sense, else the first. rows: en, fr, sense, ord."""
     from ..functions.text import blank
