@@ -173,3 +173,22 @@ def test_bounds(spark):
         if 0 < n > k:
             assert sum(math.comb(int(n), i) * p**i * (1 - p) ** (n - i) for i in range(int(k) + 1)) == pytest.approx(0.05, abs=1e-6)
     assert values(spark, bound_without_defects(F.lit(10)), ["x"])[0] == pytest.approx(got[0])
+
+
+def test_bounds_of_many_texts(spark):
+    """The binomial sum at the bound, by exact fractions, and the normal limit where there are millions; the work follows the root of n."""
+    from fractions import Fraction
+
+    from textloom.operators.sampling import upper_bound
+
+    got = values(spark, upper_bound(F.col("k"), F.col("n")), [(600.0, 1200.0), (5000.0, 10000.0), (44e6, 9e7), (2.0, 9e7), (9e7, 9e7)], "k double, n double")
+    p = Fraction(got[0])
+    term = total = (1 - p) ** 1200
+    for i in range(1, 601):
+        term = term * (1200 - i + 1) / i * p / (1 - p)
+        total += term
+    assert float(total) == pytest.approx(0.05, rel=1e-11)
+    assert got[1] == pytest.approx(0.5082734955962607, rel=1e-14)
+    share = 44 / 90
+    assert got[2] == pytest.approx(share + 1.6448536 * (share * (1 - share) / 9e7) ** 0.5, rel=1e-7)
+    assert got[3] == pytest.approx(6.295794 / 9e7, rel=1e-6) and got[4] == 1.0

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,27 +58,62 @@ def draw(members: DataFrame, quota: DataFrame, seed: str) -> DataFrame:
     return kept.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= F.col("quota")).select("stratum", "id")
 
 
+#: What Stirling's formula lacks of log(i!), for i below 16; from there on its series gives all digits.
+_LACKING = [0.0] + [math.lgamma(i + 1) - (i + 0.5) * math.log(i) + i - math.log(2 * math.pi) / 2 for i in range(1, 16)]
+#: Terms of the binomial sum that are added at once.
+TERMS = 512
+
+
+def _log_binomial(k: np.ndarray, n: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """log of the binomial probability of k < n, by the saddle point: no digits are lost for large n, as with differences of log(n!)."""
+
+    def lacking(x):
+        large = np.maximum(x, 16)
+        return np.where(x < 16, np.take(_LACKING, np.minimum(x, 15).astype(int)), (1 / 12 - (1 / 360 - (1 / 1260 - 1 / 1680 / large**2) / large**2) / large**2) / large)
+
+    def apart(x, mean):
+        d = (x - mean) / mean
+        return mean * ((1 + d) * np.log1p(d) - d)
+
+    some = np.maximum(k, 1)
+    rest = n - some
+    with np.errstate(divide="ignore", invalid="ignore"):
+        out = lacking(n) - lacking(some) - lacking(rest) - apart(some, n * p) - apart(rest, n * (1 - p)) + np.log(n / (2 * np.pi * some * rest)) / 2
+        return np.where(k > 0, out, n * np.log1p(-p))
+
+
+def _at_most(k: np.ndarray, n: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Binomial probability of at most k of n, where p > k / n: from the term of k downwards, until what follows is lost in rounding.
+
+    The terms fall ever faster; those that matter are a few times the square root of n, whatever k is.
+    """
+    last, total = np.ones(len(k)), np.ones(len(k))
+    at, left = k.copy(), np.arange(len(k))
+    while len(left):
+        i = np.maximum(at[left, None] - np.arange(min(TERMS, max(at[left].max(), 1))), 0)
+        terms = last[left, None] * np.cumprod(i * ((1 - p) / p)[left, None] / (n[left, None] - i + 1), axis=1)
+        total[left] += terms.sum(axis=1)
+        last[left], at[left] = terms[:, -1], at[left] - i.shape[1]
+        left = left[(at[left] > 0) & (last[left] * at[left] > 1e-17 * total[left])]
+    return np.exp(_log_binomial(k, n, p)) * total
+
+
 @F.pandas_udf(DoubleType())
 def upper_bound(k: pd.Series, n: pd.Series) -> pd.Series:
     """One-sided 95 % Clopper-Pearson bound of k defects among n, by bisection of the exact binomial sum, over all rows at once."""
-    import numpy as np
-
     k, n = k.to_numpy(dtype=float), n.to_numpy(dtype=float)
-    low, high = np.where(n > 0, k / np.maximum(n, 1), 0.0), np.ones(len(k))
-    most = int(k.max()) if len(k) else 0
-    # log of the binomial coefficients, up to the largest k
-    steps = np.arange(1, most + 1)
+    out = np.ones(len(k))
+    some = np.flatnonzero((n > 0) & (k < n))
+    k, n = k[some], n[some]
+    low, high = k / n, np.ones(len(k))
     for _ in range(60):
         p = (low + high) / 2
-        with np.errstate(divide="ignore", invalid="ignore"):
-            term = n * np.log1p(-p)
-            total = np.exp(term)
-            for i in steps:
-                term = term + np.log(np.maximum(n - i + 1, 0)) - np.log(i) + np.log(p) - np.log1p(-p)
-                total += np.where(i <= k, np.exp(term), 0)
-        above = total > 0.05
+        inside = np.flatnonzero((p > low) & (p < high))  # where doubles lie between the two
+        above = np.zeros(len(k), dtype=bool)
+        above[inside] = _at_most(k[inside], n[inside], p[inside]) > 0.05
         low, high = np.where(above, p, low), np.where(above, high, p)
-    return pd.Series(np.where((k >= n) | (n <= 0), 1.0, high))
+    out[some] = high
+    return pd.Series(out)
 
 
 def bound_without_defects(n: Column, alpha: float = 0.05) -> Column:
