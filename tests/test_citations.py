@@ -67,3 +67,52 @@ def test_references_find_what_is_implied(spark):
     none = lambda s: spark.createDataFrame([], s)
     got = C.reference_control(texts, M.registry(texts), none("key string, object_id string"), none("key string, object string")).collect()
     assert {(r.key, r.object[0]) for r in got} == {("text.both", "item.m.highland_wool"), ("text.none", "item.m.umbra_wool")}
+
+
+def meant(cited, names, links, pins):
+    """resolved(), pair by pair."""
+    out = {}
+    for key, ns, motif in cited:
+        rows = []
+        for m, name, fr, identifier in names:
+            if m == motif and name != key:
+                linked = sum(link == (key, identifier) for link in links)
+                pinned = sum(pin == (key, name) for pin in pins)
+                rows += [(name, fr, bool(linked), identifier is not None and identifier.split(":")[0] == ns, bool(pinned))] * (max(linked, 1) * max(pinned, 1))
+        if rows and len({tuple(r[1]) for r in rows}) == 1:
+            out[key, tuple(motif)] = min([r[0] for r in rows if r[4]] or [r[0] for r in rows])
+        elif rows:
+            ranked = [[r[0] for r in rows if r[flag]] for flag in (2, 3, 4)]
+            out[key, tuple(motif)] = next((r[0] for r in ranked if len(r) == 1), None)
+    return out
+
+
+def test_which_name_is_meant(spark):
+    import random
+
+    rnd = random.Random(4)
+    keys = [f"k{i}" for i in range(40)] + [f"n{i}" for i in range(12)]
+    motifs = [["a"], ["a", "b"], ["c"], ["d"]]
+    names = [(rnd.choice(motifs), f"n{rnd.randrange(14)}", [rnd.choice("xy")], rnd.choice([None, f"{rnd.choice('st')}:{rnd.randrange(6)}"])) for _ in range(16)] + [(["e"], "n1", ["x"], "s:1"), (["f"], "n2", ["x"], "s:2"), (["f"], "n3", ["y"], "s:3")]
+    cited = [(k, "st"[len(k) % 2], m) for k in keys for m in [*motifs, ["e"], ["f"]] if rnd.random() < 0.8]
+    links = [(rnd.choice(keys), f"{rnd.choice('st')}:{rnd.randrange(6)}") for _ in range(60)]
+    pins = [(rnd.choice(keys), f"n{rnd.randrange(14)}") for _ in range(60)]
+    got = C.resolved(
+        spark.createDataFrame(cited, "key string, ns string, motif array<string>"),
+        spark.createDataFrame(names, "motif array<string>, name_key string, fr_tokens array<string>, identifier string"),
+        spark.createDataFrame(links + links[:5], "key string, object_id string"),
+        spark.createDataFrame(pins + pins[:5], "key string, object string"),
+    ).collect()
+    want = meant(cited, names, links + links[:5], pins + pins[:5])
+    assert {(r.key, tuple(r.motif)): r.target for r in got} == want and len(got) == len(want)
+    assert None in want.values() and len(set(want.values())) > 5
+
+
+def test_many_names_of_one_kind(spark):
+    """Texts and names by the ten thousands with the same words: their pairs, 900 million, aren't looked at."""
+    n = 30_000
+    cited = spark.range(n).selectExpr("concat('k', id) as key", "concat('s', id) as ns", "array('a', 'b') as motif")
+    names = spark.range(n).selectExpr("array('a', 'b') as motif", "concat('n', id) as name_key", "array(concat('x', id % 9)) as fr_tokens", "concat('s', id, ':', id) as identifier")
+    none = spark.createDataFrame([], "key string, object_id string, object string")
+    got = C.resolved(cited, names, none, none).selectExpr("count(*) as n", "count_if(substring(key, 2) = substring(target, 2)) as near").first()
+    assert (got.n, got.near) == (n, n)
