@@ -192,3 +192,17 @@ def test_bounds_of_many_texts(spark):
     share = 44 / 90
     assert got[2] == pytest.approx(share + 1.6448536 * (share * (1 - share) / 9e7) ** 0.5, rel=1e-7)
     assert got[3] == pytest.approx(6.295794 / 9e7, rel=1e-6) and got[4] == 1.0
+
+
+def test_words_of_a_line_at_once(spark):
+    """words() and the stems of tokens() work on whole lines, with no step for each word, and give what word by word gives."""
+    import random
+
+    rnd = random.Random(3)
+    ends = ["eaux", "aux", "au", "aus", "eau", "ail", "ails", "s", "x", "ss", "sx", "als", ".", "\n", "_", "'", "ª", "́", "Ⅳ", "ﬁs", "ŒAUX", "ßx", "§a", "Ǿs", "", ":x", "\u0001", "\u0002"]
+    lines = ["".join(rnd.choice("abeiux ") * rnd.randrange(4) + rnd.choice(ends) for _ in range(30)) for _ in range(200)] + ["", None]
+    one_by_one = F.flatten(F.transform(T.written_words(F.col("a")), T.pieces))
+    rows = spark.createDataFrame([(x,) for x in lines], "a string").select(T.words(F.col("a")).alias("w"), one_by_one.alias("o"), F.transform(T.tokens(F.translate("a", "\u0001\u0002", "")), lambda t: t["stem"]).alias("t"), T.words(F.translate("a", "\u0001\u0002", "")).alias("p"))
+    for r in rows.collect():
+        assert r.w == r.o and r.t == r.p
+    assert "lambda" not in spark.createDataFrame([("x",)], "a string").select(T.words(F.col("a")))._jdf.queryExecution().analyzed().toString()
