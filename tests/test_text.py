@@ -206,3 +206,14 @@ def test_words_of_a_line_at_once(spark):
     for r in rows.collect():
         assert r.w == r.o and r.t == r.p
     assert "lambda" not in spark.createDataFrame([("x",)], "a string").select(T.words(F.col("a")))._jdf.queryExecution().analyzed().toString()
+
+
+def test_drawn_words_are_as_long_as_wide(spark):
+    text = "fkilt I'm .,:!;| é§a W\u0001\u0003 ß\n𝄞x §§§"
+    shown = F.split(T.drawn(F.col("a")), " ")
+    (r,) = spark.createDataFrame([(text,)], "a string").select(F.transform(shown, F.length).alias("drawn"), F.transform(F.split(T.bare(F.col("a")), " "), T.pixels).alias("wide"), T.wrapped_lines(F.col("a"), 30).alias("n")).collect()
+    assert r.drawn == r.wide
+    n, used = 1, 0
+    for w in r.wide:
+        n, used = (n, w) if not used else (n, used + 4 + w) if used + 4 + w <= 30 else (n + 1, w)
+    assert r.n == n
