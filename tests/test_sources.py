@@ -66,6 +66,24 @@ def test_quests(spark):
     assert {r.group: [c.place for c in r.chapters] for r in R.quest_tree(q).collect()} == {"g": [2], None: [999]}
 
 
+def parsed(df):
+    """How often a plan goes to Python."""
+    return df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython")
+
+
+def test_quests_are_parsed_once_and_by_all_tasks(spark):
+    rows = spark.createDataFrame([(f"c{i}", f'{{ group: "g" quests: [ {{ id: "{i}" title: "{{t.k{i}}}" icon: "a:b" tasks: [ {{ title: "{{t.n}}" item: "a:c" }} ] }} ] }}') for i in range(1, 21)], "chapter string, snbt string").coalesce(1)
+    q = R.quests(rows)
+    assert parsed(q) == 1 and q.rdd.getNumPartitions() >= 8
+    assert {r.id for r in q.collect()} == {f"quest{i}" for i in range(1, 21)}
+
+
+def test_named_tags():
+    ok = {"{a: 1b, b: [I; 1 2] c: 'x\\'y' d: \"\\\\\"} ": {"a": "1b", "b": ["1", "2"], "c": "x'y", "d": "\\"}, "[ B;1, {}]": ["1", {}], ",word": "word", "{[a: 1}": None, "{a: 1, a: 2}": {"a": "2"}, "": None, "{a 1}": None}
+    assert {k: json.loads(v) if (v := R.snbt_to_json(k)) is not None else None for k in ok} == ok
+    assert [R.snbt_to_json(x) for x in ("{a:: 1}", "{a: 1]", "{a: }", "{a}", "{} {}", "]", ":", "{a: 1;}", '{a: "x}', "[a: 1]", "[1", "{a: 1} x")] == [None] * 12
+
+
 def test_scripts(spark):
     source = """// tip("a:no", "no.key")
     tip(["a:one", 'b:two'], "some.key", [f(1, "x"), g("other.key")]) /* tip("a:no") */
