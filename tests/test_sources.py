@@ -78,6 +78,13 @@ def test_quests_are_parsed_once_and_by_all_tasks(spark):
     assert {r.id for r in q.collect()} == {f"quest{i}" for i in range(1, 21)}
 
 
+def test_links_of_a_quest_come_from_one_look(spark):
+    rows = spark.createDataFrame([("c", '{ quests: [ { id: "1" title: "{k.a} {k.b}" tasks: [ { title: "{k.t}" item: "a:c" }, { title: "none" item: "a:d" }, { title: "{k.u}" } ] }, { id: "2" title: "{k.c}" icon: "a:b" } ] }')], "chapter string, snbt string")
+    links = R.text_links(R.quests(rows), spark.createDataFrame([], "key string, object_id string"), spark.createDataFrame([], "key string, objects array<string>"))
+    assert parsed(links) == 1
+    assert {tuple(r) for r in links.collect()} == {("k.t", "a:c"), ("k.c", "a:b")}
+
+
 def test_named_tags():
     ok = {"{a: 1b, b: [I; 1 2] c: 'x\\'y' d: \"\\\\\"} ": {"a": "1b", "b": ["1", "2"], "c": "x'y", "d": "\\"}, "[ B;1, {}]": ["1", {}], ",word": "word", "{[a: 1}": None, "{a: 1, a: 2}": {"a": "2"}, "": None, "{a 1}": None}
     assert {k: json.loads(v) if (v := R.snbt_to_json(k)) is not None else None for k in ok} == ok
