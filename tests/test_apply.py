@@ -132,3 +132,20 @@ def test_two_at_once(spark, tmp_path):
     with pytest.raises(Conflict):
         late.commit("second", {"a": row.withColumn("v", F.lit(2))})
     assert late.read("a").collect() == row.collect() and late.manifest()["done"] == ["first"]
+
+
+def test_language_edits_of_many_keys_take_no_squares(spark):
+    from textloom.sources.writers import language_edits
+
+    n = 3000
+    text = "{" + ", ".join(f'"k{i:06d}": "v{i}"' for i in range(n)) + ', "n": 3}'
+    files = spark.createDataFrame([("a", text), ("b", '{"x": "1", // said\n "y": "2"}'), ("c", "{broken")], "file string, text string")
+    edits = spark.range(n).selectExpr("'a' as file", "format_string('k%06d', id * 2) as key", "concat('w', id) as value", "1 as ord")
+    more = spark.createDataFrame([("b", "x", "9", 1), ("c", "x", "9", 1), ("new", "q\"", "é", 1), ("new", "q\"", "è", 2)], "file string, key string, value string, ord int")
+    out = language_edits(files, edits.unionByName(more))
+    assert "map_keys" not in out._jdf.queryExecution().executedPlan().toString()  # a map's keys are looked through one by one
+    got = {r.file: r for r in out.collect()}
+    want = {f"k{i:06d}": f"v{i}" for i in range(n)} | {f"k{i * 2:06d}": f"w{i}" for i in range(n)} | {"n": 3}
+    assert list(json.loads(got["a"].text).items()) == sorted(want.items()) and got["a"].problem is None
+    assert (got["b"].problem, got["c"].problem, got["b"].text) == ("holds comments", "unreadable", None)
+    assert got["new"].text == '{\n  "q\\"": "è"\n}\n'

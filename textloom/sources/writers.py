@@ -76,16 +76,17 @@ def language_edits(files: DataFrame, edits: DataFrame) -> DataFrame:
     from .readers import parsed_map
 
     last = edits.groupBy("file", "key").agg(F.max_by("value", "ord").alias("value"))
-    put = last.groupBy("file").agg(F.map_from_entries(F.collect_list(F.struct("key", F.to_variant_object(F.struct("value")).alias("v")))).alias("put"))
-    rows = put.join(files.select("file", "text", F.lit(True).alias("there")), "file", "left")
+    rows = last.select("file").distinct().join(files.select("file", "text", F.lit(True).alias("there")), "file", "left")
     strict, tolerant = parsed_map(F.col("text")), parsed_map(F.col("text"), tolerant=True)
     problem = F.when(F.col("there") & tolerant.isNull(), "unreadable").when(F.col("there") & strict.isNull(), "holds comments")
-    old = F.transform(F.map_entries(F.coalesce(strict, F.create_map().cast("map<string,variant>"))), lambda e: F.struct(e["key"].alias("key"), F.to_json(e["value"]).alias("json")))
-    new = F.transform(F.map_entries("put"), lambda e: F.struct(e["key"].alias("key"), F.regexp_extract(F.to_json(e["value"]), r'(?s)^\{"value":(.*)\}$', 1).alias("json")))
-    kept = F.filter(old, lambda e: ~F.map_contains_key("put", e["key"]))
-    lines = F.transform(F.array_sort(F.concat(kept, new)), lambda e: F.concat(F.lit("  "), F.regexp_extract(F.to_json(F.struct(e["key"].alias("k"))), r'(?s)^\{"k":(.*)\}$', 1), F.lit(": "), e["json"]))
-    text = F.concat(F.lit("{\n"), F.array_join(lines, ",\n"), F.lit("\n}\n"))
-    return rows.select("file", F.when(problem.isNull(), text).alias("text"), problem.alias("problem"))
+    # Entries are matched by a join: looking each of a file's keys up in a map of its edits takes the square of their number.
+    old = rows.select("file", F.explode(F.map_entries(strict)).alias("e")).select("file", "e.key", F.to_json("e.value").alias("json"))
+    new = last.select("file", "key", F.regexp_extract(F.to_json(F.to_variant_object(F.struct("value"))), r'(?s)^\{"value":(.*)\}$', 1).alias("json"))
+    entries = old.join(last.select("file", "key"), ["file", "key"], "left_anti").unionByName(new)
+    line = F.concat(F.lit("  "), F.regexp_extract(F.to_json(F.struct(F.col("key").alias("k"))), r'(?s)^\{"k":(.*)\}$', 1), F.lit(": "), "json")
+    held = entries.select("file", F.struct("key", "json", line.alias("line")).alias("x")).groupBy("file").agg(F.array_sort(F.collect_list("x")).alias("x"))
+    text = F.concat(F.lit("{\n"), F.array_join("x.line", ",\n"), F.lit("\n}\n"))
+    return rows.select("file", problem.alias("problem")).join(held, "file").select("file", F.when(F.col("problem").isNull(), text).alias("text"), "problem")
 
 
 def output_targets(outputs: DataFrame, targets: DataFrame) -> DataFrame:
