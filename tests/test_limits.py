@@ -109,6 +109,17 @@ def test_minority_register(spark):
     assert got == {("u", "formal", "2"), ("u", "formal", "3")}
 
 
+def test_associations_work_out_grams_once(spark):
+    """Counts by brute force; what is left to do after counting reads counts alone, and no text again."""
+    en = ["the stone", "a stone wall", "stone", "wall", "the wall of stone"] * 2
+    fr = ["la pierre", "un mur de pierre", "pierre", "mur", "pierre et mur"] * 2
+    pairs = spark.createDataFrame([(f"k{i}", e, f) for i, (e, f) in enumerate(zip(en, fr))], "key string, en string, fr string")
+    out = I.associations(pairs, spark.createDataFrame([("stone",), ("wall",), ("none",)], "term string"), least=4)
+    got = {(r.term, r.rendering): (r.both, r.n_term, r.n_rendering) for r in out.collect()}
+    assert got == {("stone", "pierre"): (8, 8, 8), ("stone", "mur"): (4, 8, 6), ("wall", "mur"): (6, 6, 6), ("wall", "pierre"): (4, 6, 8)}
+    assert "regexp_extract_all" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_renderings(spark):
     assert [r.v for r in spark.range(1).select(F.array_join(I.rendering_words(F.lit("§aThe Iron-door's {x} doors, 3 boxes"), T.stem_en, I.STOP_EN), " ").alias("v")).collect()] == ["the iron-door' door boxe"]
     rows = [(str(i), "red stone", "pierre rouge" if i < 6 else "caillou") for i in range(10)]
