@@ -2,6 +2,7 @@
 
 import random
 
+from pyspark.sql import functions as F
 from textloom.operators import controls as C
 from textloom.operators import sampling as P
 from textloom.plans.registry import QUERIES
@@ -50,3 +51,20 @@ def test_chains_of_families_have_no_deepest(spark):
     said = spark.createDataFrame([("k0", "a")], "key string, fr string")
     got = {r.key: (r.expected, r.problem) for r in C.family_names(df, said, none).collect()}
     assert len(got) == 24 and got["k24"][1] is None and got["k24"][0].count("x") == 24
+
+
+def test_members_of_families_are_worked_out_once(spark):
+    """What makes the members, patterns tried on every key, isn't done again for each thing that is asked of them."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def ident(key):
+        seen.add(1)
+        return key[1:]
+
+    none = spark.createDataFrame([], "key string, gender string, number string, proper boolean, plural string")
+    made = spark.createDataFrame([(f"k{i}", "f", "{source}x", [f"k{i - 1}"]) for i in range(1, 5)] + [("k9", "f", "{source}x", ["z"])], "key string, family string, template string, sources array<string>")
+    members = made.select("key", "family", "template", ident("key").alias("ident"), "sources")
+    names = C.family_names(members, spark.createDataFrame([("k0", "a")], "key string, fr string"), none)
+    assert {(r.key, r.expected, r.problem) for r in names.collect()} == {(f"k{i}", "A" + "x" * i, None) for i in range(1, 5)} | {("k9", None, "unknown source")}
+    assert seen.value == 5

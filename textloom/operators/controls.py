@@ -414,7 +414,7 @@ def patch_control(patches: DataFrame, upstream: DataFrame | None) -> DataFrame:
 def family_members(keys: DataFrame, families: DataFrame) -> DataFrame:
     """(key, family, ident, template, sources, ord): the first family, by ord, whose pattern matches a key. pattern holds {id}."""
     regex = F.concat(F.lit("^"), F.replace(F.replace(F.col("pattern"), F.lit("."), F.lit("\\.")), F.lit("{id}"), F.lit("([a-z0-9_]+)")), F.lit("$"))
-    rows = templated(keys, families.withColumn("regex", regex), "pattern", "{id}", F.expr("key rlike regex"), "families")
+    rows = templated(spread(keys), families.withColumn("regex", regex), "pattern", "{id}", F.expr("key rlike regex"), "families")
     rows = rows.withColumn("ident", F.expr("if(instr(pattern, '{id}') > 0, regexp_extract(key, regex, 1), '')"))
     first = rows.groupBy("key").agg(F.min_by(F.struct("family", "ident", "template", "sources", "ord"), "ord").alias("x"))
     return first.select("key", "x.*")
@@ -424,8 +424,9 @@ def family_names(members: DataFrame, said: DataFrame, agreements: DataFrame) ->
     """(key, family, expected, problem): each member's name by its template, chained families from their sources' expected names.
 
     Members whose source is no member are named first; each round names those whose source was named in the last. What is left
-    after that lies on a cycle, or hangs on one, and has no name.
+    after that lies on a cycle, or hangs on one, and has no name. Members, what they aim at, and each round are staged: all are asked for again.
     """
+    members = stage(members.select("key", "family", "ident", "template", "sources"), "members")
     keys = members.select(F.col("key").alias("mk"))
     aims = members.select("key", "family", "template", "ident", F.posexplode("sources").alias("rank", "source")).withColumn("source", F.replace(F.col("source"), F.lit("{id}"), F.col("ident")))
     known = said.filter("fr != ''").select(F.col("key").alias("sk"), F.col("fr").alias("sfr"))
@@ -442,13 +443,12 @@ def family_names(members: DataFrame, said: DataFrame, agreements: DataFrame) ->
         .when(~F.col("chained") & plural & F.col("plural").isNull(), "unknown plural"),
     )
     name = lambda c: T.render_template(F.col("template"), c, F.col("gender"), F.col("number"), F.col("proper"), F.col("plural"))
-    done = rows.filter("problem is null and not chained").select("key", "family", name(F.col("sfr")).alias("expected"))
+    rows = stage(rows.select("key", "family", "template", "source", "chained", "sfr", "gender", "number", "proper", "plural", "problem"), "aims")
+    reached = last = stage(rows.filter("problem is null and not chained").select("key", "family", name(F.col("sfr")).alias("expected")), "named")
     wait = rows.filter("problem is null and chained").select("key", "family", "template", "source").withColumns({c: F.lit(None).cast(t) for c, t in (("gender", "string"), ("number", "string"), ("proper", "boolean"), ("plural", "string"))})
-    wait = cut(wait)
-    reached = last = cut(done)
     while True:
         last = wait.join(last.select(F.col("key").alias("nk"), F.col("expected").alias("sfr")), F.col("source") == F.col("nk")).select("key", "family", name(F.col("sfr")).alias("expected"))
-        last = cut(last)
+        last = stage(last, "named")
         if last.isEmpty():
             break
         reached = reached.unionByName(last)
