@@ -68,3 +68,14 @@ def test_members_of_families_are_worked_out_once(spark):
     names = C.family_names(members, spark.createDataFrame([("k0", "a")], "key string, fr string"), none)
     assert {(r.key, r.expected, r.problem) for r in names.collect()} == {(f"k{i}", "A" + "x" * i, None) for i in range(1, 5)} | {("k9", None, "unknown source")}
     assert seen.value == 5
+
+
+def test_what_hangs_on_one_node_is_set_aside(spark, monkeypatch):
+    """After a round, later ones look only at links that aren't a star's yet, not at every node again."""
+    draw = random.Random(3)
+    edges = [(100 + o, draw.randint(0, 4) + 20 * (o % 3)) for o in range(200) for _ in range(3)] + [(900, 901), (901, 902), (950, 950)]
+    totals, attach = [], P.attach
+    monkeypatch.setattr(P, "attach", lambda rows, groups, key, size, total: totals.append(total) or attach(rows, groups, key, size, total))
+    want = roots(edges)
+    assert {r.node: r.root for r in P.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()} == want
+    assert max(totals[2:]) <= len(want)
