@@ -2,7 +2,7 @@ import json
 import random
 
 import pytest
-from textloom.sources.json_edits import set_pointers
+from textloom.sources.json_edits import set_pointers, taken_apart
 
 
 def put(value, pointer, new):
@@ -92,3 +92,10 @@ def test_last_edit_counts_and_other_files_stay_out(spark):
     got = run(spark, [("f", '{"a": "x"}'), ("g", '{"a": "x"}')], [("f", "a", "one", 1), ("f", "/a/", "two", 2), ("h", "/a", "n", 1)])
     assert got == {"f": ('{\n    "a": "two"\n}\n', None), "h": (None, "no such file")}
     assert run(spark, [], []) == {}
+
+
+def test_files_are_dealt_to_all_tasks(spark):
+    """Texts that lie in one file aren't taken apart in one task."""
+    files = spark.createDataFrame([(f"f{i}", f'{{"a": ["{i}", {{"b": "x"}}]}}') for i in range(64)], "file string, text string").coalesce(1)
+    levels = taken_apart(files)
+    assert [x.count() for x in levels] == [64, 64, 128, 64] and min(len(x.inputFiles()) for x in levels) > 1

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.lineage import place, stage
+from ..functions.lineage import place, spread, stage
 from ..operators import apply as A
 from ..operators import measure as Me
 from ..operators import verify as V
@@ -38,7 +38,7 @@ _SHEET = """'{\n    "name": "' || {name} || '",\n    "pages": [\n        {\n
 )
 def pointer_edits(spark, sf_dir):
     """Nested JSON of every part with one text replaced; a pointer to a number, and one beyond a list's end, refuse the file."""
-    p = table(spark, sf_dir, "part")
+    p = spread(table(spark, sf_dir, "part"))
     form = F.col("p_partkey") % 5
     file = F.concat(F.lit("p"), F.col("p_partkey").cast("string"))
     page = F.struct(F.when(form == 2, "old").otherwise(F.col("p_brand")).alias("text"), F.col("p_size").alias("n"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.lineage import stage
+from ..functions.lineage import spread, stage
 from ..operators.model import parsed_json
 
 #: Levels that are put together in one plan before the result is staged.
@@ -41,9 +41,12 @@ def _children(level: DataFrame) -> DataFrame:
 
 
 def taken_apart(files: DataFrame) -> list[DataFrame]:
-    """The values of JSON texts by depth, each level staged. files: file, text; a text that isn't one JSON value has no level."""
+    """The values of JSON texts by depth, each level staged. files: file, text; a text that isn't one JSON value has no level.
+
+    Files are dealt to all tasks, as they may come from one: a level is read in as many tasks as the one above it was written by.
+    """
     whole = parsed_json(F.col("text"))
-    top = files.withColumn("v", whole).filter("v is not null").select(
+    top = spread(files.select("file", "text")).withColumn("v", whole).filter("v is not null").select(
         "file", F.lit(None).cast("string").alias("parent"), F.lit("").alias("at"), F.lit(0).alias("ord"), F.lit("").alias("name"), _kind(F.col("v")).alias("kind"), F.col("text").alias("raw")
     )
     levels = [stage(top, "level")]
