@@ -122,6 +122,18 @@ def test_numbers(spark):
     assert got == [c[2] for c in cases]
 
 
+def test_shown_without_shortcuts(spark):
+    """Texts that are passed over for having no mark read as if each step had been taken; so does what is blank."""
+    draw = random.Random(11)
+    bits = ["1,000", "1\u202f000", "2.50", "{0}", "{", "§6", "%1$s", "%", "&a", "$(t:a 5)", "$(br)", "${x}", "<ltx 5>", "<remove_size>9</remove_size>", "@i", "\\n", "\n", "mod:item_3", ":smile:", "ſix", "l'un", "DOUBLÉ", " ", "\u3000"]
+    rows = ["".join(draw.choice(bits) + draw.choice(["", " "]) for _ in range(draw.randint(0, 5))) for _ in range(400)]
+    c = F.regexp_replace(F.regexp_replace("a", r"(?s)<remove_size>.*?</remove_size>", " "), r"\$\(t:([^)]*)\)", " $1 ")
+    c = T.strip_codes(F.regexp_replace(F.regexp_replace(c, f"(?U){T.CODES_FULL}", " "), r"\{[^{}]*\}", " "))
+    assert values(spark, T.shown(F.col("a")), rows) == values(spark, c, rows)
+    assert values(spark, T.blank(F.col("a")), rows) == values(spark, T.strip(F.col("a")) == "", rows)
+    assert values(spark, F.array_join(T.numbers_fr(F.col("a")), " "), ["ſix doublé, l'un 2un DEUX 1\u202f000"]) == ["2 1 2 2 1000"]
+
+
 def test_morphology(spark):
     words = ["abeille", "herbe", "hibou", "hêtre", "yaourt", "Écrevisse", "pomme", ""]
     assert values(spark, T.elides(F.col("a")), words) == [True, True, False, False, False, True, False, False]
