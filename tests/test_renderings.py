@@ -4,6 +4,7 @@ import re
 import unicodedata
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from textloom.operators import inventory as I
 from textloom.plans.registry import QUERIES
@@ -51,12 +52,26 @@ def test_query_looks_for_all_terms(spark):
     assert len({x for x, *_ in want}) > 5
 
 
-@pytest.mark.parametrize("share", [1, 30, 1000])
-def test_associations_of_all_terms(spark, monkeypatch, share):
-    """Whether renderings are counted before or after they are dealt."""
+@pytest.mark.parametrize("at_once", [1, 7, 10_000])
+def test_associations_of_all_terms(spark, at_once):
+    """However few texts come at once, and whether or not a rendering's texts come together."""
     words = "stone walls the iron door's doors boxes of ladies §amine {x} ore's bus glass pies".split()
     mots = "pierre le murs mûr porte d'or œufs de très {x} bijoux dés l'eau verre".split()
     pairs = [(" ".join(words[(i * k) % (3 + i % 12)] for k in range(i % 9)), " ".join(mots[(i * k) % (2 + i % 12)] for k in range(i % 7))) for i in range(80)] + [(None, "murs"), ("doors", None)]
-    monkeypatch.setattr(I, "HOT_SHARE", share)
-    out = I.associations(spark.createDataFrame([(f"k{i}", e, f) for i, (e, f) in enumerate(pairs)], "key string, en string, fr string"))
-    assert {tuple(r) for r in out.collect()} == associated(pairs)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", at_once)
+    try:
+        out = I.associations(spark.createDataFrame([(f"k{i}", e, f) for i, (e, f) in enumerate(pairs)], "key string, en string, fr string")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(out) == len(set(out)) and {tuple(r) for r in out} == associated(pairs)
+
+
+def test_pairs_of_one_text_are_cut(monkeypatch):
+    """A text's pairs are sent in parts."""
+    monkeypatch.setattr(I, "PAIRS_AT_ONCE", 3)
+    terms = pa.array([[], [{"id": 1, "n": 4}, {"id": 2, "n": 9}, {"id": 3, "n": 6}]], pa.list_(pa.struct({"id": pa.int32(), "n": pa.int64()})))
+    found = pa.array([[{"id": 5, "n": 4}], [{"id": 5, "n": 4}, {"id": 6, "n": 5}, {"id": 7, "n": 10}]], pa.list_(pa.struct({"id": pa.int32(), "n": pa.int64()})))
+    out = list(I._sent([pa.RecordBatch.from_arrays([found, terms], ["renderings", "terms"])]))
+    assert len(out) > 1
+    got = [(r["rendering_id"], r["share"], sorted(r["terms"])) for b in out for r in b.to_pylist()]
+    assert got == [(5, 4, [1, 2, 3]), (6, 5, [2, 3])]
