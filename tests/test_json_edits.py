@@ -99,3 +99,41 @@ def test_files_are_dealt_to_all_tasks(spark):
     files = spark.createDataFrame([(f"f{i}", f'{{"a": ["{i}", {{"b": "x"}}]}}') for i in range(64)], "file string, text string").coalesce(1)
     levels = taken_apart(files)
     assert [x.count() for x in levels] == [64, 64, 128, 64] and min(len(x.inputFiles()) for x in levels) > 1
+
+
+def test_no_level_is_written_in_vain(spark, monkeypatch):
+    """A level is counted as it is written, so that nothing is written or read to see that there is no deeper one."""
+    from textloom.sources import json_edits as J
+
+    written, kept = [], J.stage
+    monkeypatch.setattr(J, "stage", lambda df, name: written.append(name) or kept(df, name))
+    files = lambda *texts: spark.createDataFrame([(f"f{i}", t) for i, t in enumerate(texts)], "file string, text string")
+    for texts, rows in (([], [0]), (["7", "{"], [1]), (['{"a": 1}'], [1, 1]), (['{"a": {"b": []}}', "[]"], [2, 1, 1])):
+        written.clear()
+        assert [x.count() for x in taken_apart(files(*texts))] == rows
+        assert len(written) == len(rows) + (rows == [2, 1, 1])  # the list that holds nothing is looked into
+
+
+def test_containers_travel_without_their_text(spark):
+    """Only what a level's containers hold is joined to them, by one join a level; their own text isn't sent again."""
+    levels = taken_apart(spark.createDataFrame([("f", '{"a": [{"b": "x"}, 2]}')], "file string, text string"))
+    edits = spark.createDataFrame([("f", "/a/0/b", "y")], "file string, at string, value string")
+    from textloom.sources.json_edits import put_together
+
+    df = put_together(levels, edits, 1)
+    assert df.first().json == '{\n "a": [\n  {\n   "b": "y"\n  },\n  2\n ]\n}'
+    joins = [x for x in df._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join " in x]
+    assert len(joins) == 2 * len(levels) - 1 and not any("list" in x for x in joins)
+
+
+def test_odd_files_and_edits(spark):
+    files = [("f", '{"a": "x", "": "e", "b": [null, {}, [], {"c": "d"}], "n": null}'), ("g", None), ("i", '{"a": "x", "": "e", "b": [null, {}, [], {"c": "d"}], "n": null}'), (None, '{"a": "x"}'), ("t", '{"a": ["x"]}'), ("t", '{"a": ["y"]}')]
+    edits = [("f", "/a", None, 1), ("f", "/b/0", "n", 1), ("f", "/b/3/c", "n", 1), ("g", "/a", "x", 1), (None, "/a", "n", 1), ("i", "/", "root", 1), ("i", "/b/3/c", "n", 1), ("i", None, "q", 1), ("t", "/a/0", "n", 1)]
+    f = spark.createDataFrame(files, "file string, text string")
+    e = spark.createDataFrame(edits, "file string, pointer string, value string, ord int")
+    got = sorted((str(r.file), str(r.text), str(r.problem)) for r in set_pointers(f, e).collect())
+    whole = json.dumps({"a": "x", "": "root", "b": [None, {}, [], {"c": "n"}], "n": None}, indent=4) + "\n"
+    # A file that stands there twice: both texts, each with what both hold, and a list's cells once for each list.
+    held = '"a": [\n        ' + ",\n        ".join(['"n"'] * 4) + "\n    ]"
+    twice = "{\n    " + held + ",\n    " + held + "\n}\n"
+    assert got == [("None", "None", "no such file"), ("f", "None", "no text at /b/0"), ("g", "None", "unreadable"), ("i", whole, "None")] + [("t", twice, "None")] * 4
